@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet import schemas as S
 from broadsheet.catalog import adapters as A
 from broadsheet.functions import text as X
 from broadsheet.functions.features import has_author
@@ -20,6 +21,9 @@ from broadsheet.operators import quality as Q
 from broadsheet.operators import silver as V
 from broadsheet.operators import splits as L
 from broadsheet.operators import terms as T
+from broadsheet.operators.scoring import model_input, score
+from broadsheet.plans import training
+from broadsheet.session import materialise
 from broadsheet.sources.envelope import ingest_counts, keyed_messages, union_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -390,3 +394,54 @@ def prediction_rate_sliding(spark, sf):
 @query
 def ingest_throughput(spark, sf):
     return _comparable(M.ingest_throughput(A.table(spark, sf, "events"), "ts"))
+
+
+# -- models ----------------------------------------------------------------
+
+
+def _vector_summary(df: DataFrame, vector: str) -> DataFrame:
+    values = F.col("_values")
+    return _comparable(
+        df.select("id", vector_to_array(vector).alias("_values")).select(
+            "id",
+            F.size(F.filter(values, lambda v: v != 0)).alias("n_nonzero"),
+            F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"),
+        )
+    )
+
+
+@query
+def hashing_tf(spark, sf):
+    """The counting stages have nothing to fit."""
+    counting = PipelineModel(stages=training.text_stages()[:-1])
+    return _vector_summary(counting.transform(A.silver(spark, sf)), "term_counts")
+
+
+@query
+def tfidf_vectors(spark, sf):
+    rows = materialise(A.silver(spark, sf).select("id", "content_cleaned"))
+    return _vector_summary(training.text_pipeline().fit(rows).transform(rows), "tfidf_features")
+
+
+@query
+def numeric_vector(spark, sf):
+    rows = training.numeric_assembler().transform(model_input(A.gold(spark, sf)))
+    values = F.col("_values")
+    return _comparable(
+        rows.select("id", vector_to_array("numeric_features").alias("_values")).select(
+            "id",
+            F.size(values).alias("size"),
+            F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"),
+        )
+    )
+
+
+@query
+def score_documents(spark, sf):
+    """Fit a small logistic model on the train side, then score every article."""
+    rows = materialise(G.numeric_gold(A.silver(spark, sf), "content_cleaned"))
+    train = L.hash_split(L.labelled_only(rows)).filter(F.col("split") == L.TRAIN)
+    stages = training.preprocessing(spark).getStages()
+    classifier = training.default_classifiers(logistic={"maxIter": 5})["logistic_regression"]
+    model = Pipeline(stages=[*stages, classifier]).fit(model_input(train))
+    return score(rows.drop("label"), model, as_of=A.AS_OF).select("id", "prediction", "confidence")

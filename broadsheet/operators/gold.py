@@ -11,15 +11,21 @@ from broadsheet.functions.features import lake, with_features
 IDENTITY = ("id", "source", "source_type", "label")
 
 
-def numeric_gold(silver: DataFrame) -> DataFrame:
-    """Numeric part of gold. Counts that silver already holds are taken from there."""
-    derived = lake(F.col("content_cleaned"), F.col("title_cleaned"), F.col("author"))
+def derived_features() -> dict[str, Column]:
+    return lake(F.col("content_cleaned"), F.col("title_cleaned"), F.col("author"))
+
+
+def numeric_gold(silver: DataFrame, *more: str) -> DataFrame:
+    """Numeric part of gold, and further columns of `silver` as asked. Counts that
+    silver already holds are taken from there."""
+    derived = derived_features()
     return silver.select(
         *IDENTITY,
         *[
             F.col(name) if name in silver.columns else derived[name].alias(name)
             for name in S.NUMERIC_FEATURES
         ],
+        *more,
     )
 
 

@@ -141,4 +141,6 @@ PREDICTION_COLUMNS = (
     "confidence",
     "analyzed_at",
     "content_preview",
+    "latency_ms",
+    "component",
 )

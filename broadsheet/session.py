@@ -29,11 +29,16 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder the cluster names in `spark.checkpoint.dir`. A temporary one
+    is made only on a local master where none is set; a cluster must name its own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="broadsheet-ckpt-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="broadsheet-checkpoint-")
+        sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
