@@ -164,7 +164,7 @@ def cross_validate(
         seed=SEED,
     )
     fitted = validator.fit(train)
-    return fitted.bestModel, max(fitted.avgMetrics)
+    return fitted.bestModel, float(max(fitted.avgMetrics))
 
 
 def train_models(
