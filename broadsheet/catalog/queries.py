@@ -445,3 +445,52 @@ def score_documents(spark, sf):
     classifier = training.default_classifiers(logistic={"maxIter": 5})["logistic_regression"]
     model = Pipeline(stages=[*stages, classifier]).fit(model_input(train))
     return score(rows.drop("label"), model, as_of=A.AS_OF).select("id", "prediction", "confidence")
+
+
+# Sizes at which the model queries stay quick; the library's defaults are larger.
+QUICK = {
+    "forest": {"numTrees": 5, "maxDepth": 4},
+    "logistic": {"maxIter": 5},
+    "boosting": {"maxIter": 3},
+}
+QUICK_DIMENSIONS = 100
+
+
+def _sides(spark, sf):
+    rows = materialise(G.numeric_gold(A.silver(spark, sf), "content_cleaned"))
+    split = L.hash_split(L.labelled_only(rows))
+    side = lambda name: split.filter(F.col("split") == name).drop("split")
+    return rows, side(L.TRAIN), side(L.TEST)
+
+
+@query
+def model_runs(spark, sf):
+    """Cross-validate and test the three classifiers."""
+    _, train, test = _sides(spark, sf)
+    results = training.train_models(
+        train, test, training.default_classifiers(**QUICK), dimensions=QUICK_DIMENSIONS
+    )
+    return _comparable(training.run_rows(spark, results).select("model", "auc", "accuracy", "cv_auc"))
+
+
+@query
+def ensemble_documents(spark, sf):
+    """Three fitted voters over every article."""
+    rows, train, _ = _sides(spark, sf)
+    model, names = training.train_ensemble(
+        train, training.default_classifiers(**QUICK), QUICK_DIMENSIONS
+    )
+    voted = training.ensemble_vote(model, names, rows.drop("label"))
+    return _comparable(
+        voted.select("id", E.label_name(F.col("vote")).alias("prediction"), "confidence")
+    )
+
+
+@query
+def feature_weights(spark, sf):
+    """Which features a forest leans on."""
+    _, train, _ = _sides(spark, sf)
+    stages = training.preprocessing(spark, QUICK_DIMENSIONS).getStages()
+    forest = training.default_classifiers(**QUICK)["random_forest"]
+    model = Pipeline(stages=[*stages, forest]).fit(model_input(train))
+    return _comparable(training.feature_importance(model).select("feature", "importance"))

@@ -11,6 +11,7 @@ DIGIT_RUN = r"[0-9]+"
 URL = r"https?://\S+"
 URL_PREFIX = r"https?://"
 WHITESPACE = r"\s"
+BLANKS = " \t\n\x0b\f\r"
 PREVIEW_CHARS = 200
 PREVIEW_SUFFIX = "..."
 
@@ -79,7 +80,7 @@ def preview(c: Column) -> Column:
 def tokens(c: Column) -> Column:
     """Lower-cased text split at every whitespace character. Trailing empty
     tokens go, others stay, as MLlib's Tokenizer has it."""
-    return F.split(F.regexp_replace(F.lower(c), r"\s+$", ""), WHITESPACE)
+    return F.split(F.rtrim(F.lower(c), F.lit(BLANKS)), WHITESPACE)
 
 
 def drop_stop_words(words: Column) -> Column:

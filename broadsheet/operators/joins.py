@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
 
 
+def salt(spread: str, salts: int = SALTS) -> Column:
+    """A number below `salts`. Declared free of nulls, or the optimiser would add a
+    null check that hashes every row once more at the scan."""
+    return F.coalesce(F.pmod(F.hash(spread), F.lit(salts)), F.lit(0))
+
+
 def salted_join(
     long: DataFrame, short: DataFrame, keys: list[str], spread: str, how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
     """Join `long` to `short`, which has one row per key, so that the rows of one
     key of `long` are spread over `salts` tasks by their `spread` column. Each key
     of `short` is copied once per salt. Exact for inner, left, semi and anti joins."""
-    salted = long.withColumn("_salt", F.pmod(F.hash(spread), F.lit(salts)))
+    salted = long.withColumn("_salt", salt(spread, salts))
     copies = short.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")

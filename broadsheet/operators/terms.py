@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
-from broadsheet.operators.joins import salted_join
+from broadsheet.operators.joins import SALTS, salt
+from broadsheet.schemas import LABELS
 
 
 def tokenised(silver: DataFrame, drop_stop_words: bool = False) -> DataFrame:
@@ -22,28 +25,41 @@ def token_counts(tokens: DataFrame) -> DataFrame:
     )
 
 
+def _terms(tokens: DataFrame, *keys: str) -> DataFrame:
+    """One row per token. The outer form only keeps the optimiser from adding a
+    size check that would run the tokenisation a second time; the null it yields
+    for a text without tokens is dropped with the empty tokens."""
+    return tokens.select(*keys, F.explode_outer("words").alias("term")).filter("term <> ''")
+
+
 def term_frequencies(tokens: DataFrame) -> DataFrame:
     """(id, term, tf). A document's tokens sit in one task, so the map-side
     aggregation leaves one row per distinct pair to shuffle."""
-    return (
-        tokens.select("id", F.explode("words").alias("term"))
-        .filter("term <> ''")
-        .groupBy("id", "term")
-        .agg(F.count("*").alias("tf"))
-    )
+    return _terms(tokens, "id").groupBy("id", "term").agg(F.count("*").alias("tf"))
 
 
-def term_tfidf(tokens: DataFrame) -> DataFrame:
+def term_tfidf(tokens: DataFrame, salts: int = SALTS) -> DataFrame:
     """(id, term, tf, df, weight) with weight = tf * ln((N + 1) / (df + 1)).
 
-    A frequent term occurs in most documents, hence the salted join. `count_if`
-    keeps tf in the df branch, whereby both branches share one tokenisation and
-    one exchange.
+    A frequent term occurs in most documents, so its pairs are spread over `salts`
+    partitions; a rare one fills as many as it has pairs. Counts per (term, salt)
+    are added up per term and go back to the same partitions. The pairs are
+    shuffled once: the counts are taken from that same exchange, which is why they
+    refer to all of its columns, and the pairs stream past a hash table of counts
+    without being sorted.
     """
-    tf = term_frequencies(tokens)
-    df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    pairs = (
+        term_frequencies(tokens)
+        .withColumn("salt", salt("id", salts))
+        .repartition("term", "salt")
+    )
+    counts = (
+        pairs.groupBy("term", "salt")
+        .agg(F.count(F.when(F.col("tf") > 0, F.col("id"))).alias("n"))
+        .select("term", "salt", F.sum("n").over(Window.partitionBy("term")).alias("df"))
+    )
     documents = tokens.agg(F.count("*")).scalar()
-    return salted_join(tf, df, ["term"], spread="id").select(
+    return pairs.join(counts.hint("shuffle_hash"), ["term", "salt"]).select(
         "id",
         "term",
         "tf",
@@ -52,37 +68,41 @@ def term_tfidf(tokens: DataFrame) -> DataFrame:
     )
 
 
-def label_terms(tokens: DataFrame) -> DataFrame:
-    """(label, term, weight): a term's TF-IDF weight summed over a label's documents.
+def label_terms(tokens: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
+    """(label, term, weight): a term's TF-IDF weight summed over a label's documents,
+    where the label has the term.
 
-    The inverse document frequency is the same for all documents of a term, so
-    frequencies are summed per (label, term) first and weighted once. What meets
-    on a term is then one row per label, however frequent the term is.
+    The inverse document frequency is the same for all documents of a term, so it
+    suffices to add up frequencies, per label of the fixed set, and to weight the
+    sums. That is one aggregation by term, combined in the map tasks, and nothing
+    of the size of the pairs is moved.
     """
-    per_label = (
-        tokens.select("id", "label", F.explode("words").alias("term"))
-        .filter("term <> ''")
+    has = lambda label: F.col("label") == label
+    per_term = (
+        _terms(tokens, "id", "label")
         .groupBy("id", "label", "term")
         .agg(F.count("*").alias("tf"))
-        .groupBy("label", "term")
-        .agg(F.sum("tf").alias("tf"), F.count("*").alias("n"))
+        .groupBy("term")
+        .agg(
+            F.count("*").alias("df"),
+            *[F.sum(F.when(has(label), F.col("tf"))).alias(f"tf_{label}") for label in labels],
+        )
     )
     documents = tokens.agg(F.count("*")).scalar()
-    df = F.sum("n").over(Window.partitionBy("term"))
-    return per_label.select(
-        "label",
-        "term",
-        (F.col("tf") * F.log((documents + F.lit(1.0)) / (df + 1))).alias("weight"),
+    idf = F.log((documents + F.lit(1.0)) / (F.col("df") + 1))
+    rows = F.array(
+        *[F.struct(F.lit(label).alias("label"), F.col(f"tf_{label}").alias("tf")) for label in labels]
+    )
+    return (
+        per_term.select("term", idf.alias("idf"), F.inline(rows))
+        .filter(F.col("tf").isNotNull())
+        .select("label", "term", (F.col("tf") * F.col("idf")).alias("weight"))
     )
 
 
 def top_terms_by_label(tokens: DataFrame, k: int = 20, digits: int = 6) -> DataFrame:
     """The k heaviest terms of each label, ties by term. The rank prunes to k rows
     per label in every task before the rows of a label meet."""
-    totals = (
-        label_terms(tokens)
-        .filter(F.col("label").isNotNull())
-        .withColumn("weight", F.round("weight", digits))
-    )
+    totals = label_terms(tokens).withColumn("weight", F.round("weight", digits))
     w = Window.partitionBy("label").orderBy(F.col("weight").desc(), "term")
     return totals.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

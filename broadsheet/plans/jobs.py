@@ -25,6 +25,8 @@ from broadsheet.plans.lake import Lake
 from broadsheet.sources.tables import balanced, write_table
 
 BRONZE_PARTITIONS = ("source_type", "bronze_date")
+# An md5 id takes some 50 bytes in a hash table: at most about 50 MB are broadcast.
+BROADCAST_IDS = 1_000_000
 
 
 def write_bronze_batch(
@@ -35,7 +37,8 @@ def write_bronze_batch(
     The source is no partition column, as there is no bound on how many there are."""
     folder = f"{lake.path('bronze')}/writer={writer}/batch_id={batch_id}"
     stamped = B.stamp(records, as_of)
-    write_table(balanced(stamped), folder, "overwrite", BRONZE_PARTITIONS, lake.fmt)
+    even = balanced(stamped, *BRONZE_PARTITIONS)
+    write_table(even, folder, "overwrite", BRONZE_PARTITIONS, lake.fmt)
 
 
 def write_quarantine_batch(broken: DataFrame, lake: Lake, writer: str, batch_id: int) -> None:
@@ -49,6 +52,15 @@ def run_silver(spark: SparkSession, lake: Lake, as_of: str | None = None) -> Non
     write_table(balanced(silver), lake.path("silver"), "overwrite", (), lake.fmt)
 
 
+def known_among(records: DataFrame, known: DataFrame) -> DataFrame:
+    """Ids of `records` that `known` holds already. A short list of ids goes to every
+    task, so that the long table is read in place, one column of it, and never
+    shuffled; a list too long for that is joined by shuffle."""
+    ids = records.select("id").distinct()
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return known.select("id").join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
+
 def append_new_silver(
     spark: SparkSession, lake: Lake, records: DataFrame, as_of: str | None = None
 ) -> None:
@@ -56,7 +68,7 @@ def append_new_silver(
     same records adds nothing."""
     fresh = V.build_silver(records, as_of=as_of)
     if lake.exists(spark, "silver"):
-        fresh = V.new_ids(fresh, lake.read(spark, "silver"))
+        fresh = V.new_ids(fresh, known_among(records, lake.read(spark, "silver")))
     write_table(balanced(fresh), lake.path("silver"), "append", (), lake.fmt)
 
 
