@@ -114,6 +114,56 @@ _TFIDF = """tf AS (
   FROM tf JOIN df ON tf.term = df.term
 )"""
 
+_M = "4294967295::UBIGINT"
+
+
+def _rotl(x: str, n: int) -> str:
+    return f"((({x} << {n}) | ({x} >> {32 - n})) & {_M})"
+
+
+def _mixed(k: str) -> str:
+    """A block of Murmur3 before it enters the state."""
+    return f"(({_rotl(f'(({k} * 3432918353) & {_M})', 15)} * 461845907) & {_M})"
+
+
+def _byte(at: str) -> str:
+    return f"CAST('0x' || substr(hx, 2 * ({at}) + 1, 2) AS UBIGINT)"
+
+
+# Murmur3 (32 bit, seed 42) of each term's UTF-8 bytes, modulo 1000 as a signed number.
+_BUCKETS = f"""spelled AS (
+  SELECT term, hex(encode(term)) AS hx, strlen(term)::BIGINT AS n
+  FROM (SELECT DISTINCT unnest(words) AS term FROM filtered)
+), blocks AS (
+  SELECT term, n,
+         list_transform(range(0, n // 4), lambda i: {_byte("4 * i")} + 256 * {_byte("4 * i + 1")}
+           + 65536 * {_byte("4 * i + 2")} + 16777216 * {_byte("4 * i + 3")}) AS body,
+         CASE WHEN n % 4 >= 1 THEN {_byte("n - n % 4")} ELSE 0 END
+           + CASE WHEN n % 4 >= 2 THEN 256 * {_byte("n - n % 4 + 1")} ELSE 0 END
+           + CASE WHEN n % 4 >= 3 THEN 65536 * {_byte("n - n % 4 + 2")} ELSE 0 END AS tail
+  FROM spelled
+), mixed AS (
+  SELECT term, n, list_transform(body, lambda k: {_mixed("k::UBIGINT")}) AS body,
+         {_mixed("tail::UBIGINT")} AS tail
+  FROM blocks
+), state AS (
+  SELECT term, xor(xor(list_reduce(list_concat([42::UBIGINT], body),
+           lambda h, k: ({_rotl("xor(h, k)", 13)} * 5 + 3864292196) & {_M}), tail), n::UBIGINT) AS h
+  FROM mixed
+), avalanche AS (
+  SELECT term, (xor(h, h >> 16) * 2246822507) & {_M} AS h FROM state
+), avalanche2 AS (
+  SELECT term, (xor(h, h >> 13) * 3266489909) & {_M} AS h FROM avalanche
+), hashed AS (
+  SELECT term, xor(h, h >> 16)::BIGINT AS h FROM avalanche2
+), buckets AS (
+  SELECT term, ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % 1000 + 1000) % 1000 AS bucket
+  FROM hashed
+), counts AS (
+  SELECT id, bucket, count(*) AS n
+  FROM (SELECT id, unnest(words) AS term FROM filtered) JOIN buckets USING (term) GROUP BY id, bucket
+)"""
+
 _LABELLED = "labelled AS (SELECT * FROM gold WHERE label IS NOT NULL)"
 _BUCKET = "CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % 100"
 _HASH_SPLIT = f"""hash_split AS (
@@ -240,6 +290,19 @@ FROM feed GROUP BY source_type""",
 SELECT id, len(words) AS n_tokens, len(list_distinct(words)) AS n_distinct FROM tokens""",
     "stopword_filtered": f"""{_SILVER}, {_TOKENS}
 SELECT id, len(words) AS n_tokens, len(list_distinct(words)) AS n_distinct FROM filtered""",
+    "hashing_tf": f"""{_SILVER}, {_TOKENS}, {_BUCKETS}
+SELECT s.id, count(c.bucket) AS n_nonzero, coalesce(sum(c.n), 0)::DOUBLE AS total,
+       coalesce(sum(c.n * c.bucket), 0)::DOUBLE AS checksum
+FROM silver s LEFT JOIN counts c ON s.id = c.id GROUP BY s.id""",
+    "tfidf_vectors": f"""{_SILVER}, {_TOKENS}, {_BUCKETS}, idf AS (
+  SELECT bucket, ln(((SELECT count(*) FROM silver) + 1.0::DOUBLE) / (count(*) + 1)) AS idf
+  FROM counts GROUP BY bucket
+), weighted AS (
+  SELECT c.id, c.bucket, c.n * i.idf AS v FROM counts c JOIN idf i ON c.bucket = i.bucket
+)
+SELECT s.id, count(*) FILTER (WHERE w.v <> 0) AS n_nonzero, round(coalesce(sum(w.v), 0), 6) AS total,
+       round(coalesce(sum(w.v * w.bucket), 0), 2) AS checksum
+FROM silver s LEFT JOIN weighted w ON s.id = w.id GROUP BY s.id""",
     "term_tfidf": f"""{_SILVER}, {_TOKENS}, {_TFIDF}
 SELECT id, term, tf, df, round(weight, 6) AS weight FROM weighted""",
     "top_terms_by_label": f"""{_SILVER}, {_TOKENS}, {_TFIDF}, totals AS (

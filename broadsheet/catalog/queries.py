@@ -406,6 +406,10 @@ def _vector_summary(df: DataFrame, vector: str) -> DataFrame:
             "id",
             F.size(F.filter(values, lambda v: v != 0)).alias("n_nonzero"),
             F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"),
+            # Which dimension holds which value; large, so fewer digits compare.
+            F.round(
+                F.aggregate(F.transform(values, lambda v, i: v * i), F.lit(0.0), lambda a, v: a + v), 2
+            ).alias("checksum"),
         )
     )
 

@@ -64,14 +64,11 @@ def quality_report(
     if silver is not None:
         parts.append(_long(quality_silver(silver), "silver"))
     if gold is not None and "label" in gold.columns:
-        # One pass: the subtotal rows per label and the grand total together.
-        counted = gold.rollup("label").agg(F.count("*").alias("n"), F.grouping("label").alias("all"))
+        parts.append(_long(gold.agg(F.count("*").alias("total_records")), "gold"))
         parts.append(
-            counted.select(
+            label_distribution(gold).select(
                 F.lit("gold").alias("layer"),
-                F.when(F.col("all") == 1, "total_records")
-                .otherwise(F.concat(F.lit("label_"), F.coalesce("label", F.lit("none"))))
-                .alias("metric"),
+                F.concat(F.lit("label_"), F.coalesce("label", F.lit("none"))).alias("metric"),
                 F.col("n").cast("double").alias("value"),
                 F.lit(None).cast("string").alias("text"),
             )

@@ -112,13 +112,8 @@ def run_splits(
     """Write the labelled rows as train and test; returns their counts."""
     split = {"random": L.random_split, "hash": L.hash_split, "stratified": L.stratified_split}[method]
     labelled = split(L.labelled_only(read_gold(spark, lake)), train_ratio)
-    for part in (L.TRAIN, L.TEST):
-        rows = labelled.filter(F.col("split") == part).drop("split")
-        write_table(balanced(rows), lake.path(part), "overwrite", (), lake.fmt)
-    counted = [
-        lake.read(spark, part).withColumn("split", F.lit(part)) for part in (L.TRAIN, L.TEST)
-    ]
-    return L.split_counts(counted[0].unionByName(counted[1]))
+    write_table(balanced(labelled, "split"), lake.path("splits"), "overwrite", ("split",), lake.fmt)
+    return L.split_counts(lake.read(spark, "splits"))
 
 
 def labelled_text(spark: SparkSession, lake: Lake, part: str) -> DataFrame:

@@ -14,16 +14,19 @@ TABLES = (
     "silver",
     "gold",
     "feature_statistics",
+    "splits",
     "train",
     "test",
     "predictions",
     "runs",
 )
+SPLITS = ("train", "test")
 
 
 @dataclass(frozen=True)
 class Lake:
-    """All tables are siblings under one root, none inside another."""
+    """All tables are siblings under one root, none inside another. Train and test
+    are the two partitions of one table, written in one go."""
 
     root: str
     fmt: str = DEFAULT_FORMAT
@@ -31,6 +34,8 @@ class Lake:
     def path(self, table: str) -> str:
         if table not in TABLES:
             raise ValueError(f"unknown table: {table}")
+        if table in SPLITS:
+            return f"{self.root}/splits/split={table}"
         return f"{self.root}/{table}"
 
     def checkpoint(self, stream: str) -> str:

@@ -20,10 +20,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
+    """Values compare exactly; only -0.0 and NaN are given one spelling."""
     if isinstance(v, float):
-        return "NaN" if math.isnan(v) else round(v, 5) + 0.0
-    if v is not None and hasattr(v, "as_tuple"):
-        return round(float(v), 5)
+        return "NaN" if math.isnan(v) else v + 0.0
     return v
 
 
