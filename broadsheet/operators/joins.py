@@ -1,25 +1,47 @@
-"""A join that keeps a hot key of its long side off a single task."""
+"""A join in which no key of the long side ends up on one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+# A key is hot above both limits. Fewer than HOT_KEYS keys can each hold more than
+# 1 / HOT_KEYS of the rows, whatever the data: the bound on what is broadcast here.
+HOT_KEYS = 50_000
+HOT_ROWS = 100_000
 
 
-def salt(spread: str, salts: int = SALTS) -> Column:
-    """A number below `salts`. Declared free of nulls, or the optimiser would add a
-    null check that hashes every row once more at the scan."""
-    return F.coalesce(F.pmod(F.hash(spread), F.lit(salts)), F.lit(0))
-
-
-def salted_join(
-    long: DataFrame, short: DataFrame, keys: list[str], spread: str, how: str = "inner", salts: int = SALTS
+def skew_join(
+    long: DataFrame,
+    short: DataFrame,
+    key: str,
+    spread: str,
+    how: str = "inner",
+    counts: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join `long` to `short`, which has one row per key, so that the rows of one
-    key of `long` are spread over `salts` tasks by their `spread` column. Each key
-    of `short` is copied once per salt. Exact for inner, left, semi and anti joins."""
-    salted = long.withColumn("_salt", salt(spread, salts))
-    copies = short.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    """Join `long` to `short` on `key`, with the rows of each hot key dealt out over
+    as many groups as it has multiples of the limit, by the hash of `spread`. The
+    row of `short` is copied into those groups only, so that all copies together
+    number at most HOT_KEYS beyond two for each hot key. Exact for inner, left,
+    semi and anti joins.
+
+    `counts` are the rows of `long` per key, as (key, n), where they are known.
+    """
+    if counts is None:
+        counts = long.groupBy(key).agg(F.count("*").alias("n"))
+    limit = F.greatest(counts.agg(F.sum("n")).scalar() / HOT_KEYS, F.lit(float(hot_rows)))
+    hot = F.broadcast(
+        counts.filter(F.col("n") > limit).select(
+            key, F.ceil(F.col("n") / limit).cast("int").alias("_groups")
+        )
+    )
+    # Free of nulls, or the optimiser adds a check that hashes each row once more.
+    groups = F.coalesce("_groups", F.lit(1))
+    dealt = long.join(hot, key, "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.hash(spread), groups), F.lit(0))
+    )
+    copies = short.join(hot, key, "left").withColumn(
+        "_salt", F.explode_outer(F.sequence(F.lit(0), groups - 1))
+    )
+    return dealt.drop("_groups").join(copies.drop("_groups"), [key, "_salt"], how).drop("_salt")

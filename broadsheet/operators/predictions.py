@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
-from broadsheet.operators.joins import salted_join
+from broadsheet.operators.joins import skew_join
 
 # Fixed value: seconds for which a prediction may be reused.
 REUSE_SECONDS = 3600
@@ -45,7 +45,7 @@ def unscored(articles: DataFrame, prior: DataFrame, as_of: Column, key: str = "i
     """Articles whose content has no fresh prediction. Many articles may share one
     content, so their rows are spread by `key`."""
     known = fresh(prior, as_of).select("content_hash").distinct()
-    return salted_join(articles, known, ["content_hash"], spread=key, how="left_anti")
+    return skew_join(articles, known, "content_hash", spread=key, how="left_anti")
 
 
 def reused(articles: DataFrame, prior: DataFrame, as_of: Column, key: str = "id") -> DataFrame:
@@ -57,7 +57,7 @@ def reused(articles: DataFrame, prior: DataFrame, as_of: Column, key: str = "id"
         .agg(F.max(F.struct("analyzed_at", "prediction", "confidence")).alias("_latest"))
         .select("content_hash", "_latest.*")
     )
-    return salted_join(articles, latest, ["content_hash"], spread=key)
+    return skew_join(articles, latest, "content_hash", spread=key)
 
 
 def latest_labels(*batches: DataFrame, key: str = "doc_id", value: str = "quality") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
-from broadsheet.operators.joins import SALTS, salt
+from broadsheet.operators.joins import skew_join
 from broadsheet.schemas import LABELS
 
 
@@ -38,28 +38,17 @@ def term_frequencies(tokens: DataFrame) -> DataFrame:
     return _terms(tokens, "id").groupBy("id", "term").agg(F.count("*").alias("tf"))
 
 
-def term_tfidf(tokens: DataFrame, salts: int = SALTS) -> DataFrame:
+def term_tfidf(tokens: DataFrame) -> DataFrame:
     """(id, term, tf, df, weight) with weight = tf * ln((N + 1) / (df + 1)).
 
-    A frequent term occurs in most documents, so its pairs are spread over `salts`
-    partitions; a rare one fills as many as it has pairs. Counts per (term, salt)
-    are added up per term and go back to the same partitions. The pairs are
-    shuffled once: the counts are taken from that same exchange, which is why they
-    refer to all of its columns, and the pairs stream past a hash table of counts
-    without being sorted.
+    A frequent term occurs in most documents. Its document count is just the number
+    of pairs that will meet on it, so the join knows which terms to deal out.
     """
-    pairs = (
-        term_frequencies(tokens)
-        .withColumn("salt", salt("id", salts))
-        .repartition("term", "salt")
-    )
-    counts = (
-        pairs.groupBy("term", "salt")
-        .agg(F.count(F.when(F.col("tf") > 0, F.col("id"))).alias("n"))
-        .select("term", "salt", F.sum("n").over(Window.partitionBy("term")).alias("df"))
-    )
+    pairs = term_frequencies(tokens)
+    df = pairs.groupBy("term").agg(F.count("*").alias("df"))
     documents = tokens.agg(F.count("*")).scalar()
-    return pairs.join(counts.hint("shuffle_hash"), ["term", "salt"]).select(
+    joined = skew_join(pairs, df, "term", spread="id", counts=df.withColumnRenamed("df", "n"))
+    return joined.select(
         "id",
         "term",
         "tf",
