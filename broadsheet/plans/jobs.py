@@ -22,6 +22,7 @@ from broadsheet.operators import splits as L
 from broadsheet.operators.scoring import one_per_content, request_articles, score
 from broadsheet.plans import training
 from broadsheet.plans.lake import Lake
+from broadsheet.session import size_for
 from broadsheet.sources.tables import balanced, write_table
 
 BRONZE_PARTITIONS = ("source_type", "bronze_date")
@@ -48,6 +49,7 @@ def write_quarantine_batch(broken: DataFrame, lake: Lake, writer: str, batch_id:
 
 def run_silver(spark: SparkSession, lake: Lake, as_of: str | None = None) -> None:
     """Rebuild silver from all of bronze."""
+    size_for(spark, lake.size(spark, "bronze"))
     silver = V.build_silver(lake.read(spark, "bronze"), as_of=as_of)
     write_table(balanced(silver), lake.path("silver"), "overwrite", (), lake.fmt)
 
@@ -80,6 +82,7 @@ def run_gold(
 ) -> PipelineModel:
     """Features and TF-IDF vectors of all of silver, and the statistics beside them.
     Returns the fitted text pipeline."""
+    size_for(spark, lake.size(spark, "silver"))
     silver = lake.read(spark, "silver")
     text = training.text_pipeline(dimensions).fit(silver)
     gold = text.transform(G.numeric_gold(silver, "content_cleaned"))
@@ -110,6 +113,7 @@ def run_splits(
     spark: SparkSession, lake: Lake, train_ratio: float = 0.8, method: str = "stratified"
 ) -> DataFrame:
     """Write the labelled rows as train and test; returns their counts."""
+    size_for(spark, lake.size(spark, "gold"))
     split = {"random": L.random_split, "hash": L.hash_split, "stratified": L.stratified_split}[method]
     labelled = split(L.labelled_only(read_gold(spark, lake)), train_ratio)
     write_table(balanced(labelled, "split"), lake.path("splits"), "overwrite", ("split",), lake.fmt)
@@ -124,6 +128,7 @@ def labelled_text(spark: SparkSession, lake: Lake, part: str) -> DataFrame:
 def run_training(spark: SparkSession, lake: Lake, **options) -> training.Trained | None:
     """Train, log every run, save the best model. Without a model better than
     nothing, none is saved."""
+    size_for(spark, lake.size(spark, "silver"))
     train, test = labelled_text(spark, lake, L.TRAIN), labelled_text(spark, lake, L.TEST)
     results = training.train_models(train, test, **options)
     write_table(training.run_rows(spark, results), lake.path("runs"), "append", (), lake.fmt)

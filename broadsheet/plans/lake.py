@@ -47,9 +47,18 @@ class Lake:
     def read(self, spark: SparkSession, table: str, schema=None) -> DataFrame:
         return read_table(spark, self.path(table), self.fmt, schema)
 
-    def exists(self, spark: SparkSession, table: str) -> bool:
+    def _file(self, spark: SparkSession, table: str):
         path = spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+    def exists(self, spark: SparkSession, table: str) -> bool:
+        fs, path = self._file(spark, table)
+        return fs.exists(path)
+
+    def size(self, spark: SparkSession, table: str) -> int:
+        """Bytes of a table's files; 0 where there is none."""
+        fs, path = self._file(spark, table)
+        return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
 
     def register_views(self, spark: SparkSession) -> list[str]:
         """Temporary views of the tables there are, for queries in SQL."""

@@ -1,13 +1,14 @@
-"""Session defaults and the two places where lineage is cut."""
+"""Session defaults, settings that follow the size of the input, and the one place
+where lineage is cut."""
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a cluster job wants whatever its size. Partition counts are left to
-# adaptive execution, which sizes them by bytes.
+# Settings a cluster job wants whatever its size.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,6 +29,35 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+MIB = 1024 * 1024
+# Parquet bytes per shuffle partition; text unpacks to two or three times as much.
+SHUFFLE_BYTES = 128 * MIB
+MAX_SHUFFLE_PARTITIONS = 100_000
+READ_BYTES, MAX_READ_BYTES = 128 * MIB, 1024 * MIB
+# Past this many scan tasks, each reads more instead.
+SCAN_TASKS = 200_000
+
+
+def size_settings(input_bytes: int, shuffle_partitions: int = 200) -> dict[str, str]:
+    """Partition counts for a job over `input_bytes`. Adaptive execution merges
+    partitions that turn out small but cannot split one for an aggregation or a
+    window, so there must be enough to begin with; and few enough that the number
+    of blocks, tasks times partitions, stays within what a shuffle can serve."""
+    wanted = min(math.ceil(input_bytes / SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+    settings = {"spark.sql.shuffle.partitions": str(max(wanted, shuffle_partitions))}
+    read = min(math.ceil(input_bytes / SCAN_TASKS), MAX_READ_BYTES)
+    if read > READ_BYTES:
+        settings["spark.sql.files.maxPartitionBytes"] = str(read)
+    return settings
+
+
+def size_for(spark: SparkSession, input_bytes: int) -> None:
+    """Apply `size_settings`; the partition count is never lowered."""
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for key, value in size_settings(input_bytes, now).items():
+        spark.conf.set(key, value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in `spark.checkpoint.dir`. A temporary one
     is made only on a local master where none is set; a cluster must name its own."""
