@@ -100,7 +100,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled_articles(rows, "verdict", AS_OF)
 
 
-def feed(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def all_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """All three kinds of source as canonical records."""
     return [
         to_envelope(news(spark, sf_dir), AS_OF),
@@ -146,8 +146,12 @@ VOTERS = (("p1", "c1"), ("p2", "c2"), ("p3", "c3"))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as a prediction log."""
-    return table(spark, sf_dir, "events").select(
+    return as_predictions(table(spark, sf_dir, "events"))
+
+
+def as_predictions(events: DataFrame) -> DataFrame:
+    """events, a table or a stream, as a prediction log."""
+    return events.select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("user_"), F.col("user_id")).alias("source"),
         F.when(F.col("event_type") == "error", S.FAKE).otherwise(S.REAL).alias("prediction"),

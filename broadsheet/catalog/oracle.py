@@ -408,4 +408,11 @@ FROM predictions GROUP BY 1""",
   count(*) AS n FROM predictions, range(6) AS steps(step) GROUP BY 1""",
     "ingest_throughput": f"""SELECT {_stamp("date_trunc('minute', ts)")} AS minute, count(*) AS n
 FROM events GROUP BY 1""",
+    # streams
+    "stream_to_bronze": f"""{_BASE} SELECT id, source, source_type, title, label,
+  '2024-02-01' AS bronze_date FROM news""",
+    "stream_to_silver": f"{_SILVER} SELECT id, word_count, char_count FROM silver",
+    "stream_dedup": f"{_BASE} SELECT DISTINCT id FROM news",
 }
+SQL["live_predictions_daily"] = SQL["predictions_daily"]
+SQL["live_hourly_trend"] = SQL["hourly_trend"]

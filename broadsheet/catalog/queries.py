@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -23,8 +24,17 @@ from broadsheet.operators import splits as L
 from broadsheet.operators import terms as T
 from broadsheet.operators.scoring import model_input, score
 from broadsheet.plans import training
-from broadsheet.session import materialise
-from broadsheet.sources.envelope import ingest_counts, keyed_messages, union_sources
+from broadsheet.plans.lake import Lake
+from broadsheet.session import ensure_checkpoint_dir, materialise
+from broadsheet.sources.envelope import (
+    ingest_counts,
+    keyed_messages,
+    publish,
+    to_envelope,
+    union_sources,
+)
+from broadsheet.sources.feeds import landing_stream
+from broadsheet.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -78,21 +88,21 @@ def content_hash(spark, sf):
 
 @query
 def source_union(spark, sf):
-    return union_sources(*A.feed(spark, sf)).groupBy("source_type").agg(
+    return union_sources(*A.all_sources(spark, sf)).groupBy("source_type").agg(
         F.count("*").alias("n"), F.countDistinct("id").alias("distinct_ids")
     )
 
 
 @query
 def keyed_envelope(spark, sf):
-    messages = keyed_messages(union_sources(*A.feed(spark, sf)[:1]))
+    messages = keyed_messages(union_sources(*A.all_sources(spark, sf)[:1]))
     record = B.from_json_text(F.col("value"))
     return messages.select("key", record.alias("r")).select("key", "r.title", "r.source")
 
 
 @query
 def ingest_counts_(spark, sf):
-    return ingest_counts(union_sources(*A.feed(spark, sf)))
+    return ingest_counts(union_sources(*A.all_sources(spark, sf)))
 
 
 @query
@@ -498,3 +508,69 @@ def feature_weights(spark, sf):
     forest = training.default_classifiers(**QUICK)["random_forest"]
     model = Pipeline(stages=[*stages, forest]).fit(model_input(train))
     return _comparable(training.feature_importance(model).select("feature", "importance"))
+
+
+# -- streams ---------------------------------------------------------------
+
+
+def _scratch_lake(spark: SparkSession) -> Lake:
+    """A lake of its own for each run, in the folder all executors share."""
+    return Lake(f"{ensure_checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}")
+
+
+def _landed(spark, sf):
+    """The news table as messages on the feed, and a lake to stream it into."""
+    lake = _scratch_lake(spark)
+    publish(to_envelope(A.news(spark, sf), A.AS_OF), path=f"{lake.root}/topic")
+    return landing_stream(spark, f"{lake.root}/topic"), lake
+
+
+@query
+def stream_to_bronze(spark, sf):
+    messages, lake = _landed(spark, sf)
+    feed.to_bronze(messages, lake, trigger=None, as_of=A.AS_OF).awaitTermination()
+    return lake.read(spark, "bronze").select(
+        "id", "source", F.col("source_type").cast("string"), "title", "label",
+        F.col("bronze_date").cast("string"),
+    )
+
+
+@query
+def stream_to_silver(spark, sf):
+    messages, lake = _landed(spark, sf)
+    records = B.good(B.decode(messages))
+    feed.to_silver(records, lake, trigger=None, as_of=A.AS_OF).awaitTermination()
+    return _comparable(lake.read(spark, "silver").select("id", "word_count", "char_count"))
+
+
+@query
+def stream_dedup(spark, sf):
+    messages, lake = _landed(spark, sf)
+    once = feed.deduplicated(B.good(B.decode(messages))).select("id")
+    out = f"{lake.root}/ids"
+    writer = once.writeStream.format("parquet").option("checkpointLocation", lake.checkpoint("ids"))
+    writer.trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _prediction_stream(spark, sf):
+    schema = A.table(spark, sf, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # A watermark needs an instant, not a wall-clock time.
+    return A.as_predictions(events).withColumn("analyzed_at", F.col("analyzed_at").cast("timestamp"))
+
+
+@query
+def live_predictions_daily(spark, sf):
+    lake = _scratch_lake(spark)
+    figure = _comparable(feed.live_daily(_prediction_stream(spark, sf)))
+    feed.to_counters(figure, lake, "daily", trigger=None).awaitTermination()
+    return feed.read_counters(spark, lake, "daily", "day")
+
+
+@query
+def live_hourly_trend(spark, sf):
+    lake = _scratch_lake(spark)
+    figure = _comparable(feed.live_hourly(_prediction_stream(spark, sf)))
+    feed.to_counters(figure, lake, "hourly", trigger=None).awaitTermination()
+    return feed.read_counters(spark, lake, "hourly", "hour")

@@ -31,17 +31,23 @@ def skew_join(
     if counts is None:
         counts = long.groupBy(key).agg(F.count("*").alias("n"))
     limit = F.greatest(counts.agg(F.sum("n")).scalar() / HOT_KEYS, F.lit(float(hot_rows)))
+    # By the key's hash: 12 bytes a row however long the keys. Two keys of one hash
+    # are both dealt out, on both sides alike, which changes no result.
+    hashed = F.xxhash64(key)
     hot = F.broadcast(
-        counts.filter(F.col("n") > limit).select(
-            key, F.ceil(F.col("n") / limit).cast("int").alias("_groups")
-        )
+        counts.filter(F.col("n") > limit)
+        .groupBy(hashed.alias("_hash"))
+        .agg(F.max(F.ceil(F.col("n") / limit)).cast("int").alias("_groups"))
     )
     # Free of nulls, or the optimiser adds a check that hashes each row once more.
     groups = F.coalesce("_groups", F.lit(1))
-    dealt = long.join(hot, key, "left").withColumn(
+    with_groups = lambda df: df.withColumn("_hash", hashed).join(hot, "_hash", "left")
+    dealt = with_groups(long).withColumn(
         "_salt", F.coalesce(F.pmod(F.hash(spread), groups), F.lit(0))
     )
-    copies = short.join(hot, key, "left").withColumn(
+    copies = with_groups(short).withColumn(
         "_salt", F.explode_outer(F.sequence(F.lit(0), groups - 1))
     )
-    return dealt.drop("_groups").join(copies.drop("_groups"), [key, "_salt"], how).drop("_salt")
+    scratch = ("_hash", "_groups")
+    joined = dealt.drop(*scratch).join(copies.drop(*scratch), [key, "_salt"], how)
+    return joined.drop("_salt")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
 from broadsheet.operators.joins import skew_join
+from broadsheet.operators.silver import first_per_key
 
 # Fixed value: seconds for which a prediction may be reused.
 REUSE_SECONDS = 3600
@@ -48,6 +49,15 @@ def unscored(articles: DataFrame, prior: DataFrame, as_of: Column, key: str = "i
     return skew_join(articles, known, "content_hash", spread=key, how="left_anti")
 
 
+def unscored_contents(articles: DataFrame, prior: DataFrame | None, as_of: Column) -> DataFrame:
+    """One article for each distinct content without a fresh prediction. Copies go
+    inside the map tasks, so the join sees each content once and has no hot key."""
+    once = first_per_key(articles, ["content_hash"], ["id"])
+    if prior is None:
+        return once
+    return once.join(fresh(prior, as_of).select("content_hash"), "content_hash", "left_anti")
+
+
 def reused(articles: DataFrame, prior: DataFrame, as_of: Column, key: str = "id") -> DataFrame:
     """Articles with a fresh prediction, and the latest such prediction. Predictions
     are first reduced to one per content, so the join never multiplies rows."""

@@ -12,7 +12,6 @@ from broadsheet.functions import text as X
 from broadsheet.functions.features import with_features
 from broadsheet.operators.evaluation import label_name
 from broadsheet.operators.predictions import accepted, validate_requests
-from broadsheet.operators.silver import first_per_key
 
 COMPONENT = "predict"
 
@@ -69,8 +68,3 @@ def request_articles(requests: DataFrame) -> DataFrame:
             "content_cleaned": X.strip_tags(F.col("content")),
         }
     )
-
-
-def one_per_content(articles: DataFrame) -> DataFrame:
-    """One article for each distinct content, so that copies are scored once."""
-    return first_per_key(articles, ["content_hash"], ["id"])

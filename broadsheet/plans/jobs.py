@@ -19,7 +19,7 @@ from broadsheet.operators import predictions as P
 from broadsheet.operators import quality as Q
 from broadsheet.operators import silver as V
 from broadsheet.operators import splits as L
-from broadsheet.operators.scoring import one_per_content, request_articles, score
+from broadsheet.operators.scoring import request_articles, score
 from broadsheet.plans import training
 from broadsheet.plans.lake import Lake
 from broadsheet.session import size_for
@@ -146,10 +146,9 @@ def run_scoring(
     rejected requests."""
     articles = request_articles(requests)
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    if lake.exists(spark, "predictions"):
-        articles = P.unscored(articles, lake.read(spark, "predictions"), now)
+    prior = lake.read(spark, "predictions") if lake.exists(spark, "predictions") else None
     model = training.load_model(lake.model_path())
-    scored = score(one_per_content(articles), model, "content", as_of)
+    scored = score(P.unscored_contents(articles, prior, now), model, "content", as_of)
     write_table(balanced(scored), lake.path("predictions"), "append", (), lake.fmt)
     return P.rejected(P.validate_requests(requests))
 

@@ -18,6 +18,7 @@ TABLES = (
     "train",
     "test",
     "predictions",
+    "counters",
     "runs",
 )
 SPLITS = ("train", "test")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from broadsheet.operators import bronze as B
@@ -13,6 +14,7 @@ from broadsheet.operators import monitoring as M
 from broadsheet.operators.scoring import request_articles, score
 from broadsheet.plans.jobs import append_new_silver, write_bronze_batch, write_quarantine_batch
 from broadsheet.plans.lake import Lake
+from broadsheet.sources.tables import read_table, write_table
 
 TRIGGER = "5 minutes"
 
@@ -23,9 +25,11 @@ def _start(
     checkpoint: str,
     name: str,
     trigger: str | None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Micro-batches every `trigger`, or, with None, all there is and then stop."""
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).queryName(name)
+    writer = stream.writeStream.foreachBatch(each).outputMode(mode).queryName(name)
+    writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     return writer.start()
 
@@ -84,3 +88,24 @@ def live_hourly(predictions: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 def live_rate(predictions: DataFrame, width: str = M.MINUTE, delay: str = "1 hour") -> DataFrame:
     return M.rate(predictions.withWatermark("analyzed_at", delay), "analyzed_at", width)
+
+
+def to_counters(
+    counters: DataFrame, lake: Lake, name: str, trigger: str | None = TRIGGER
+) -> StreamingQuery:
+    """Keep the rows of a live figure that changed in each micro-batch. A batch
+    played again replaces itself."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{lake.path('counters')}/figure={name}/batch_id={batch_id}"
+        write_table(batch, folder, "overwrite", (), lake.fmt)
+
+    return _start(counters, each, lake.checkpoint(f"counters-{name}"), name, trigger, "update")
+
+
+def read_counters(spark: SparkSession, lake: Lake, name: str, key: str) -> DataFrame:
+    """The state of a live figure: for each window its row from the latest batch."""
+    rows = read_table(spark, f"{lake.path('counters')}/figure={name}", lake.fmt)
+    rest = [c for c in rows.columns if c not in (key, "batch_id")]
+    latest = F.max_by(F.struct(*rest), F.col("batch_id").cast("long")).alias("latest")
+    return rows.groupBy(key).agg(latest).select(key, "latest.*")

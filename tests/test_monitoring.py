@@ -89,6 +89,18 @@ def test_reuse_with_hot_content_and_expiry(spark):
     assert todo == {str(i) for i in range(200, 300)} - {"252"}
 
 
+def test_each_content_is_scored_once(spark):
+    articles = spark.createDataFrame(
+        [("1", "a"), ("2", "a"), ("3", "b"), ("4", "c")], "id STRING, content_hash STRING"
+    )
+    prior = spark.createDataFrame(
+        [("b", "2024-01-01 11:30:00"), ("c", "2024-01-01 09:00:00")], "content_hash STRING, at STRING"
+    ).withColumn("analyzed_at", F.col("at").cast("timestamp"))
+    now = F.lit("2024-01-01 12:00:00").cast("timestamp")
+    assert {r.id for r in P.unscored_contents(articles, prior, now).collect()} == {"1", "4"}
+    assert {r.id for r in P.unscored_contents(articles, None, now).collect()} == {"1", "3", "4"}
+
+
 def test_latest_label_wins(spark):
     schema = "doc_id INT, quality INT, version INT"
     old = spark.createDataFrame([(1, 0, 1), (2, 1, 1)], schema)

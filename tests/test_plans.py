@@ -12,7 +12,18 @@ from conftest import formatted_plan
 
 QUERIES = entry_points.queries()
 # These fit a model or write a checkpoint when called.
-EAGER = {"tfidf_vectors", "score_documents", "ensemble_documents", "model_runs", "feature_weights"}
+EAGER = {
+    "tfidf_vectors",
+    "score_documents",
+    "ensemble_documents",
+    "model_runs",
+    "feature_weights",
+    "stream_to_bronze",
+    "stream_to_silver",
+    "stream_dedup",
+    "live_predictions_daily",
+    "live_hourly_trend",
+}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))

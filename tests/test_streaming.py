@@ -98,6 +98,27 @@ def test_live_counters_equal_batch(spark, log, tmp_path, live, batch):
     assert sorted(map(tuple, spark.table("live").collect())) == sorted(map(tuple, batch(table).collect()))
 
 
+def test_counters_keep_the_latest_state(spark, tmp_path):
+    """A day that grows in a later batch shows its newest total, and only once."""
+    source, lake = tmp_path / "in", Lake(str(tmp_path / "lake"))
+    source.mkdir()
+    schema = "id STRING, prediction STRING, analyzed_at TIMESTAMP, latency_ms DOUBLE"
+    stream = spark.readStream.schema(schema).json(str(source))
+    row = lambda id, at, what: json.dumps({"id": id, "prediction": what, "analyzed_at": at, "latency_ms": 1.0})
+
+    def state():
+        feed.to_counters(feed.live_daily(stream), lake, "daily", trigger=None).awaitTermination(120)
+        rows = feed.read_counters(spark, lake, "daily", "day").collect()
+        return {str(r.day)[:10]: (r.total, r.fake) for r in rows}
+
+    (source / "1.json").write_text(row("a", "2024-01-01T10:00:00Z", "fake"))
+    assert state() == {"2024-01-01": (1, 1)}
+    (source / "2.json").write_text(
+        row("b", "2024-01-01T11:00:00Z", "real") + "\n" + row("c", "2024-01-02T00:00:00Z", "real")
+    )
+    assert state() == {"2024-01-01": (2, 1), "2024-01-02": (1, 0)}
+
+
 def test_late_rows_are_left_out(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()

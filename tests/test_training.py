@@ -58,8 +58,17 @@ def test_models_learn_and_ties_keep_order(results):
 
 
 def test_same_seed_same_figures(sides, results):
-    again = training.train_models(*sides, training.default_classifiers(**SMALL), dimensions=DIMENSIONS)
-    assert [(r.auc, r.accuracy, r.cv_auc) for r in again] == [(r.auc, r.accuracy, r.cv_auc) for r in results]
+    name = "random_forest"
+    forest = training.default_classifiers(**SMALL)[name]
+    [again] = training.train_models(*sides, {name: forest}, dimensions=DIMENSIONS)
+    assert (again.auc, again.accuracy, again.cv_auc) == (results[0].auc, results[0].accuracy, results[0].cv_auc)
+
+
+def test_weights_may_be_fitted_on_all_rows(sides, articles):
+    train, test = sides
+    own = training.prepare(train, test, DIMENSIONS).model.stages[4].idf
+    every = training.prepare(train, test, DIMENSIONS, fit_on=articles).model.stages[4].idf
+    assert len(own) == len(every) == DIMENSIONS and list(own) != list(every)
 
 
 def test_best_needs_more_than_nothing_and_prefers_the_first():
