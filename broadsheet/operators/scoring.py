@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -32,9 +34,14 @@ def class_confidence(probability: str, prediction: str) -> Column:
 
 
 def score(
-    articles: DataFrame, model: PipelineModel, content: str = "content_cleaned", as_of: str | None = None
+    articles: DataFrame,
+    model: PipelineModel,
+    content: str = "content_cleaned",
+    as_of: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Cleaned articles to prediction rows. Runs on a stream as well."""
+    """Cleaned articles to prediction rows, with further columns such as single
+    features as asked. Runs on a stream as well."""
     scored = model.transform(model_input(articles))
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     if "ingestion_timestamp" in articles.columns:
@@ -52,6 +59,7 @@ def score(
         X.preview(F.col(content)).alias("content_preview"),
         latency.alias("latency_ms"),
         F.lit(COMPONENT).alias("component"),
+        *keep,
     )
 
 

@@ -84,6 +84,8 @@ def run_gold(
     Returns the fitted text pipeline."""
     size_for(spark, lake.size(spark, "silver"))
     silver = lake.read(spark, "silver")
+    if lake.exists(spark, "labels"):
+        silver = P.with_labels(silver, lake.read(spark, "labels"))
     text = training.text_pipeline(dimensions).fit(silver)
     gold = text.transform(G.numeric_gold(silver, "content_cleaned"))
     gold = G.gold_stamp(gold, as_of).select(*S.GOLD_COLUMNS)
@@ -120,9 +122,18 @@ def run_splits(
     return L.split_counts(lake.read(spark, "splits"))
 
 
+def add_labels(labels: DataFrame, lake: Lake, version: int) -> None:
+    """Record newly labelled ids as (id, label). From the next gold on, the highest
+    version of an id holds; train again to learn from it."""
+    rows = labels.select("id", "label", F.lit(version).alias("version"))
+    folder = f"{lake.path('labels')}/pass={version}"
+    write_table(rows, folder, "overwrite", (), lake.fmt)
+
+
 def labelled_text(spark: SparkSession, lake: Lake, part: str) -> DataFrame:
-    """Silver rows of one side of the split, text included, for training."""
-    return lake.read(spark, "silver").join(lake.read(spark, part).select("id"), "id", "left_semi")
+    """One side of the split with its text from silver, for training."""
+    labels = lake.read(spark, part).select("id", F.col("label").cast("string"))
+    return lake.read(spark, "silver").drop("label").join(labels, "id")
 
 
 def run_training(spark: SparkSession, lake: Lake, **options) -> training.Trained | None:

@@ -12,6 +12,7 @@ TABLES = (
     "bronze",
     "quarantine",
     "silver",
+    "labels",
     "gold",
     "feature_statistics",
     "splits",

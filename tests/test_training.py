@@ -142,6 +142,8 @@ def test_save_load_score_is_equal(spark, articles, results, tmp_path):
     before = {r.id: r for r in scoring.score(unlabelled, best.model, as_of="2024-01-01").collect()}
     after = {r.id: r for r in scoring.score(unlabelled, loaded, as_of="2024-01-01").collect()}
     assert before == after and len(before) == 240
+    more = scoring.score(unlabelled, loaded, keep=("word_count", "caps_ratio"))
+    assert more.columns == [*S.PREDICTION_COLUMNS, "word_count", "caps_ratio"]
     assert all(0.5 <= r.confidence <= 1 and r.prediction in S.LABELS for r in before.values())
     meta = {r.model: r.best for r in spark.read.json(f"{tmp_path}/metadata").collect()}
     assert meta[best.name] and sum(meta.values()) == 1
@@ -206,3 +208,14 @@ def test_whole_lake(spark, articles, tmp_path):
     assert lake.read(spark, "predictions").count() == first
     jobs.run_scoring(spark, lake, requests, "2024-01-05 12:30:00")
     assert lake.read(spark, "predictions").count() == 2 * first
+
+    # Corrections reach gold, the splits and the training rows; the last one holds.
+    [a, b] = [r.id for r in records.filter("label = 'fake'").select("id").limit(2).collect()]
+    schema = "id STRING, label STRING"
+    jobs.add_labels(spark.createDataFrame([(a, "real"), (b, "real")], schema), lake, 1)
+    jobs.add_labels(spark.createDataFrame([(b, "fake")], schema), lake, 2)
+    jobs.refresh(spark, lake, ["gold", "splits"])
+    gold = {r.id: r.label for r in jobs.read_gold(spark, lake).select("id", "label").collect()}
+    assert gold[a] == "real" and gold[b] == "fake" and len(gold) == 240
+    sides = jobs.labelled_text(spark, lake, "train").unionByName(jobs.labelled_text(spark, lake, "test"))
+    assert sides.count() == 240 and sides.filter(F.col("id") == a).first().label == "real"
