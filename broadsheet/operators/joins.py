@@ -1,4 +1,4 @@
-"""A join in which no key of the long side ends up on one task."""
+"""Joins of a long table: with a short list of rows, and with keys that may be hot."""
 
 from __future__ import annotations
 
@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 HOT_KEYS = 50_000
 HOT_ROWS = 100_000
 
+# At 50 bytes for an md5 id in a hash table, at most about 50 MB are broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_few(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Send a short list of ids to every task, so that the long table it is joined to
+    stays where it is; leave a longer one to a join by shuffle. Counts the list, at
+    most as far as the limit."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
 
 def skew_join(
     long: DataFrame,

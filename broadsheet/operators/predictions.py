@@ -79,9 +79,8 @@ def latest_labels(*batches: DataFrame, key: str = "doc_id", value: str = "qualit
     return union.groupBy(key).agg(F.max_by(value, "version").alias(value))
 
 
-def with_labels(articles: DataFrame, labels: DataFrame) -> DataFrame:
-    """Articles under their latest label from (id, label, version); those without one
-    keep what they had."""
-    latest = latest_labels(labels, key="id", value="label").withColumnRenamed("label", "_label")
-    joined = articles.join(latest, "id", "left")
+def with_labels(articles: DataFrame, latest: DataFrame) -> DataFrame:
+    """Articles under the labels of (id, label), one per id; those without one keep
+    what they had."""
+    joined = articles.join(latest.withColumnRenamed("label", "_label"), "id", "left")
     return joined.withColumn("label", F.coalesce("_label", "label")).drop("_label")

@@ -19,6 +19,7 @@ from broadsheet.operators import predictions as P
 from broadsheet.operators import quality as Q
 from broadsheet.operators import silver as V
 from broadsheet.operators import splits as L
+from broadsheet.operators.joins import broadcast_if_few
 from broadsheet.operators.scoring import request_articles, score
 from broadsheet.plans import training
 from broadsheet.plans.lake import Lake
@@ -26,8 +27,6 @@ from broadsheet.session import size_for
 from broadsheet.sources.tables import balanced, write_table
 
 BRONZE_PARTITIONS = ("source_type", "bronze_date")
-# An md5 id takes some 50 bytes in a hash table: at most about 50 MB are broadcast.
-BROADCAST_IDS = 1_000_000
 
 
 def write_bronze_batch(
@@ -55,12 +54,10 @@ def run_silver(spark: SparkSession, lake: Lake, as_of: str | None = None) -> Non
 
 
 def known_among(records: DataFrame, known: DataFrame) -> DataFrame:
-    """Ids of `records` that `known` holds already. A short list of ids goes to every
-    task, so that the long table is read in place, one column of it, and never
-    shuffled; a list too long for that is joined by shuffle."""
-    ids = records.select("id").distinct()
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return known.select("id").join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    """Ids of `records` that `known` holds already. Of the long table only the id
+    column is read, and with a short list of ids it is not shuffled."""
+    ids = broadcast_if_few(records.select("id").distinct())
+    return known.select("id").join(ids, "id", "left_semi")
 
 
 def append_new_silver(
@@ -85,7 +82,8 @@ def run_gold(
     size_for(spark, lake.size(spark, "silver"))
     silver = lake.read(spark, "silver")
     if lake.exists(spark, "labels"):
-        silver = P.with_labels(silver, lake.read(spark, "labels"))
+        latest = P.latest_labels(lake.read(spark, "labels"), key="id", value="label")
+        silver = P.with_labels(silver, broadcast_if_few(latest))
     text = training.text_pipeline(dimensions).fit(silver)
     gold = text.transform(G.numeric_gold(silver, "content_cleaned"))
     gold = G.gold_stamp(gold, as_of).select(*S.GOLD_COLUMNS)
@@ -133,7 +131,7 @@ def add_labels(labels: DataFrame, lake: Lake, version: int) -> None:
 def labelled_text(spark: SparkSession, lake: Lake, part: str) -> DataFrame:
     """One side of the split with its text from silver, for training."""
     labels = lake.read(spark, part).select("id", F.col("label").cast("string"))
-    return lake.read(spark, "silver").drop("label").join(labels, "id")
+    return lake.read(spark, "silver").drop("label").join(broadcast_if_few(labels), "id")
 
 
 def run_training(spark: SparkSession, lake: Lake, **options) -> training.Trained | None:

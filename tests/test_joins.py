@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.operators.joins import skew_join
+from broadsheet.operators.joins import broadcast_if_few, skew_join
 
 
 @pytest.fixture(scope="module")
@@ -35,3 +35,9 @@ def test_hot_key_is_dealt_out(spark, tables):
     df = skew_join(long, short, "k", "id", hot_rows=50)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan and "strategy=broadcast" in plan
+
+
+def test_broadcast_stops_at_its_limit(spark):
+    ids, table = spark.range(10), spark.range(1000)
+    hinted = lambda limit: table.join(broadcast_if_few(ids, limit), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in hinted(10) and "strategy=broadcast" not in hinted(9)
