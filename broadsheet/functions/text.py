@@ -78,9 +78,11 @@ def preview(c: Column) -> Column:
 
 
 def tokens(c: Column) -> Column:
-    """Lower-cased text split at every whitespace character. Trailing empty
-    tokens go, others stay, as MLlib's Tokenizer has it."""
-    return F.split(F.rtrim(F.lower(c), F.lit(BLANKS)), WHITESPACE)
+    """Lower-cased text split at every whitespace character. Trailing empty tokens go,
+    others stay, and blanks alone give none, as MLlib's Tokenizer has it."""
+    text = F.rtrim(F.lower(c), F.lit(BLANKS))
+    only_blanks = (text == "") & (c != "")
+    return F.when(only_blanks, F.array().cast("array<string>")).otherwise(F.split(text, WHITESPACE))
 
 
 def drop_stop_words(words: Column) -> Column:

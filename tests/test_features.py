@@ -1,4 +1,6 @@
 import math
+import random
+import re
 
 import pytest
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
@@ -75,7 +77,7 @@ def test_stop_words_are_sparks_own(spark):
 
 
 def test_relational_tokens_equal_the_transformers(spark):
-    df = spark.createDataFrame([(t,) for t in ["The cat\tsat  on\n", " lead", "", "Ünï  CODE the"]], "c STRING")
+    df = spark.createDataFrame([(t,) for t in ["The cat\tsat  on\n", " lead", "", " \n\t ", "a\x0b\f", "Ünï  CODE the"]], "c STRING")
     by_ml = StopWordsRemover(inputCol="w", outputCol="f").transform(
         Tokenizer(inputCol="c", outputCol="w").transform(df)
     )
@@ -87,3 +89,42 @@ def test_relational_tokens_equal_the_transformers(spark):
 def test_preview(spark):
     df = spark.createDataFrame([("x" * 300,), ("ab",)], "c STRING")
     assert [r.p for r in df.select(X.preview(F.col("c")).alias("p")).collect()] == ["x" * 200 + "...", "ab..."]
+
+
+def expected(profile, c, title, author):
+    """The features written out in Python."""
+    ratio = lambda a, b: a / b if b else None
+    words = len(c.split(" ")) if profile == "lake" else len(c.split())
+    caps = len(re.findall("[A-Z]", c)) if profile == "lake" else sum(x.isupper() for x in c)
+    numbers = {
+        "lake": len(re.split("[0-9]+", c)),
+        "documented": len(re.findall("[0-9]+", c)),
+        "serving": sum(x.isdigit() for x in c),
+    }
+    urls = {
+        "lake": len(re.split(r"https?://[^ \t\n\x0b\f\r]+", c)),
+        "documented": len(re.findall("https?://", c)),
+        "serving": c.lower().count("http"),
+    }
+    average = ratio(len(c), words)
+    if profile == "serving":
+        average = len(c.replace(" ", "")) / max(words, 1)
+    return {
+        "word_count": words, "char_count": len(c), "has_author": int(bool(author)), "title_length": len(title),
+        "exclamation_count": c.count("!"), "question_count": c.count("?"), "caps_ratio": ratio(caps, len(c)),
+        "avg_word_length": average, "numeric_count": numbers[profile], "url_count": urls[profile],
+    }
+
+
+@pytest.mark.parametrize("profile", ["lake", "documented", "serving"])
+def test_random_texts(spark, profile):
+    rnd = random.Random(7)
+    parts = ["a", "Word", "É", "ß", "12", "7", "!", "?", " ", "  ", "\t", "\n", "http://", "https://x.y", "HTTP", "日本", "😀"]
+    rows = [
+        ("".join(rnd.choices(parts, k=rnd.randint(0, 25))), "t" * rnd.randint(0, 5), rnd.choice([None, "", "x"]))
+        for _ in range(400)
+    ]
+    df = with_features(spark.createDataFrame(rows, SCHEMA), profile)
+    for r in df.collect():
+        want = expected(profile, r.content_cleaned, r.title_cleaned, r.author)
+        assert {k: r[k] for k in want} == want, r.content_cleaned
