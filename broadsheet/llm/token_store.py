@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 
@@ -49,12 +50,18 @@ KEY_SCHEMA = "doc_id long, occurrence long"
 class ChunkEncoder:
     """Ids of whole texts by a byte-level BPE of the tokenizers library.
 
-    The pre-tokenizer always splits before a single space between two characters that
-    are not white space, so the stretches between such places can be encoded apart.
-    Each is encoded once for as long as it is remembered.
+    The pre-tokenizer always splits before a single space, and around a single line
+    break, between two characters that are not white space. So the stretches between
+    such places can be encoded apart, and each once for as long as it is remembered.
+    Stretches are kept without the space before them; one that is to be encoded as it
+    stands is marked by HEAD.
     """
 
-    LIMIT = 300_000
+    LIMIT = 1_000_000
+    HEAD = "\r"
+    # White space that is not a single space or line break between other characters.
+    ODD = re.compile(r"\s\s|[^\S \n]")
+    SPACE = re.compile(r"\s")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,37 +70,78 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.line_break = self._ids("\n")
         self.known: dict[str, bytes] = {}
 
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        parts = text.split(" ")
-        out = [parts[0]]
-        for part in parts[1:]:
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+
+    def stretches(self, text: str) -> list[str]:
+        if text and not (self.ODD.search(text) or text[0].isspace() or text[-1].isspace()):
+            parts = text.replace("\n", " \n").split(" ")
+            parts[0] = self.HEAD + parts[0]
+            return parts
+        first, *parts = text.split(" ")
+        out = [self.HEAD + first]
+        for part in parts:
             last = out[-1]
-            if part and last and not part[0].isspace() and not last[-1].isspace():
-                out.append(" " + part)
-            else:
+            if part and last != self.HEAD and not part[0].isspace() and not last[-1].isspace():
+                out.append(part)
+            elif last[0] == self.HEAD:
                 out[-1] = last + " " + part
-        return out
+            else:
+                out[-1] = f"{self.HEAD} {last} {part}"
+        return [x if x[0] == self.HEAD or not self.SPACE.search(x) else f"{self.HEAD} {x}" for x in out]
+
+    def _encode_new(self, stretches: list[str]) -> dict[str, bytes]:
+        """Ids of stretches not known yet. Full stops and commas behind a letter are
+        tokens apart, so words are encoded without them; and words stand one after the
+        other in one text, a line break between them, whose id marks where each ends."""
+        stems, got = {}, {}
+        for x in stretches:
+            stem = x.rstrip(".,")
+            stems[x] = stem if len(stem) < len(x) and stem[-1:].isalpha() else x
+        words = list({w for w in stems.values() if w not in self.known})
+        plain = [w for w in words if len(w) > 1 and not self.SPACE.search(w, 1)]
+        alone = {w for w in words} - set(plain) if len(self.line_break) == 1 else set(words)
+        bare = lambda w: w[1:] if w[0] in (self.HEAD, "\n") else " " + w
+        if len(self.line_break) == 1:
+            parts = [plain[i : i + 250] for i in range(0, len(plain), 250)]
+            joined = ["\n".join(map(bare, part)) for part in parts]
+            line, width = self.line_break.tobytes(), self.dtype.itemsize
+            for part, e in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+                ids = np.array(e.ids, self.dtype)
+                ends = np.flatnonzero(ids == self.line_break[0])
+                if len(ends) != len(part) - 1:
+                    alone.update(part)
+                    continue
+                data = ids.tobytes()
+                starts, ends = np.append(0, ends + 1) * width, np.append(ends, len(ids)) * width
+                for w, a, b in zip(part, starts.tolist(), ends.tolist()):
+                    got[w] = line + data[a:b] if w[0] == "\n" else data[a:b]
+        for w in alone:
+            whole = w[1:] if w[:1] == self.HEAD else w if w[:1] == "\n" else " " + w
+            got[w] = self._ids(whole).tobytes()
+        for x, stem in stems.items():
+            if stem != x:
+                tail = x[len(stem) :]
+                if (marks := self.known.get(self.HEAD + tail)) is None:
+                    marks = self.known[self.HEAD + tail] = self._ids(tail).tobytes()
+                got[x] = (got.get(stem) or self.known[stem]) + marks
+        return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.chunks(t) for t in texts]
-        known = self.known
-        new = list({c for chunks in split for c in chunks if c not in known})
-        got = {}
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                got[chunk] = np.array(e.ids, self.dtype).tobytes()
-        room = self.LIMIT - len(known)
-        if len(got) <= room:
-            known.update(got)
-            return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
-        if room > 0:
-            known.update(dict(zip(new[:room], map(got.__getitem__, new))))
-        look = lambda c: known.get(c) or got.get(c, b"")
-        return [b"".join(map(look, chunks)) for chunks in split]
+        split, known = [self.stretches(t) for t in texts], self.known
+        new = set()
+        for parts in split:
+            new.update(set(parts).difference(known))
+        got = self._encode_new(list(new))
+        room = max(0, self.LIMIT - len(known))
+        known.update(got)
+        out = [b"".join(map(known.__getitem__, parts)) for parts in split]
+        for x in list(got)[room:]:
+            del known[x]
+        return out
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
