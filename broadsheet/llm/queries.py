@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import mixing, repetition, token_store, warc
+from broadsheet.llm import hyperminhash, lattice, mixing, repetition, token_store, toxicity, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -59,11 +59,32 @@ FROM copies
 """
 
 
+@query
+def op3_noisy_or(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score_toxicity(docs, toxicity.train(docs, labels))
+    worst = F.expr("array_max(transform(offending, x -> struct(x.score, -x.start as place, x.end))) as worst")
+    return scored.select("*", F.size("offending").alias("n_offending"), worst).select(
+        "doc_id", "held_out", "score", "predicted", "n_sentences", "n_offending",
+        (-F.col("worst.place")).alias("worst_start"), F.col("worst.end").alias("worst_end"),
+    )
+
+
+@query
+def op4_subword_lattice(spark, sf_dir):
+    return lattice.lattice_scores(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op7_repetition_coverage(spark, sf_dir):
     return repetition.repetition_rules(documents(spark, sf_dir))
 
 
+@query
+def op8_hyperminhash(spark, sf_dir):
+    return hyperminhash.near_duplicates(documents(spark, sf_dir))
+
+
 @query
 def op9_warc_dictionary(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
