@@ -87,6 +87,16 @@ def crc_bucket(column: str | Column, n: int) -> Column:
     return F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(n))
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """A document is its doc_id and its text: both, since either may repeat. Adds _id
+    and _version, never null, that tell documents apart."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.withColumns({
+        "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
+        "_version": F.xxhash64(F.col("doc_id").isNull(), text),
+    })
+
+
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
