@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import hyperminhash, lattice, mixing, repetition, token_store, toxicity, warc
+from broadsheet.llm import cotrain, decontam, fuzzy_lines, hyperminhash, lattice, mixing, repetition, token_store, toxicity, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +23,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op1_latent_decontamination(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontam.leaking_documents(documents(spark, sf_dir), benchmark)
+
+
 @query
 def op2_poisson_mix(spark, sf_dir):
     mixed = mixing.mix_sources(documents(spark, sf_dir))
@@ -75,6 +81,20 @@ def op4_subword_lattice(spark, sf_dir):
     return lattice.lattice_scores(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op5_fuzzy_lines(spark, sf_dir):
+    return fuzzy_lines.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query
+def op6_cotraining(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = cotrain.train(docs, labels)
+    return cotrain.score_quality(docs, model).select(
+        "doc_id", "content_score", "metadata_score", "score", "accepted"
+    )
+
+
 @query
 def op7_repetition_coverage(spark, sf_dir):
     return repetition.repetition_rules(documents(spark, sf_dir))
