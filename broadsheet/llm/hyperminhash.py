@@ -21,6 +21,8 @@ REGISTERS = BANDS * ROWS
 MANTISSA_BITS = 10
 # Estimates may fall short of the threshold by so many standard errors.
 ERRORS = 5.0
+# Shingles on either side of a comparison in memory: 2 MB each.
+PART = 200_000
 
 _random = np.random.default_rng(0x4D696E48)
 MULTIPLIERS = _random.integers(1 << 62, (1 << 64) - 1, REGISTERS, np.uint64) | np.uint64(1)
@@ -111,6 +113,64 @@ def _paired(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     return pairs.select("a", "b", *(f"{c}_{s}" for c in columns for s in ("a", "b")))
 
 
+def _links_between(table: pa.Table, percent: int) -> pa.Table:
+    """Links between the documents of side 0 and those of side 1 that are of another
+    component, one for each document and component: sets are compared in full, in
+    memory. No list of pairs is made."""
+    side, nodes, groups = (table.column(c).to_numpy() for c in ("side", "node", "component"))
+    hashes = table.column("hashes").combine_chunks()
+    sizes = np.diff(hashes.offsets.to_numpy())
+    _, number = np.unique(hashes.flatten().to_numpy(), return_inverse=True)
+    first = np.cumsum(sizes) - sizes
+    right = np.flatnonzero(side == 1)
+    elements = np.concatenate([number[first[k] : first[k] + sizes[k]] for k in right])
+    starts = np.cumsum(sizes[right]) - sizes[right]
+    mark, out = np.zeros(number.max(initial=-1) + 1, np.int32), []
+    for k in np.flatnonzero(side == 0):
+        own = number[first[k] : first[k] + sizes[k]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[elements], starts)
+        mark[own] = 0
+        linked = (100 * both >= percent * (sizes[k] + sizes[right] - both)) & (groups[right] != groups[k])
+        found = right[linked]
+        _, one = np.unique(groups[found], return_index=True)
+        out += ((nodes[k], nodes[x]) for x in found[one])
+    a, b = zip(*out) if out else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _links_across(mixed: DataFrame, hashes: DataFrame, percent: int) -> DataFrame:
+    """All links that join components in `mixed` (bucket, node, component), as far as it
+    takes to connect them. Documents that share a bucket form a family. Links inside its
+    largest component are not wanted, so the others are compared with all of the family;
+    both sides are dealt out by the size of their sets, so that a task holds two parts
+    of bounded size however large the family."""
+    leaders = mixed.groupBy("bucket").agg(F.min("node").alias("a"))
+    families = components(mixed.join(leaders, "bucket").select("a", F.col("node").alias("b")))
+    rows = mixed.select("node", "component").distinct().join(families.toDF("node", "family"), "node")
+    rows = rows.join(hashes, "node").withColumn("n", F.size("hashes").cast("long"))
+    rows = written(rows, "families")
+    sizes = rows.groupBy("family", "component").agg(F.sum("n").alias("n"))
+    sizes = sizes.groupBy("family").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all")
+    )
+    parts = lambda n: F.ceil(n / F.lit(float(PART))).cast("int")
+    sizes = sizes.select(
+        "family", "main", F.greatest(parts(F.col("all") - F.col("most")), F.lit(1)).alias("lefts"),
+        parts(F.col("all")).alias("rights"),
+    )
+    rows = rows.join(sizes, "family")
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ("family", "i", "j", "side", "node", "component", "hashes")
+    left = rows.filter("component <> main").withColumns({"side": F.lit(0), "i": deal("lefts"), "j": upto("rights")})
+    right = rows.withColumns({"side": F.lit(1), "j": deal("rights"), "i": upto("lefts")})
+    dealt = left.select(*columns).union(right.select(*columns))
+    return dealt.groupBy("family", "i", "j").applyInArrow(
+        lambda table: _links_between(table, percent), "a long, b long"
+    )
+
+
 def _labelled(members: DataFrame, groups: DataFrame) -> DataFrame:
     joined = members.join(groups.withColumnRenamed("id", "node"), "node", "left")
     return joined.withColumn("component", F.coalesce("component", "node"))
@@ -161,15 +221,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     stars = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     links = written(confirmed(stars.distinct()).union(same), "confirmed")
     groups = components(links)
-    # Then pairs of a bucket that are in different groups still, all of them: any may be
-    # the only link. Groups of copies are done by now.
+    # Then documents that share a bucket with one of another group: any of them may be
+    # linked still.
     labelled = _labelled(members.select("bucket", "node"), groups)
     spans = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    mixed = written(labelled.join(spans.filter("x < y"), "bucket").select("bucket", "node", "component"), "mixed")
-    left = mixed.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
-    right = mixed.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
-    across = left.join(right, "bucket").filter("ca < cb").select("a", "b").distinct()
-    more = written(confirmed(across), "confirmed")
+    mixed = labelled.join(spans.filter("x < y").select("bucket"), "bucket").select("bucket", "node", "component")
+    more = written(_links_across(written(mixed, "mixed"), hashes, percent), "confirmed")
     if not more.isEmpty():
         groups = components(links.union(more))
 
