@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -173,26 +174,23 @@ def _with_fallback(arcs, lone):
 
 
 def _counted(batches):
-    """Counts of words in all texts and in training texts, of bounded memory."""
-    every, train = Counter(), Counter()
+    """Counts of words in training texts and in the others, of bounded memory."""
+    counts = {True: Counter(), False: Counter()}
 
-    def out():
-        words = list(every)
-        rows = [pa.array(words, pa.string()), pa.array([train[w] for w in words], pa.int64()),
-                pa.array([every[w] for w in words], pa.int64())]
-        return pa.RecordBatch.from_arrays(rows, ["word", "c", "n"])
+    def out(train: bool):
+        n = pa.array(list(counts[train].values()), pa.int64())
+        c = n if train else pa.array([0] * len(n), pa.int64())
+        batch = pa.RecordBatch.from_arrays([pa.array(list(counts[train]), pa.string()), c, n], ["word", "c", "n"])
+        counts[train].clear()
+        return batch
 
     for batch in batches:
-        for text, is_train in zip(batch.column(0), batch.column(1).to_pylist()):
-            words = words_of(lower_ascii(text.as_py()))
-            every.update(words)
-            if is_train:
-                train.update(words)
-            if len(every) > COUNTED:
-                yield out()
-                every, train = Counter(), Counter()
-    if every:
-        yield out()
+        for text, train in zip(batch.column(0), batch.column(1).to_pylist()):
+            counts[train].update(words_of(lower_ascii(text.as_py())))
+            if len(counts[train]) > COUNTED:
+                yield out(train)
+    for train in counts:
+        yield out(train)
 
 
 def _expected(batches, path: str, log_p, log_stop):
@@ -232,22 +230,19 @@ PART = pa.schema(
 
 def _scored_texts(batches, frequent, end_base: float, end_score: float, end_known: int):
     """Sums over a text's frequent words and its end, and its other words."""
-    table = frequent.value
+    number, known_of, base_of, score_of = frequent.value
     row = TaskContext.get().partitionId() << 40
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             words = words_of(lower_ascii(text.as_py()))
-            known, base, score, rare = end_known, end_base, end_score, []
-            for word, times in Counter(words).items():
-                got = table.get(word)
-                if got is None:
-                    rare.append((word, times))
-                else:
-                    known += times * got[0]
-                    base += times * got[1]
-                    score += times * got[2]
-            rows.append((row, doc_id, len(words) + 1, known, base, score, [w for w, _ in rare], [t for _, t in rare]))
+            at = np.fromiter(map(number.get, words, repeat(-1)), np.int32, len(words))
+            rare = Counter([words[i] for i in np.flatnonzero(at < 0)])
+            at = at[at >= 0]
+            rows.append((
+                row, doc_id, len(words) + 1, end_known + int(known_of[at].sum()), end_base + float(base_of[at].sum()),
+                end_score + float(score_of[at].sum()), list(rare), list(rare.values()),
+            ))
             row += 1
         if rows:
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), PART)]
@@ -274,6 +269,19 @@ def word_statistics(rows: DataFrame) -> tuple[DataFrame, dict]:
     return counts, stats
 
 
+def _least_count(table: DataFrame) -> float:
+    """The least count of the words that go to every task, so that these are FREQUENT at
+    most. Counts are gathered by eighths of their powers of two: a few hundred rows."""
+    step = F.floor(F.log2("n") * 8).cast("int")
+    room, least = FREQUENT, math.inf
+    for r in table.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        least = 2 ** (r.step / 8) - 1e-9
+    return least
+
+
 def lattice_scores(docs: DataFrame, vocabulary: str, folds: int = FOLDS, em_rounds: int = EM_ROUNDS) -> DataFrame:
     """One row for each row of `docs` (doc_id, text; other columns are not read): doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score and score, the last two log10.
@@ -311,10 +319,11 @@ def lattice_scores(docs: DataFrame, vocabulary: str, folds: int = FOLDS, em_roun
         "word string, c long, n long, score double, base double",
     )
     table = written(table, "word-scores")
-    common = table.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word", "c", "base", "score").toPandas()
-    frequent = spark.sparkContext.broadcast(
-        dict(zip(common.word, zip((common.c > 0).astype(int).tolist(), common.base.tolist(), common.score.tolist())))
-    )
+    common = table.filter(F.col("n") >= _least_count(table)).select("word", "c", "base", "score").toPandas()
+    frequent = spark.sparkContext.broadcast((
+        {w: i for i, w in enumerate(common.word)}, (common.c > 0).to_numpy(np.int64),
+        common.base.to_numpy(), common.score.to_numpy(),
+    ))
     end_base = math.log10((stats["ends"] + ADD) / stats["below"])
     end_score = math.log10(max(stats["ends"], 0.5) / stats["N"])
     schema = ("row long, doc_id long, n_tokens long, n_known long, base double, score double, "
