@@ -237,3 +237,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), kept.alias("kept")
     )
+
+
+def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` whose documents are kept (see `near_duplicates`), with all
+    columns. Of rows that share a doc_id one stays, the first by a hash of its text;
+    rows without doc_id all stay."""
+    found = near_duplicates(docs, percent).select("doc_id", "kept")
+    gone = written(found.filter("not kept").select("doc_id").distinct(), "gone")
+    key = F.col("doc_id").cast("long")
+    rest = docs.join(broadcast_if_few(gone.toDF("_gone")), key == F.col("_gone"), "left_anti")
+    again = docs.groupBy(key.alias("_again")).agg(F.count("*").alias("n")).filter("n > 1 and _again is not null")
+    again = written(again.select("_again"), "again")
+    if again.isEmpty():
+        return rest
+    again = broadcast_if_few(again)
+    single = rest.join(again, key == F.col("_again"), "left_anti")
+    # The first row is found in the map tasks, so one id may have any number of rows.
+    order = F.struct(F.xxhash64("text"), F.col("text"))
+    several = rest.join(again, key == F.col("_again"), "left_semi").groupBy(key.alias("_key")).agg(
+        F.min_by(F.struct(*(F.col(c) for c in docs.columns)), order).alias("row")
+    )
+    return single.unionByName(several.select("row.*"))
