@@ -10,6 +10,7 @@ from broadsheet import schemas as S
 
 DATE_FORMAT = "yyyy-MM-dd"
 CORRUPT = "_corrupt"
+KEY = "id"
 
 
 def from_json_text(value: Column, schema: T.StructType = S.WIRE) -> Column:
@@ -17,13 +18,19 @@ def from_json_text(value: Column, schema: T.StructType = S.WIRE) -> Column:
 
 
 def decode(messages: DataFrame, schema: T.StructType = S.WIRE) -> DataFrame:
-    """Columns of the JSON value, plus `_corrupt` holding the text of messages that
-    are not JSON objects of this shape (null for good ones)."""
+    """Columns of the JSON value, plus `_corrupt`: null for good messages, else their
+    text. Bad are those that are not JSON objects of this shape, those without a value
+    (their text is empty) and, where the schema has an id, those without one."""
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(
-        F.col("value").cast("string"), with_corrupt, {"columnNameOfCorruptRecord": CORRUPT}
-    )
-    return messages.select(parsed.alias("record")).select("record.*")
+    text = F.col("value").cast("string")
+    parsed = F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+    record = F.col("record")
+    bad = record.isNull() | record[CORRUPT].isNotNull() | F.col("text").isNull()
+    if KEY in schema.names:
+        bad = bad | record[KEY].isNull()
+    corrupt = F.when(bad, F.coalesce("text", F.lit(""))).alias(CORRUPT)
+    rows = messages.select(text.alias("text"), parsed.alias("record"))
+    return rows.select(*(record[n].alias(n) for n in schema.names), corrupt)
 
 
 def good(decoded: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ passes off a broken layer as a finished one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,7 @@ from broadsheet.operators.scoring import request_articles, score
 from broadsheet.plans import training
 from broadsheet.plans.lake import Lake
 from broadsheet.session import size_for
+from broadsheet.sources.envelope import CORRUPT, broken
 from broadsheet.sources.tables import balanced, write_table
 
 BRONZE_PARTITIONS = ("source_type", "bronze_date")
@@ -41,9 +42,29 @@ def write_bronze_batch(
     write_table(even, folder, "overwrite", BRONZE_PARTITIONS, lake.fmt)
 
 
-def write_quarantine_batch(broken: DataFrame, lake: Lake, writer: str, batch_id: int) -> None:
+def write_quarantine_batch(texts: DataFrame, lake: Lake, writer: str, batch_id: int) -> None:
+    """Messages or records that could not be read, as text; no file where there are none."""
+    if texts.isEmpty():
+        return
     folder = f"{lake.path('quarantine')}/writer={writer}/batch_id={batch_id}"
-    write_table(broken, folder, "overwrite", (), lake.fmt)
+    write_table(texts, folder, "overwrite", (), lake.fmt)
+
+
+def land(
+    read: DataFrame, normalise: Callable[[DataFrame], DataFrame], lake: Lake, writer: str,
+    batch_id: int, as_of: str | None = None,
+) -> None:
+    """Files of one source, as its reader gives them: records to bronze, those that
+    cannot be read to the quarantine."""
+    if CORRUPT in read.columns:
+        # The reader's rows are used twice.
+        read = read.persist()
+    try:
+        write_bronze_batch(normalise(read), lake, writer, batch_id, as_of)
+        if CORRUPT in read.columns:
+            write_quarantine_batch(broken(read), lake, writer, batch_id)
+    finally:
+        read.unpersist()
 
 
 def run_silver(spark: SparkSession, lake: Lake, as_of: str | None = None) -> None:

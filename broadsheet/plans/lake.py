@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from broadsheet import schemas as S
 from broadsheet.sources.tables import DEFAULT_FORMAT, read_table
 
 TABLES = (
@@ -43,10 +44,19 @@ class Lake:
     def checkpoint(self, stream: str) -> str:
         return f"{self.root}/checkpoints/{stream}"
 
+    def stream_id(self, spark: SparkSession, stream: str) -> str:
+        """Id of a stream's checkpoint, which Spark wrote into it at the first start. A
+        new checkpoint counts its batches from 0 again, under another id."""
+        rows = spark.read.schema("id STRING").json(f"{self.checkpoint(stream)}/metadata")
+        return rows.first().id
+
     def model_path(self, name: str = "current") -> str:
         return f"{self.root}/models/{name}"
 
     def read(self, spark: SparkSession, table: str, schema=None) -> DataFrame:
+        if table == "bronze" and schema is None and self.fmt == "parquet":
+            # Batches without a good record leave no file to take a schema from.
+            schema = S.BRONZE
         return read_table(spark, self.path(table), self.fmt, schema)
 
     def _file(self, spark: SparkSession, table: str):

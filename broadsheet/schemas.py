@@ -60,6 +60,17 @@ ENVELOPE = T.StructType(
 # the rest then decode to null.
 WIRE = T.StructType(list(ENVELOPE.fields))
 
+# Bronze as it is read, its partitions among the columns.
+BRONZE = T.StructType(
+    [
+        *ENVELOPE.fields,
+        T.StructField("bronze_timestamp", T.TimestampType()),
+        T.StructField("writer", T.StringType()),
+        T.StructField("batch_id", T.StringType()),
+        T.StructField("bronze_date", T.StringType()),
+    ]
+)
+
 RSS_ITEM = T.StructType(
     [
         T.StructField("title", T.StringType()),
@@ -69,25 +80,16 @@ RSS_ITEM = T.StructType(
     ]
 )
 
-NEWS_API_RESPONSE = T.StructType(
+NEWS_API_ARTICLE = T.StructType(
     [
-        T.StructField(
-            "articles",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("source", T.StructType([T.StructField("name", T.StringType())])),
-                        T.StructField("title", T.StringType()),
-                        T.StructField("description", T.StringType()),
-                        T.StructField("content", T.StringType()),
-                        T.StructField("url", T.StringType()),
-                        T.StructField("publishedAt", T.StringType()),
-                        T.StructField("author", T.StringType()),
-                        T.StructField("urlToImage", T.StringType()),
-                    ]
-                )
-            ),
-        )
+        T.StructField("source", T.StructType([T.StructField("name", T.StringType())])),
+        T.StructField("title", T.StringType()),
+        T.StructField("description", T.StringType()),
+        T.StructField("content", T.StringType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("publishedAt", T.StringType()),
+        T.StructField("author", T.StringType()),
+        T.StructField("urlToImage", T.StringType()),
     ]
 )
 

@@ -4,7 +4,7 @@ where lineage is cut."""
 from __future__ import annotations
 
 import math
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +16,7 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -59,15 +60,13 @@ def size_for(spark: SparkSession, input_bytes: int) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in `spark.checkpoint.dir`. A temporary one
-    is made only on a local master where none is set; a cluster must name its own."""
+    """The shared folder the cluster names in `spark.checkpoint.dir`; where it names
+    none, one under the warehouse, which all executors share as well."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="broadsheet-checkpoint-")
+        if not folder:
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints/{uuid.uuid4().hex}"
         sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 

@@ -15,9 +15,25 @@ def ingestion_time(as_of: str | None = None) -> Column:
     return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
 
 
-def raw_payload(*columns: str) -> Column:
-    """The input record as JSON, before any field is defaulted or renamed."""
-    return F.to_json(F.struct(*(columns or ("*",))))
+# Where a reader keeps the text of the record, and the text of one it cannot read.
+RAW, CORRUPT = "_raw", "_corrupt"
+
+
+def raw_payload(df: DataFrame, *columns: str) -> Column:
+    """The input record as it came, where its reader kept it; else its columns as JSON,
+    before any is defaulted or renamed."""
+    if RAW in df.columns:
+        return F.col(RAW)
+    return F.to_json(F.struct(*(columns or (c for c in df.columns if c != CORRUPT))))
+
+
+def readable(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in df.columns else df
+
+
+def broken(df: DataFrame) -> DataFrame:
+    """The text of records that their reader could not read, for the quarantine."""
+    return df.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
 
 
 def to_envelope(df: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -39,16 +39,18 @@ def to_bronze(
 ) -> StreamingQuery:
     """Decode messages and land them in bronze; what is not JSON goes to quarantine.
 
-    Batches are written by the ordinary batch writer into a folder of their own, so
-    a batch that is played again after a failure replaces itself, and batch readers
-    and other writers share the table with the stream.
+    Batches are written by the ordinary batch writer into a folder of their own, named
+    by the checkpoint's id and the batch's number. So a batch that is played again after
+    a failure replaces itself, a new checkpoint replaces nothing, and batch readers and
+    other writers share the table with the stream.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        writer = f"{name}-{lake.stream_id(batch.sparkSession, name)}"
         decoded = B.decode(batch).persist()
         try:
-            write_bronze_batch(B.good(decoded), lake, name, batch_id, as_of)
-            write_quarantine_batch(B.quarantined(decoded), lake, name, batch_id)
+            write_bronze_batch(B.good(decoded), lake, writer, batch_id, as_of)
+            write_quarantine_batch(B.quarantined(decoded), lake, writer, batch_id)
         finally:
             decoded.unpersist()
 
@@ -90,6 +92,13 @@ def live_rate(predictions: DataFrame, width: str = M.MINUTE, delay: str = "1 hou
     return M.rate(predictions.withWatermark("analyzed_at", delay), "analyzed_at", width)
 
 
+def stream_start(lake: Lake, spark: SparkSession, stream: str) -> int:
+    """When a stream's checkpoint was made, in milliseconds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{lake.checkpoint(stream)}/metadata")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getFileStatus(path).getModificationTime()
+
+
 def to_counters(
     counters: DataFrame, lake: Lake, name: str, trigger: str | None = TRIGGER
 ) -> StreamingQuery:
@@ -97,7 +106,9 @@ def to_counters(
     played again replaces itself."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{lake.path('counters')}/figure={name}/batch_id={batch_id}"
+        # A new checkpoint counts from 0 again: its start tells which is the later.
+        started = stream_start(lake, batch.sparkSession, f"counters-{name}")
+        folder = f"{lake.path('counters')}/figure={name}/started={started}/batch_id={batch_id}"
         write_table(batch, folder, "overwrite", (), lake.fmt)
 
     return _start(counters, each, lake.checkpoint(f"counters-{name}"), name, trigger, "update")
@@ -106,6 +117,7 @@ def to_counters(
 def read_counters(spark: SparkSession, lake: Lake, name: str, key: str) -> DataFrame:
     """The state of a live figure: for each window its row from the latest batch."""
     rows = read_table(spark, f"{lake.path('counters')}/figure={name}", lake.fmt)
-    rest = [c for c in rows.columns if c not in (key, "batch_id")]
-    latest = F.max_by(F.struct(*rest), F.col("batch_id").cast("long")).alias("latest")
+    rest = [c for c in rows.columns if c not in (key, "started", "batch_id")]
+    order = F.struct(F.col("started").cast("long"), F.col("batch_id").cast("long"))
+    latest = F.max_by(F.struct(*rest), order).alias("latest")
     return rows.groupBy(key).agg(latest).select(key, "latest.*")

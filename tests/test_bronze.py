@@ -24,6 +24,13 @@ def test_decode_and_quarantine(spark):
     assert [r.value for r in B.quarantined(decoded).collect()] == [BROKEN]
 
 
+def test_messages_without_a_value_or_an_id_are_quarantined(spark):
+    nameless = json.dumps({"source": "s", "title": "T"})
+    decoded = B.decode(messages(spark, GOOD, None, nameless))
+    assert [r.id for r in B.good(decoded).collect()] == ["1"]
+    assert sorted(r.value for r in B.quarantined(decoded).collect()) == ["", nameless]
+
+
 def test_stamp(spark):
     r = B.stamp(B.good(B.decode(messages(spark, GOOD))), "2024-05-06 07:08:09").first()
     assert r.bronze_date == "2024-05-06" and str(r.bronze_timestamp) == "2024-05-06 07:08:09"

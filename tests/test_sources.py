@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from broadsheet import schemas as S
+from broadsheet.plans.jobs import land
+from broadsheet.plans.lake import Lake
 from broadsheet.sources import envelope as E
 from broadsheet.sources import feeds
 
@@ -70,7 +72,8 @@ def test_news_api(spark, tmp_path):
     ]
     (tmp_path / "a.json").write_text(json.dumps({"articles": articles}, indent=1))
     (tmp_path / "b.json").write_text(json.dumps({"articles": []}))
-    rows = {r.url: r for r in feeds.api_articles(feeds.read_news_api(spark, str(tmp_path)), AS_OF).collect()}
+    rows = {r.url: r for r in feeds.api_articles(
+        feeds.read_news_api(spark, str(tmp_path), multi_line=True), AS_OF).collect()}
     assert len(rows) == 3
     assert rows["u1"].id == md5("T1D1") and rows["u1"].content == "C1" and rows["u1"].source == "Wire"
     assert rows["u1"].image_url == "i" and rows["u1"].author == "A"
@@ -99,7 +102,7 @@ def test_labelled_csv(spark, tmp_path):
     path = tmp_path / "d.csv"
     path.write_text('title,text,verdict\n"A, b","line one\nline ""two""",fake\nB,,real\n')
     rows = {r.title: r for r in feeds.labelled_articles(
-        feeds.read_labelled_csv(spark, str(path)), "verdict", AS_OF).collect()}
+        feeds.read_labelled_csv(spark, str(path), multi_line=True), "verdict", AS_OF).collect()}
     assert rows["A, b"].content == 'line one\nline "two"' and rows["A, b"].label == "fake"
     assert rows["A, b"].id == md5('A, bline one\nline "two"')
     assert rows["B"].content == "" and rows["B"].id == md5("B") and rows["B"].label == "real"
@@ -124,3 +127,39 @@ def test_union_publish_and_read_back(spark, tmp_path):
     assert json.loads(next(m.value for m in messages if m.key == "1"))["source"] == "x"
     counts = {(r.source, r.source_type): r.n for r in E.ingest_counts(both).collect()}
     assert counts == {("x", "news_api"): 1, ("y", None): 1}
+
+
+def test_broken_records_go_to_quarantine_and_whole_ones_keep_their_text(spark, tmp_path):
+    whole = '{"id": "1", "text": "hello", "reach": {"views": 7}}'
+    (tmp_path / "posts.json").write_text(whole + '\n{"id": "2", "te\n\n')
+    lake = Lake(str(tmp_path / "lake"))
+    posts = feeds.read_social(spark, str(tmp_path / "posts.json"))
+    land(posts, lambda p: feeds.social_posts(p, "forum", AS_OF), lake, "forum", 0, AS_OF)
+    (row,) = lake.read(spark, "bronze").collect()
+    assert row.raw_data == whole and row.id == md5("forum1")
+    assert [r.value for r in lake.read(spark, "quarantine").collect()] == ['{"id": "2", "te']
+
+
+def test_articles_keep_fields_without_a_column(spark, tmp_path):
+    article = {"title": "T", "description": "D", "section": {"name": "World"}}
+    (tmp_path / "a.json").write_text(json.dumps({"articles": [article]}) + "\nnot json\n")
+    read = feeds.read_news_api(spark, str(tmp_path))
+    (row,) = feeds.api_articles(read, AS_OF).collect()
+    assert json.loads(row.raw_data) == article
+    assert [r.value for r in E.broken(read.cache()).collect()] == ["not json"]
+
+
+def test_rss_keeps_elements_without_a_column(spark, tmp_path):
+    extra = RSS.replace("<link>http://x/2</link>", "<link>http://x/2</link><guid>g-2</guid>")
+    (tmp_path / "f.xml").write_text(extra)
+    items = feeds.read_rss(spark, str(tmp_path)).withColumn("source", F.lit("s"))
+    rows = {r.url: r.raw_data for r in feeds.rss_items(items, AS_OF).collect()}
+    assert "g-2" in rows["http://x/2"] and "g-2" not in rows["http://x/1"]
+
+
+def test_a_batch_without_good_records_leaves_a_readable_table(spark, tmp_path):
+    (tmp_path / "posts.json").write_text("broken\n")
+    lake = Lake(str(tmp_path / "lake"))
+    posts = feeds.read_social(spark, str(tmp_path / "posts.json"))
+    land(posts, lambda p: feeds.social_posts(p, "forum", AS_OF), lake, "forum", 0, AS_OF)
+    assert lake.read(spark, "bronze").count() == 0

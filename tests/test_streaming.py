@@ -66,6 +66,21 @@ def test_stream_dedup_equals_batch(spark, sf_dir, topic, tmp_path):
     assert sorted(r.id for r in once.collect()) == sorted(r.id for r in batch.select("id").collect())
 
 
+def test_a_new_checkpoint_adds_to_bronze(spark, tmp_path):
+    lake, topic = Lake(str(tmp_path / "lake")), tmp_path / "topic"
+    topic.mkdir()
+    message = lambda i: json.dumps({"key": str(i), "value": json.dumps({"id": str(i), "source_type": "rss"})})
+    stream = lambda folder: landing_stream(spark, str(folder))
+    (topic / "1.json").write_text("\n".join(map(message, range(5))))
+    feed.to_bronze(stream(topic), lake, trigger=None).awaitTermination(120)
+    (tmp_path / "lake" / "checkpoints" / "feed").rename(tmp_path / "set-aside")
+    later = tmp_path / "later"
+    later.mkdir()
+    (later / "2.json").write_text("\n".join(map(message, range(5, 8))))
+    feed.to_bronze(stream(later), lake, trigger=None).awaitTermination(120)
+    assert sorted(r.id for r in lake.read(spark, "bronze").collect()) == [str(i) for i in range(8)]
+
+
 @pytest.fixture(scope="module")
 def log(spark, sf_dir, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("log"))
