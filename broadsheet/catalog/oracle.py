@@ -248,7 +248,9 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
     "content_hash": f"{_BASE} SELECT doc_id, id FROM news",
     "source_union": f"""{_FEED} SELECT source_type, count(*) AS n, count(DISTINCT id) AS distinct_ids
 FROM feed GROUP BY source_type""",
-    "keyed_envelope": f"{_BASE} SELECT id AS key, title, source FROM news",
+    "keyed_envelope": f"""{_BASE}, {HTML_NEWS}, {SOCIAL} SELECT id AS key, title, source FROM news
+UNION ALL SELECT id, regexp_extract(html, '<title>([^<]*)</title>', 1), 'web' FROM pages JOIN html_news USING (page_id)
+UNION ALL SELECT id, '', source FROM social""",
     "ingest_counts": f"{_FEED} SELECT source, source_type, count(*) AS n FROM feed GROUP BY source, source_type",
     "json_decode": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     # silver
@@ -411,7 +413,8 @@ FROM events GROUP BY 1""",
     # streams
     "stream_to_bronze": f"""{_BASE} SELECT id, source, source_type, title, label,
   '2024-02-01' AS bronze_date FROM news""",
-    "stream_to_silver": f"{_SILVER} SELECT id, word_count, char_count FROM silver",
+    "stream_to_silver": _SILVER.replace("ORDER BY doc_id)", "ORDER BY label IS NULL, source, url)")
+    + " SELECT * FROM silver",
     "stream_dedup": f"{_BASE} SELECT DISTINCT id FROM news",
 }
 SQL["live_predictions_daily"] = SQL["predictions_daily"]

@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from broadsheet.catalog import adapters as A
 from broadsheet.functions import text as X
@@ -40,6 +41,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 DIGITS = 6
+T_EVENT = StructType([StructField("id", LongType()), StructField("k", LongType())])
 
 
 def query(fn: Query) -> Query:
@@ -95,7 +97,7 @@ def source_union(spark, sf):
 
 @query
 def keyed_envelope(spark, sf):
-    messages = keyed_messages(union_sources(*A.all_sources(spark, sf)[:1]))
+    messages = keyed_messages(union_sources(*A.all_sources(spark, sf)))
     record = B.from_json_text(F.col("value"))
     return messages.select("key", record.alias("r")).select("key", "r.title", "r.source")
 
@@ -107,8 +109,12 @@ def ingest_counts_(spark, sf):
 
 @query
 def json_decode(spark, sf):
-    events = A.table(spark, sf, "events")
-    return events.select("event_id", F.from_json("props", "k BIGINT").alias("p")).select("event_id", "p.k")
+    """Every event's properties as a message with an id."""
+    events = A.table(spark, sf, "events").select(
+        F.concat(F.lit('{"id":'), "event_id", F.lit(","), F.substr("props", F.lit(2))).alias("value")
+    )
+    decoded = B.good(B.decode(events, T_EVENT))
+    return decoded.select(F.col("id").alias("event_id"), "k")
 
 
 # -- silver ----------------------------------------------------------------
@@ -452,27 +458,18 @@ def numeric_vector(spark, sf):
 
 @query
 def score_documents(spark, sf):
-    """Fit a small logistic model on the train side, then score every article."""
-    rows = materialise(G.numeric_gold(A.silver(spark, sf), "content_cleaned"))
-    train = L.hash_split(L.labelled_only(rows)).filter(F.col("split") == L.TRAIN)
+    """Fit the logistic model on the train side, then score every article."""
+    rows, train, _ = _sides(spark, sf)
     stages = training.preprocessing(spark).getStages()
-    classifier = training.default_classifiers(logistic={"maxIter": 5})["logistic_regression"]
+    classifier = training.default_classifiers()["logistic_regression"]
     model = Pipeline(stages=[*stages, classifier]).fit(model_input(train))
     return score(rows.drop("label"), model, as_of=A.AS_OF).select("id", "prediction", "confidence")
 
 
-# Sizes at which the model queries stay quick; the library's defaults are larger.
-QUICK = {
-    "forest": {"numTrees": 5, "maxDepth": 4},
-    "logistic": {"maxIter": 5},
-    "boosting": {"maxIter": 3},
-}
-QUICK_DIMENSIONS = 100
-
-
 def _sides(spark, sf):
-    rows = materialise(G.numeric_gold(A.silver(spark, sf), "content_cleaned"))
-    split = L.hash_split(L.labelled_only(rows))
+    """All articles, and the labelled ones of either side; only these are kept apart."""
+    rows = G.numeric_gold(A.silver(spark, sf), "content_cleaned")
+    split = materialise(L.hash_split(L.labelled_only(rows)))
     side = lambda name: split.filter(F.col("split") == name).drop("split")
     return rows, side(L.TRAIN), side(L.TEST)
 
@@ -481,9 +478,7 @@ def _sides(spark, sf):
 def model_runs(spark, sf):
     """Cross-validate and test the three classifiers."""
     _, train, test = _sides(spark, sf)
-    results = training.train_models(
-        train, test, training.default_classifiers(**QUICK), dimensions=QUICK_DIMENSIONS
-    )
+    results = training.train_models(train, test)
     return _comparable(training.run_rows(spark, results).select("model", "auc", "accuracy", "cv_auc"))
 
 
@@ -491,9 +486,7 @@ def model_runs(spark, sf):
 def ensemble_documents(spark, sf):
     """Three fitted voters over every article."""
     rows, train, _ = _sides(spark, sf)
-    model, names = training.train_ensemble(
-        train, training.default_classifiers(**QUICK), QUICK_DIMENSIONS
-    )
+    model, names = training.train_ensemble(train)
     voted = training.ensemble_vote(model, names, rows.drop("label"))
     return _comparable(
         voted.select("id", E.label_name(F.col("vote")).alias("prediction"), "confidence")
@@ -504,8 +497,8 @@ def ensemble_documents(spark, sf):
 def feature_weights(spark, sf):
     """Which features a forest leans on."""
     _, train, _ = _sides(spark, sf)
-    stages = training.preprocessing(spark, QUICK_DIMENSIONS).getStages()
-    forest = training.default_classifiers(**QUICK)["random_forest"]
+    stages = training.preprocessing(spark).getStages()
+    forest = training.default_classifiers()["random_forest"]
     model = Pipeline(stages=[*stages, forest]).fit(model_input(train))
     return _comparable(training.feature_importance(model).select("feature", "importance"))
 
@@ -540,7 +533,7 @@ def stream_to_silver(spark, sf):
     messages, lake = _landed(spark, sf)
     records = B.good(B.decode(messages))
     feed.to_silver(records, lake, trigger=None, as_of=A.AS_OF).awaitTermination()
-    return _comparable(lake.read(spark, "silver").select("id", "word_count", "char_count"))
+    return _comparable(lake.read(spark, "silver").drop("silver_timestamp"))
 
 
 @query

@@ -12,6 +12,8 @@ from broadsheet.operators.silver import first_per_key
 # Fixed value: seconds for which a prediction may be reused.
 REUSE_SECONDS = 3600
 DEFAULT_SOURCE = "api"
+# Fixed value: the error of a request without content.
+NO_CONTENT = "Missing 'content' field"
 
 
 def validate_requests(requests: DataFrame) -> DataFrame:
@@ -32,7 +34,7 @@ def accepted(validated: DataFrame) -> DataFrame:
 
 
 def rejected(validated: DataFrame) -> DataFrame:
-    return validated.filter(~F.col("ok")).withColumn("error", F.lit("Missing 'content' field"))
+    return validated.filter(~F.col("ok")).withColumn("error", F.lit(NO_CONTENT))
 
 
 def fresh(prior: DataFrame, as_of: Column, seconds: int = REUSE_SECONDS) -> DataFrame:
@@ -70,6 +72,24 @@ def reused(articles: DataFrame, prior: DataFrame, as_of: Column, key: str = "id"
     return skew_join(articles, latest, "content_hash", spread=key)
 
 
+def answers(
+    articles: DataFrame, scored: DataFrame, prior: DataFrame | None, as_of: Column, key: str = "id"
+) -> DataFrame:
+    """One row for each article: the new prediction of its content, else the latest
+    fresh one. Many articles may share one content, so their rows are spread by `key`."""
+    made = F.struct("analyzed_at", "prediction", "confidence")
+    one = lambda df, again: (
+        df.groupBy("content_hash").agg(F.max(made).alias("_made")).select(
+            "content_hash", "_made.*", F.lit(again).alias("was_reused")
+        )
+    )
+    found = one(scored, False)
+    if prior is not None:
+        old = fresh(prior, as_of).join(scored.select("content_hash"), "content_hash", "left_anti")
+        found = found.unionByName(one(old, True))
+    return skew_join(articles.select(key, "content_hash"), found, "content_hash", spread=key)
+
+
 def latest_labels(*batches: DataFrame, key: str = "doc_id", value: str = "quality") -> DataFrame:
     """One label per key, that of the highest version. `max_by` combines in the map
     tasks, so a key with many corrections costs one row per task."""

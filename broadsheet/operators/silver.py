@@ -11,6 +11,13 @@ from broadsheet import schemas as S
 from broadsheet.functions import text as X
 from broadsheet.functions.features import has_author
 
+# The earliest record of an id; the rest only so that ties leave one row whatever the
+# run, and that of two equally early ones a labelled one stays.
+EARLIEST = (
+    "ingestion_timestamp", F.col("label").isNull(), "source", "url", "source_type", "title",
+    "content", "published_date", "author", "label",
+)
+
 # Fixed value: texts up to this length are dropped, measured before cleaning.
 MIN_CONTENT = 100
 
@@ -61,7 +68,7 @@ def measure(df: DataFrame) -> DataFrame:
 
 def build_silver(
     bronze: DataFrame,
-    order: Sequence[Column | str] = ("ingestion_timestamp", "source", "url"),
+    order: Sequence[Column | str] = EARLIEST,
     as_of: str | None = None,
 ) -> DataFrame:
     """Bronze records to silver records.

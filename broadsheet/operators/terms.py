@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.functions import text as X
@@ -25,17 +25,32 @@ def token_counts(tokens: DataFrame) -> DataFrame:
     )
 
 
-def _terms(tokens: DataFrame, *keys: str) -> DataFrame:
-    """One row per token. The outer form only keeps the optimiser from adding a
-    size check that would run the tokenisation a second time; the null it yields
-    for a text without tokens is dropped with the empty tokens."""
-    return tokens.select(*keys, F.explode_outer("words").alias("term")).filter("term <> ''")
+def _sorted_terms(tokens: DataFrame, *keys: str) -> DataFrame:
+    """The keys, a document's tokens in order without empty ones, and their number."""
+    words = F.sort_array(F.filter("words", lambda w: w != ""))
+    rows = tokens.select(*keys, words.alias("_sorted"))
+    return rows.withColumn("_n", F.size("_sorted"))
+
+
+def _begins(words: Column, i: Column) -> Column:
+    """Whether a run of equal tokens begins at place i of the sorted ones."""
+    return (i == 0) | (words[i] != words[i - 1])
 
 
 def term_frequencies(tokens: DataFrame) -> DataFrame:
-    """(id, term, tf). A document's tokens sit in one task, so the map-side
-    aggregation leaves one row per distinct pair to shuffle."""
-    return _terms(tokens, "id").groupBy("id", "term").agg(F.count("*").alias("tf"))
+    """(id, term, tf), counted inside each row: an id is one row of silver, so nothing
+    needs to meet in another task."""
+    rows = _sorted_terms(tokens, "id").filter("_n > 0")
+    words = F.col("_sorted")
+    starts = F.filter(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: _begins(words, i))
+    rows = rows.withColumn("_starts", F.concat(starts, F.array("_n")))
+    runs = F.transform(
+        F.slice("_starts", 1, F.size("_starts") - 1),
+        lambda start, k: F.struct(
+            words[start].alias("term"), (F.col("_starts")[k + 1] - start).cast("long").alias("tf")
+        ),
+    )
+    return rows.select("id", F.inline(runs))
 
 
 def term_tfidf(tokens: DataFrame) -> DataFrame:
@@ -63,18 +78,23 @@ def label_terms(tokens: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
 
     The inverse document frequency is the same for all documents of a term, so it
     suffices to add up frequencies, per label of the fixed set, and to weight the
-    sums. That is one aggregation by term, combined in the map tasks, and nothing
-    of the size of the pairs is moved.
+    sums. Whether a token is its document's first of the term is known inside the row.
+    So there is one aggregation, by term, combined in the map tasks. A label outside
+    the set raises, as in splits and indexing.
     """
-    has = lambda label: F.col("label") == label
+    known = F.col("label").isNull() | F.col("label").isin(*labels)
+    label = F.when(known, F.col("label")).otherwise(
+        F.raise_error(F.concat(F.lit("unknown label: "), F.col("label"))).cast("string")
+    )
+    rows = _sorted_terms(tokens.withColumn("label", label), "label")
+    words = F.col("_sorted")
+    each = F.transform(words, lambda w, i: F.struct(w.alias("term"), _begins(words, i).alias("first")))
     per_term = (
-        _terms(tokens, "id", "label")
-        .groupBy("id", "label", "term")
-        .agg(F.count("*").alias("tf"))
+        rows.select("label", F.inline(each))
         .groupBy("term")
         .agg(
-            F.count("*").alias("df"),
-            *[F.sum(F.when(has(label), F.col("tf"))).alias(f"tf_{label}") for label in labels],
+            F.count_if("first").alias("df"),
+            *[F.nullif(F.count_if(F.col("label") == x), F.lit(0)).alias(f"tf_{x}") for x in labels],
         )
     )
     documents = tokens.agg(F.count("*")).scalar()

@@ -22,11 +22,14 @@ from broadsheet.operators import splits as L
 from broadsheet.operators.joins import broadcast_if_few
 from broadsheet.operators.scoring import request_articles, score
 from broadsheet.plans import training
+from broadsheet.plans.compaction import compact
 from broadsheet.plans.lake import Lake
-from broadsheet.session import size_for
+from broadsheet.session import input_bytes, materialise, size_for
 from broadsheet.sources.envelope import CORRUPT, broken
 from broadsheet.sources.tables import balanced, write_table
 
+# Tables of more files than this are compacted.
+FEW_FILES = 1_000
 BRONZE_PARTITIONS = ("source_type", "bronze_date")
 
 
@@ -37,9 +40,7 @@ def write_bronze_batch(
     writer's name keeps apart streams and jobs that each count batches from 0.
     The source is no partition column, as there is no bound on how many there are."""
     folder = f"{lake.path('bronze')}/writer={writer}/batch_id={batch_id}"
-    stamped = B.stamp(records, as_of)
-    even = balanced(stamped, *BRONZE_PARTITIONS)
-    write_table(even, folder, "overwrite", BRONZE_PARTITIONS, lake.fmt)
+    write_table(B.stamp(records, as_of), folder, "overwrite", BRONZE_PARTITIONS, lake.fmt)
 
 
 def write_quarantine_batch(texts: DataFrame, lake: Lake, writer: str, batch_id: int) -> None:
@@ -68,10 +69,12 @@ def land(
 
 
 def run_silver(spark: SparkSession, lake: Lake, as_of: str | None = None) -> None:
-    """Rebuild silver from all of bronze."""
+    """Rebuild silver from all of bronze: one shuffle, by id, whose partitions adaptive
+    execution merges into files of a good size. After it each id is one row, so there
+    is no skew left to even out."""
     size_for(spark, lake.size(spark, "bronze"))
     silver = V.build_silver(lake.read(spark, "bronze"), as_of=as_of)
-    write_table(balanced(silver), lake.path("silver"), "overwrite", (), lake.fmt)
+    write_table(silver, lake.path("silver"), "overwrite", (), lake.fmt)
 
 
 def known_among(records: DataFrame, known: DataFrame) -> DataFrame:
@@ -86,10 +89,15 @@ def append_new_silver(
 ) -> None:
     """Add the records whose ids silver does not hold yet. Running it again with the
     same records adds nothing."""
-    fresh = V.build_silver(records, as_of=as_of)
-    if lake.exists(spark, "silver"):
-        fresh = V.new_ids(fresh, known_among(records, lake.read(spark, "silver")))
-    write_table(balanced(fresh), lake.path("silver"), "append", (), lake.fmt)
+    # The batch is used for its ids, for their number and for its rows.
+    records = records.persist()
+    try:
+        fresh = V.build_silver(records, as_of=as_of)
+        if lake.exists(spark, "silver"):
+            fresh = V.new_ids(fresh, known_among(records, lake.read(spark, "silver")))
+        write_table(fresh, lake.path("silver"), "append", (), lake.fmt)
+    finally:
+        records.unpersist()
 
 
 def run_gold(
@@ -171,20 +179,49 @@ def run_training(spark: SparkSession, lake: Lake, **options) -> training.Trained
 def run_scoring(
     spark: SparkSession, lake: Lake, requests: DataFrame, as_of: str | None = None
 ) -> DataFrame:
-    """Score those requests whose content has no prediction fresh enough, each
-    distinct content once, and append them to the prediction log. Returns the
-    rejected requests."""
+    """Answer every request that has a content, in the table of responses: by a fresh
+    prediction of the same content where there is one, else by the model, which sees
+    each distinct content once and whose predictions are appended to their log.
+    Returns the rejected requests."""
+    # One instant for the whole job, or a prediction could go stale in the midst of it.
+    as_of = as_of or spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
+    now = F.lit(as_of).cast("timestamp")
+    size_for(spark, input_bytes(requests))
     articles = request_articles(requests)
-    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     prior = lake.read(spark, "predictions") if lake.exists(spark, "predictions") else None
     model = training.load_model(lake.model_path())
     scored = score(P.unscored_contents(articles, prior, now), model, "content", as_of)
-    write_table(balanced(scored), lake.path("predictions"), "append", (), lake.fmt)
+    scored = materialise(scored)
+    answers = materialise(P.answers(articles, scored, prior, now))
+    day = F.date_format("analyzed_at", B.DATE_FORMAT)
+    for rows, table in ((scored, "predictions"), (answers, "responses")):
+        write_table(rows.withColumn("day", day), lake.path(table), "append", ("day",), lake.fmt)
     return P.rejected(P.validate_requests(requests))
 
 
+def run_ensemble(spark: SparkSession, lake: Lake, **options) -> None:
+    """Fit the three voters on the training rows; save them and what the forest leans on."""
+    size_for(spark, lake.size(spark, "silver"))
+    train = labelled_text(spark, lake, L.TRAIN)
+    model, names = training.train_ensemble(train, **options)
+    model.write().overwrite().save(lake.model_path("ensemble"))
+    forest = PipelineModel(stages=[s for s in model.stages if hasattr(s, "featureImportances")][:1])
+    write_table(training.feature_importance(forest).coalesce(1), lake.path("importances"), "overwrite")
+    write_table(spark.createDataFrame([(n,) for n in names], "voter STRING").coalesce(1), lake.path("voters"), "overwrite")
+
+
+def ensemble_votes(spark: SparkSession, lake: Lake, articles: DataFrame) -> DataFrame:
+    """The saved voters' verdict on cleaned articles: see `majority_vote`."""
+    model = PipelineModel.load(lake.model_path("ensemble"))
+    names = [r.voter for r in lake.read(spark, "voters").collect()]
+    return training.ensemble_vote(model, names, articles)
+
+
 def refresh(spark: SparkSession, lake: Lake, tables: Sequence[str] = ("silver", "gold", "splits")) -> None:
-    """The periodic batch pass from bronze to train and test."""
+    """The periodic batch pass from bronze to train and test. Silver is compacted after
+    it is written, which merges what streams have appended to it meanwhile."""
     steps = {"silver": run_silver, "gold": run_gold, "splits": run_splits}
     for table in tables:
         steps[table](spark, lake)
+        if table == "silver" and lake.fmt == "parquet" and lake.files(spark, table) > FEW_FILES:
+            compact(spark, lake.path(table), fmt=lake.fmt)

@@ -20,6 +20,9 @@ TABLES = (
     "train",
     "test",
     "predictions",
+    "responses",
+    "importances",
+    "voters",
     "counters",
     "runs",
 )
@@ -72,6 +75,10 @@ class Lake:
         fs, path = self._file(spark, table)
         return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
 
+    def files(self, spark: SparkSession, table: str) -> int:
+        fs, path = self._file(spark, table)
+        return fs.getContentSummary(path).getFileCount() if fs.exists(path) else 0
+
     def register_views(self, spark: SparkSession) -> list[str]:
         """Temporary views of the tables there are, for queries in SQL."""
         found = [t for t in TABLES if self.exists(spark, t)]

@@ -35,6 +35,8 @@ MIB = 1024 * 1024
 SHUFFLE_BYTES = 128 * MIB
 MAX_SHUFFLE_PARTITIONS = 100_000
 READ_BYTES, MAX_READ_BYTES = 128 * MIB, 1024 * MIB
+# Past this many files of a write, each is larger instead, up to a bound.
+WRITE_FILES, FILE_BYTES, MAX_FILE_BYTES = 2_000, 64 * MIB, 512 * MIB
 # Past this many scan tasks, each reads more instead.
 SCAN_TASKS = 200_000
 
@@ -46,6 +48,10 @@ def size_settings(input_bytes: int, shuffle_partitions: int = 200) -> dict[str,
     of blocks, tasks times partitions, stays within what a shuffle can serve."""
     wanted = min(math.ceil(input_bytes / SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
     settings = {"spark.sql.shuffle.partitions": str(max(wanted, shuffle_partitions))}
+    files = min(math.ceil(input_bytes / WRITE_FILES), MAX_FILE_BYTES)
+    if files > FILE_BYTES:
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(files)
+        settings["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     read = min(math.ceil(input_bytes / SCAN_TASKS), MAX_READ_BYTES)
     if read > READ_BYTES:
         settings["spark.sql.files.maxPartitionBytes"] = str(read)
@@ -59,6 +65,12 @@ def size_for(spark: SparkSession, input_bytes: int) -> None:
         spark.conf.set(key, value)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes that the optimiser expects of `df`; 0 where it does not know."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in `spark.checkpoint.dir`; where it names
     none, one under the warehouse, which all executors share as well."""
