@@ -18,14 +18,15 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 WORDS = re.compile(WORD_PATTERN)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LOWER_MAP = str.maketrans(UPPER, LOWER)
+LOWER_TABLE = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 MASK = (1 << 64) - 1
 
 
-def lower_ascii(text: str) -> str:
-    """A-Z to a-z and nothing else."""
-    return text.lower() if text.isascii() else text.translate(LOWER_MAP)
+def lower_words(text: str | None) -> list[bytes]:
+    """The words with A-Z as a-z, in UTF-8: bytes.split() parts at \\x20 and
+    \\x09-\\x0D and nowhere else."""
+    return text.encode("utf-8", "surrogatepass").translate(LOWER_TABLE).split() if text else []
 
 
 def words_of(text: str | None) -> list[str]:
@@ -102,8 +103,9 @@ class WordHashes(dict):
 
     LIMIT = 400_000
 
-    def __missing__(self, word: str) -> int:
-        h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    def __missing__(self, word: str | bytes) -> int:
+        data = word if isinstance(word, bytes) else word.encode("utf-8", "surrogatepass")
+        h = xxhash.xxh3_64_intdigest(data)
         if len(self) < self.LIMIT:
             self[word] = h
         return h
@@ -112,7 +114,7 @@ class WordHashes(dict):
 WORD_HASHES = WordHashes()
 
 
-def hashed(words: list[str]) -> np.ndarray:
+def hashed(words: list[str] | list[bytes]) -> np.ndarray:
     return np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, len(words))
 
 

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import hashed, lower_ascii, rolling, words_of, written
+from broadsheet.llm.common import hashed, lower_words, rolling, written
 from broadsheet.llm.graph import components
 from broadsheet.operators.joins import broadcast_if_few
 
@@ -31,7 +31,7 @@ MULTIPLIERS = _random.integers(1 << 62, (1 << 64) - 1, REGISTERS, np.uint64) | n
 def shingles(text: str | None, n: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word n-grams; of all words together where
     there are fewer; none without words."""
-    words = words_of(lower_ascii(text)) if text else []
+    words = lower_words(text)
     if not words:
         return np.zeros(0, np.uint64)
     return np.unique(rolling(hashed(words), min(n, len(words))))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import MASK, crc_bucket, lower_ascii, words_of, written
+from broadsheet.llm.common import MASK, crc_bucket, lower_words, written
 
 FOLDS = 10
 ADD = 0.1
@@ -186,7 +186,7 @@ def _counted(batches):
 
     for batch in batches:
         for text, train in zip(batch.column(0), batch.column(1).to_pylist()):
-            counts[train].update(words_of(lower_ascii(text.as_py())))
+            counts[train].update(lower_words(text.as_py()))
             if len(counts[train]) > COUNTED:
                 yield out(train)
     for train in counts:
@@ -235,7 +235,7 @@ def _scored_texts(batches, frequent, end_base: float, end_score: float, end_know
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            words = words_of(lower_ascii(text.as_py()))
+            words = lower_words(text.as_py())
             at = np.fromiter(map(number.get, words, repeat(-1)), np.int32, len(words))
             rare = Counter([words[i] for i in np.flatnonzero(at < 0)])
             at = at[at >= 0]
@@ -321,7 +321,7 @@ def lattice_scores(docs: DataFrame, vocabulary: str, folds: int = FOLDS, em_roun
     table = written(table, "word-scores")
     common = table.filter(F.col("n") >= _least_count(table)).select("word", "c", "base", "score").toPandas()
     frequent = spark.sparkContext.broadcast((
-        {w: i for i, w in enumerate(common.word)}, (common.c > 0).to_numpy(np.int64),
+        {w.encode(): i for i, w in enumerate(common.word)}, (common.c > 0).to_numpy(np.int64),
         common.base.to_numpy(), common.score.to_numpy(),
     ))
     end_base = math.log10((stats["ends"] + ADD) / stats["below"])
