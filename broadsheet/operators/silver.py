@@ -14,7 +14,7 @@ from broadsheet.functions.features import has_author
 # The earliest record of an id; the rest only so that ties leave one row whatever the
 # run, and that of two equally early ones a labelled one stays.
 EARLIEST = (
-    "ingestion_timestamp", F.col("label").isNull(), "source", "url", "source_type", "title",
+    "ingestion_timestamp", "label IS NULL", "source", "url", "source_type", "title",
     "content", "published_date", "author", "label",
 )
 
@@ -43,7 +43,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     (WindowGroupLimit), so a key with a third of all rows sends on one row per
     task, not its whole group.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
+    ordered = [F.expr(c) if isinstance(c, str) else c for c in order]
+    w = Window.partitionBy(*keys).orderBy(*ordered)
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
 
 

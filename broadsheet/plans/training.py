@@ -219,10 +219,6 @@ def run_rows(spark: SparkSession, results: Sequence[Trained]) -> DataFrame:
     return spark.createDataFrame(rows, schema).withColumn("trained_at", F.current_timestamp())
 
 
-def best_run(runs: DataFrame) -> DataFrame:
-    return runs.filter(F.col("auc") > 0).orderBy(F.col("auc").desc(), "position").limit(1)
-
-
 def train_ensemble(
     train: DataFrame,
     classifiers: dict[str, Estimator] | None = None,
@@ -281,14 +277,3 @@ def save_model(model: PipelineModel, path: str, results: Sequence[Trained], best
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(f"{path}/model")
-
-
-def retraining_set(*batches: DataFrame) -> DataFrame:
-    """Labelled rows of all batches, each id once. Batches hold (id, label, version,
-    article columns); the highest version wins."""
-    union = batches[0]
-    for batch in batches[1:]:
-        union = union.unionByName(batch)
-    return first_per_key(
-        union.filter(F.col("label").isNotNull()), ["id"], [F.col("version").desc(), "label"]
-    ).drop("version")

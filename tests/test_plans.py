@@ -4,14 +4,18 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
 from broadsheet.catalog import adapters as A
+from broadsheet.catalog import lake_queries, queries
 from broadsheet.operators import monitoring as M
+from broadsheet.operators import silver as V
 from broadsheet.operators import terms as T
+from broadsheet.plans import jobs
+from broadsheet.plans.lake import Lake
+from broadsheet.sources.envelope import to_envelope
 from conftest import formatted_plan
 
-QUERIES = entry_points.queries()
-# These fit a model or write a checkpoint when called.
+QUERIES = queries.REGISTRY | lake_queries.REGISTRY
+# These fit a model, run a job or write a checkpoint when called.
 EAGER = {
     "tfidf_vectors",
     "score_documents",
@@ -23,6 +27,7 @@ EAGER = {
     "stream_dedup",
     "live_predictions_daily",
     "live_hourly_trend",
+    *lake_queries.REGISTRY,
 }
 
 
@@ -87,10 +92,32 @@ def test_document_counts_are_taken_once(spark, sf_dir):
     plan = df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
     )
-    assert plan.split("== Initial Plan ==")[0].count("Generate explode(words") <= 2
     assert "ReusedExchange" in plan
 
 
+def test_no_pairs_of_document_and_term_are_shuffled_to_be_counted(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "silver")
+    A.silver(spark, sf_dir).write.parquet(path)
+    tokens = T.tokenised(spark.read.parquet(path), True)
+    for df in (T.term_frequencies(tokens), T.label_terms(tokens)):
+        plan = formatted_plan(df)
+        assert not re.search(r"hashpartitioning\(id#\d+L?, term", plan)
+    assert "Exchange" not in formatted_plan(T.term_frequencies(tokens))
+
+
+def test_an_unknown_label_raises(spark):
+    rows = spark.createDataFrame([("1", ["a"], "satire")], "id STRING, words ARRAY<STRING>, label STRING")
+    with pytest.raises(Exception, match="unknown label: satire"):
+        T.label_terms(rows).collect()
+
+
+def test_silver_is_written_after_one_shuffle(spark, sf_dir, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    jobs.write_bronze_batch(to_envelope(A.news(spark, sf_dir), A.AS_OF), lake, "w", 0, A.AS_OF)
+    plan = formatted_plan(V.build_silver(lake.read(spark, "bronze"), as_of=A.AS_OF))
+    assert plan.split("\n\n")[0].count("Exchange") == 1
+
+
 def test_recent_is_a_top_k(spark, sf_dir):
     assert "TakeOrderedAndProject" in formatted_plan(M.recent_predictions(A.predictions(spark, sf_dir)))
 

@@ -4,9 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
+from broadsheet.catalog import lake_queries, oracle, queries
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = queries.REGISTRY | lake_queries.REGISTRY
+ORACLE = oracle.SQL | lake_queries.SQL
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +27,7 @@ def test_without_sql_gives_rows(spark, sf_dir, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):

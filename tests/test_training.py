@@ -77,10 +77,6 @@ def test_best_needs_more_than_nothing_and_prefers_the_first():
     assert training.best_of([run("a", 0, 0.0)]) is None
 
 
-def test_best_run_as_a_table(spark, results):
-    runs = training.run_rows(spark, results)
-    assert training.best_run(runs).first().model == training.best_of(results).name
-
 
 def test_default_sizes():
     models = training.default_classifiers()
@@ -162,12 +158,6 @@ def test_ensemble_votes_row_by_row(sides):
     assert sum(r.vote == r.label_index for r in rows) / len(rows) > 0.7
 
 
-def test_retraining_set(spark):
-    schema = "id STRING, label STRING, version INT"
-    old = spark.createDataFrame([("a", "fake", 1), ("b", "real", 1)], schema)
-    new = spark.createDataFrame([("a", "real", 2), ("c", None, 2)], schema)
-    assert {r.id: r.label for r in training.retraining_set(old, new).collect()} == {"a": "real", "b": "real"}
-
 
 def test_whole_lake(spark, articles, tmp_path):
     """Bronze to predictions through the jobs, and once more without double work."""
@@ -202,10 +192,14 @@ def test_whole_lake(spark, articles, tmp_path):
     requests = requests.limit(30).unionByName(requests.limit(1).withColumn("content", F.lit(None).cast("string")))
     rejected = jobs.run_scoring(spark, lake, requests, "2024-01-05 10:00:00")
     assert rejected.count() == 1
+    # One answer for each request that was accepted, copies of a content included.
+    assert lake.read(spark, "responses").count() == 30
     first = lake.read(spark, "predictions").count()
     assert first == requests.select("content").distinct().filter("content IS NOT NULL").count()
     jobs.run_scoring(spark, lake, requests, "2024-01-05 10:30:00")
     assert lake.read(spark, "predictions").count() == first
+    responses = lake.read(spark, "responses")
+    assert responses.count() == 60 and responses.filter("was_reused").count() == 30
     jobs.run_scoring(spark, lake, requests, "2024-01-05 12:30:00")
     assert lake.read(spark, "predictions").count() == 2 * first
 
