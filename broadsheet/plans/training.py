@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from broadsheet import schemas as S
 from broadsheet.operators.evaluation import majority_vote
 from broadsheet.operators.scoring import class_confidence, model_input
-from broadsheet.operators.silver import first_per_key
 from broadsheet.operators.splits import hash_bucket
 from broadsheet.session import materialise
 
