@@ -1,0 +1,348 @@
+"""The registered queries against SQL or a brute-force version, over whole tables."""
+
+import collections
+import itertools
+import math
+import re
+import zlib
+
+import compare
+import numpy as np
+import public_tokenizers
+import pytest
+
+import corpus_pipeline
+from broadsheet.llm import decontam, fuzzy_lines, hyperminhash, lattice, queries, repetition, token_store, warc
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@pytest.fixture(scope="module")
+def texts(spark, sf_dir):
+    return {r.doc_id: r.text or "" for r in queries.documents(spark, sf_dir).collect()}
+
+
+def rows(spark, sf_dir, name):
+    return queries.REGISTRY[name](spark, sf_dir).collect()
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_sql(spark, sf_dir, name):
+    got = queries.REGISTRY[name](spark, sf_dir)
+    assert compare.difference(got, compare.connect(sf_dir), queries.SQL[name]) is None
+
+
+def leaks_of(texts, benchmark):
+    """Pairs of text and item with most of the item's 5-grams in the text."""
+    grams = collections.defaultdict(set)
+    sizes = {}
+    for r in benchmark:
+        words = decontam.terms_of(r.text)
+        sizes[r.item_id] = max(1, len(words) - 4)
+        for k in range(len(words) - 4):
+            grams[tuple(words[k : k + 5])].add(r.item_id)
+    found = set()
+    for i, text in texts.items():
+        words, hits = decontam.terms_of(text), collections.Counter()
+        for k in range(len(words) - 4):
+            hits.update(grams.get(tuple(words[k : k + 5]), ()))
+        found |= {(i, item) for item, n in hits.items() if n >= 0.5 * sizes[item]}
+    return found
+
+
+def test_op1(spark, sf_dir, texts):
+    got = {(r.doc_id, r.item_id) for r in rows(spark, sf_dir, "op1_latent_decontamination")}
+    want = leaks_of(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect())
+    assert want and len(got & want) >= 0.9 * len(want) and got <= want
+
+
+def test_op1_finds_paraphrases_and_leaves_their_vocabulary_alone(spark, sf_dir):
+    """Every fifth word of an item changed and some dropped, its last sentence whole; and
+    the same words in another order."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").collect()[:20]
+    made, kept = [], queries.documents(spark, sf_dir).select("doc_id", "text")
+    for r in items:
+        words = r.text.split()
+        body = [f"altered{k}" if k % 5 == 0 else w for k, w in enumerate(words) if k % 11 != 7]
+        tail = r.text.split("\n")[-1]
+        made.append((100_000 + r.item_id, "Something else first. " + " ".join(body) + " " + tail))
+        made.append((200_000 + r.item_id, " ".join(sorted(words, key=lambda w: zlib.crc32(w.encode())))))
+    more = spark.createDataFrame(made, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(r.item_id, r.text) for r in items], "item_id long, text string")
+    got = {r.doc_id for r in decontam.leaking_documents(kept.unionByName(more), benchmark).collect()}
+    assert len(got & {100_000 + r.item_id for r in items}) >= 18
+    assert not got & {200_000 + r.item_id for r in items}
+
+
+def test_common_subsequence():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        a, b = (list(map(str, rng.integers(0, 4, rng.integers(0, 9)))) for _ in range(2))
+        best = max(k for k in range(len(a) + 1) for c in itertools.combinations(a, k)
+                   if all(x in it for it in [iter(b)] for x in c))
+        assert decontam.common_subsequence(a, b) == best
+
+
+def test_op3(spark, sf_dir):
+    got = {r.doc_id: r for r in rows(spark, sf_dir.replace("sf0.001", "sf0.1"), "op3_noisy_or")}
+    labels = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.1')}/labels.parquet").collect()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+    held = [(got[r.doc_id], r.toxic) for r in labels if got[r.doc_id].held_out]
+    assert sum(r.predicted == y for r, y in held) >= 0.96 * len(held)
+    # The sentence that is pointed at lies in the text.
+    assert all(0 <= r.worst_start < r.worst_end for r in got.values() if r.n_offending)
+
+
+def test_op4(spark, sf_dir, texts):
+    counts, held = collections.Counter(), {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in texts}
+    words = {i: WORD.findall(t.translate(LOWER)) + ["\0"] for i, t in texts.items()}
+    for i, ws in words.items():
+        if not held[i]:
+            counts.update(ws)
+    n, v = sum(counts.values()), len(counts)
+    for r in rows(spark, sf_dir, "op4_subword_lattice"):
+        ws = words[r.doc_id]
+        base = sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws)
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (held[r.doc_id], len(ws), n)
+        assert r.n_known == sum(counts[w] > 0 for w in ws)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.score < 0
+
+
+def test_lattice_sums_all_segmentations():
+    pieces = lattice.Pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    log_p, log_stop = pieces.normalised()
+    weight = dict(zip(pieces.pieces, np.exp(log_p)))
+
+    def total(rest):
+        if not rest:
+            return 1.0
+        return sum(weight[rest[:k]] * total(rest[k:]) for k in range(1, len(rest) + 1) if rest[:k] in weight)
+
+    words = ["a", "the", "walking", "erinshnt", "größe"]
+    want = [math.log(total(lattice.SPACE + w)) + log_stop for w in words]
+    assert np.allclose(lattice.lattice(words, pieces, log_p, log_stop), want)
+    _, uses = lattice.lattice(words, pieces, log_p, log_stop, expected=True)
+    assert uses[pieces.initial].sum() == pytest.approx(len(words))
+    assert np.isfinite(lattice.lattice(["\U0001f9ea" * 3, "x" * 500], pieces, log_p, log_stop)).all()
+
+
+def test_op5(spark, sf_dir, texts):
+    where, simhash = collections.OrderedDict(), {}
+    for i in sorted(texts):
+        number, _, hashes = fuzzy_lines.line_hashes(texts[i].encode())
+        split = texts[i].split("\n")
+        for k, h in zip(number, hashes):
+            norm = fuzzy_lines.normalise(split[k])
+            where.setdefault(norm, []).append((i, int(k)))
+            assert simhash.setdefault(norm, int(h)) == int(h)
+    lines = list(where)
+    values = np.array([simhash[x] for x in lines], np.int64).view(np.uint64)
+    parent = list(range(len(lines)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a in range(len(lines)):
+        for b in np.flatnonzero(np.bitwise_count(values[a + 1 :] ^ values[a]) <= fuzzy_lines.DISTANCE) + a + 1:
+            most = max(len(lines[a]), len(lines[b])) * 20 // 100
+            if fuzzy_lines.edit_distance(lines[a], lines[b]) <= most:
+                parent[find(b)] = find(a)
+    groups, gone = collections.defaultdict(list), collections.Counter()
+    for a, line in enumerate(lines):
+        groups[find(a)] += where[line]
+    for g in groups.values():
+        gone.update(i for i, _ in sorted(g)[1:])
+    got = {r.doc_id: r for r in rows(spark, sf_dir, "op5_fuzzy_lines")}
+    assert {i: r.n_removed for i, r in got.items() if r.n_removed} == dict(gone)
+    assert all(len(r.text.split("\n")) == r.n_lines - r.n_removed for r in got.values() if r.n_lines > r.n_removed)
+
+
+def test_edit_distance():
+    rng = np.random.default_rng(2)
+    for _ in range(500):
+        a, b = ("".join(map(str, rng.integers(0, 3, rng.integers(0, 12)))) for _ in range(2))
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        assert fuzzy_lines.edit_distance(a, b) == row[-1]
+
+
+def test_masks_leave_no_close_pair_out():
+    rng = np.random.default_rng(3)
+    for n in (10, 10**6, 10**9, 10**11):
+        masks = fuzzy_lines.tables_for(n)
+        for _ in range(300):
+            flips = sum(1 << int(k) for k in rng.choice(64, fuzzy_lines.DISTANCE, replace=False))
+            assert any(not flips & (m % (1 << 64)) for m in masks)
+
+
+def test_op6(spark, sf_dir):
+    sf = sf_dir.replace("sf0.001", "sf0.1")
+    got = {r.doc_id: r.accepted for r in rows(spark, sf, "op6_cotraining")}
+    labels = spark.read.parquet(f"{sf}/labels.parquet").collect()
+    right = sum(got[r.doc_id] == (r.quality == 1) for r in labels)
+    assert right >= 0.97 * len(labels)
+
+
+def test_op7(spark, sf_dir, texts):
+    for r in rows(spark, sf_dir, "op7_repetition_coverage"):
+        text = texts[r.doc_id]
+        words = WORD.findall(text)
+        windows = collections.Counter(tuple(words[k : k + 3]) for k in range(len(words) - 2))
+        covered = {k + d for k in range(len(words) - 2) for d in range(3) if windows[tuple(words[k : k + 3])] > 1}
+        seen, dup = set(), 0
+        for line in text.split("\n"):
+            dup += line in seen and bool(WORD.search(line))
+            seen.add(line)
+        failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+        assert (r.n_words, r.word_chars, r.n_repeat_words, r.n_dup_lines) == (len(words), sum(map(len, words)), len(covered), dup)
+        assert r.n_symbols == sum(text.count(c) for c in "#*$%&|<>") and r.base_failed == failed
+        shares = []
+        for n in repetition.NGRAM_LIMITS:
+            met, inside = set(), set()
+            for k in range(len(words) - n + 1):
+                g = tuple(words[k : k + n])
+                inside |= set(range(k, k + n)) if g in met else set()
+                met.add(g)
+            shares.append(sum(len(words[k]) for k in inside) / max(1, r.word_chars))
+        assert np.allclose(shares, r.ngram_shares)
+
+
+def near_groups(texts):
+    sets = {}
+    for i, t in texts.items():
+        w = WORD.findall(t.translate(LOWER))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    by_shingle, common, group = collections.defaultdict(list), collections.Counter(), {i: i for i in sets}
+    for i, s in sets.items():
+        for g in s:
+            by_shingle[g].append(i)
+    for ids in by_shingle.values():
+        common.update(itertools.combinations(sorted(ids), 2))
+
+    def find(x):
+        while group[x] != x:
+            group[x] = group[group[x]]
+            x = group[x]
+        return x
+
+    for (a, b), n in common.items():
+        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+            a, b = find(a), find(b)
+            group[max(a, b)] = min(a, b)
+    return sets, {i: find(i) for i in sets}
+
+
+def test_op8(spark, sf_dir, texts):
+    sets, group = near_groups(texts)
+    got = rows(spark, sf_dir, "op8_hyperminhash")
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {
+        i: (len(sets[i]), group[i], group[i] == i) for i in texts
+    }
+
+
+def test_op8_chains_and_families(spark):
+    """Copies with growing edits: some pairs are links, their neighbours are not, and the
+    groups are those that all links make."""
+    rng = np.random.default_rng(4)
+    words = [f"w{k}" for k in rng.integers(0, 10**6, 400)]
+    texts = {}
+    for i in range(120):
+        edited = list(words)
+        for k in rng.choice(400, rng.integers(0, 9), replace=False):
+            edited[k] = f"e{rng.integers(0, 50)}"
+        texts[i] = " ".join(edited)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    _, group = near_groups(texts)
+    assert {r.doc_id: r.component_id for r in hyperminhash.near_duplicates(df).collect()} == group
+
+
+def test_estimates_are_corrected_for_chance():
+    rng = np.random.default_rng(5)
+    draw = lambda n: rng.integers(0, 2**63, n).astype(np.uint64)
+    for share in (0.0, 0.5, 0.9):
+        found = []
+        for _ in range(40):
+            both, a, b = draw(int(1000 * share)), draw(1000 - int(1000 * share)), draw(1000 - int(1000 * share))
+            x, y = (hyperminhash.registers(np.concatenate([both, z])) for z in (a, b))
+            n = np.array([1000.0])
+            found.append(hyperminhash.estimate(np.array([(x == y).sum()]), n, n)[0])
+        assert abs(np.mean(found) - share / (2 - share)) < 0.03
+
+
+def test_op9(spark, sf_dir):
+    pages = {r.page_id: r.html or "" for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    first = {}
+    for i in sorted(pages):
+        first.setdefault(pages[i], i)
+    want = set()
+    for i, html in pages.items():
+        data, own = html.encode(), first[html]
+        want.add((i, len(data), warc.digest_of(data), "response" if own == i else "revisit", None if own == i else own))
+    got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows(spark, sf_dir, "op9_warc_dictionary")]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_op10(spark, sf_dir, texts):
+    from tokenizers import Tokenizer
+
+    coder, at = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 0
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in rows(spark, sf_dir, "op10_token_store")}
+    for i in sorted(texts):
+        ids = np.array([*coder.encode(texts[i], add_special_tokens=False).ids, 2], "<u4")
+        assert got.pop(i) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert not got
+
+
+def test_stretches_encode_as_the_whole_text_does():
+    coder = token_store.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(6)
+    letters = [" ", "\n", "a", "B", "é", "1", ".", ",", "'s", "\t", " ", "<|endoftext|>", "\x1c", "　", "日"]
+    made = ["".join(rng.choice(letters, rng.integers(0, 14))) for _ in range(4000)]
+    for text, ids in zip(made, coder.encode(made)):
+        assert np.frombuffer(ids, coder.dtype).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_perfect_hash_is_minimal_and_turns_strangers_away():
+    rng = np.random.default_rng(7)
+    a, b = rng.integers(0, 2**63, (2, 5000)).astype(np.uint64)
+    data = token_store.PerfectHash.build(a[:4000], b[:4000]).dump()
+    mph, _ = token_store.PerfectHash.load(data, 0)
+    assert sorted(mph.slots(a[:4000], b[:4000])) == list(range(4000))
+    prints = np.zeros(4000, np.uint32)
+    prints[mph.slots(a[:4000], b[:4000])] = token_store.fingerprints(a[:4000], b[:4000])
+    other = mph.slots(a[4000:], b[4000:])
+    assert not ((other >= 0) & (prints[other] == token_store.fingerprints(a[4000:], b[4000:]))).any()
+
+
+def test_pipeline(spark, sf_dir, texts, tmp_path):
+    docs, benchmark = queries.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()
+    columns, stages, kept = docs.columns, {}, {None: docs}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, sf_dir).write.parquet(str(tmp_path / name))
+        docs = kept[name] = spark.read.parquet(str(tmp_path / name))
+        stages[name] = docs.collect()
+        if name != "token store":
+            assert docs.columns == columns
+    good = {r.doc_id: r.text for r in stages["quality classifier"]}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    assert sum((i in good) == (q == 1) for i, q in labels.items()) >= 0.95 * len(labels)
+    _, group = near_groups(good)
+    once = {r.doc_id: r.text for r in stages["near-dedup"]}
+    assert set(once) == {i for i in good if group[i] == i}
+    leaks = {i for i, _ in leaks_of(once, benchmark)}
+    clean = {r.doc_id for r in stages["decontamination"]}
+    assert clean <= set(once) and len(leaks & clean) <= 0.1 * len(leaks) and set(once) - leaks <= clean
+    mixed = collections.Counter(r.doc_id for r in stages["source mix"])
+    assert set(mixed) <= clean
+    tokens = sorted(stages["token store"], key=lambda r: r.start)
+    assert collections.Counter(r.doc_id for r in tokens) == mixed
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(tokens, tokens[1:]))
