@@ -392,7 +392,7 @@ SELECT doc_id, quality::BIGINT AS quality FROM r WHERE rn = 1""",
          count(*) FILTER (WHERE prediction = 'real') AS real, avg(latency_ms) AS latency
   FROM predictions GROUP BY 1
 ) SELECT {_stamp("day")} AS day, total, fake, real, round(fake / total::DOUBLE * 100, 6) AS fake_pct,
-  total // 24 AS per_hour, round(latency, 6) AS avg_response_ms FROM d""",
+  total // 24 AS per_hour, fake // 24 AS fake_per_hour, round(latency, 6) AS avg_response_ms FROM d""",
     "recent_predictions": f"""{_PRED} SELECT id, source, prediction, {_stamp("analyzed_at")} AS analyzed_at,
   round(latency_ms, 6) AS latency_ms, component
 FROM (SELECT * FROM predictions ORDER BY predictions.analyzed_at DESC, id DESC LIMIT 10)""",
@@ -419,3 +419,9 @@ FROM events GROUP BY 1""",
 }
 SQL["live_predictions_daily"] = SQL["predictions_daily"]
 SQL["live_hourly_trend"] = SQL["hourly_trend"]
+_PHRASES = f"""phrases AS (
+  SELECT id, label, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) AS words FROM tokens
+)"""
+SQL["top_phrases_by_label"] = (
+    SQL["top_terms_by_label"].replace(_TOKENS, f"{_TOKENS}, {_PHRASES}").replace("FROM filtered", "FROM phrases")
+)

@@ -200,6 +200,11 @@ def stopword_filtered(spark, sf):
     return _comparable(T.token_counts(T.tokenised(A.silver(spark, sf), drop_stop_words=True)))
 
 
+@query
+def top_phrases_by_label(spark, sf):
+    return _comparable(T.top_terms_by_label(T.phrased(A.silver(spark, sf))))
+
+
 @query
 def term_tfidf(spark, sf):
     return _comparable(T.term_tfidf(T.tokenised(A.silver(spark, sf), drop_stop_words=True)))

@@ -29,6 +29,7 @@ def predictions_daily(predictions: DataFrame) -> DataFrame:
         "real",
         F.coalesce(F.try_divide("fake", "total") * 100, F.lit(0.0)).alias("fake_pct"),
         F.floor(F.col("total") / 24).alias("per_hour"),
+        F.floor(F.col("fake") / 24).alias("fake_per_hour"),
         "avg_response_ms",
     )
 

@@ -17,6 +17,17 @@ def tokenised(silver: DataFrame, drop_stop_words: bool = False) -> DataFrame:
     return silver.withColumn("words", X.drop_stop_words(words) if drop_stop_words else words)
 
 
+def phrased(silver: DataFrame) -> DataFrame:
+    """Pairs of neighbouring tokens as terms, stop words among them: phrases such as
+    "according to" are made of these."""
+    words, n = F.col("words"), F.size("words")
+    pairs = F.zip_with(
+        F.slice(words, 1, n - 1), F.slice(words, 2, n - 1), lambda a, b: F.concat_ws(" ", a, b)
+    )
+    none = F.array().cast("array<string>")
+    return tokenised(silver).withColumn("words", F.when(n > 1, pairs).otherwise(none))
+
+
 def token_counts(tokens: DataFrame) -> DataFrame:
     return tokens.select(
         "id",
