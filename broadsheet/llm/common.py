@@ -33,6 +33,17 @@ def words_of(text: str | None) -> list[str]:
     return WORDS.findall(text) if text else []
 
 
+# Rows that go to a Python worker at a time: whole texts may be long.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of texts small, whatever the session had before."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the one all executors share: `spark.checkpoint.dir` where the
     session names it, else the warehouse."""
@@ -101,7 +112,7 @@ def identified(docs: DataFrame) -> DataFrame:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __missing__(self, word: str | bytes) -> int:
         data = word if isinstance(word, bytes) else word.encode("utf-8", "surrogatepass")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import written
+from broadsheet.llm.common import small_batches, written
 
 # Bounds on the rows that the models are fitted on, chosen by hash of doc_id: labelled
 # ones of each class (weighted back to the classes' shares) and unlabelled ones.
@@ -157,6 +157,7 @@ def _exchange(views, labelled, y, weight, pool, prior: float) -> list[tuple[np.n
 def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrained:
     """Fit on `labels` (doc_id, quality) of `docs` (doc_id, text, lang, source) and on
     documents without label. Without labels of both classes all documents score alike."""
+    small_batches(docs.sparkSession)
     order = F.xxhash64("doc_id")
     known = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"))
     known = known.filter(F.col("quality").isin(0, 1))
@@ -237,6 +238,7 @@ def score_quality(docs: DataFrame, model: CoTrained) -> DataFrame:
     lang and source may be null or missing. A null or empty text is scored as an empty
     page. Rows are scored each alone, with or without doc_id; no rows give no rows.
     """
+    small_batches(docs.sparkSession)
     added = ["content_score", "metadata_score", "score", "accepted", "_text", "_lang", "_source"]
     docs = docs.drop(*added)
     has = lambda c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")

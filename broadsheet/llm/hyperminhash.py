@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import hashed, lower_words, rolling, written
+from broadsheet.llm.common import hashed, lower_words, rolling, small_batches, written
 from broadsheet.llm.graph import components
 from broadsheet.operators.joins import broadcast_if_few
 
@@ -187,6 +187,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     it are linked, whatever their texts. Rows without doc_id are linked with nothing:
     component_id is null and they are kept. No rows give no rows.
     """
+    small_batches(docs.sparkSession)
     rows = written(sketch(docs), "sketches")
     # One node for each distinct set, named by its smallest doc_id.
     sets = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set_id").agg(

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import MASK, crc_bucket, lower_words, written
+from broadsheet.llm.common import MASK, crc_bucket, lower_words, small_batches, written
 
 FOLDS = 10
 ADD = 0.1
@@ -293,6 +293,7 @@ def lattice_scores(docs: DataFrame, vocabulary: str, folds: int = FOLDS, em_roun
     give no rows; without training rows all words have the weights of the vocabulary.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     bucket = crc_bucket("doc_id", folds)
     rows = docs.select(
         F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"),

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import hashed, rolling, words_of
+from broadsheet.llm.common import hashed, rolling, small_batches, words_of
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 # Fixed values, published rules: share of characters of words that may lie in repeats of
@@ -110,6 +110,7 @@ def repetition_rules(
     word do not count as repeats. Each row is judged alone, so ties, repeated rows and
     null ids change nothing; no rows give no rows.
     """
+    small_batches(docs.sparkSession)
     limits = dict(ngram_limits)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(lambda batches: _measured(batches, limits, line_limit), SPARK_SCHEMA)

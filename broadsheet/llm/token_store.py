@@ -30,11 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import (
+    WORD_HASHES,
     filesystem,
     mix,
     open_file,
     published,
     shared_folder,
+    small_batches,
     tasks_for,
 )
 
@@ -57,7 +59,7 @@ class ChunkEncoder:
     stands is marked by HEAD.
     """
 
-    LIMIT = 1_000_000
+    LIMIT = 500_000
     HEAD = "\r"
     # White space that is not a single space or line break between other characters.
     ODD = re.compile(r"\s\s|[^\S \n]")
@@ -148,6 +150,8 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
 def encoder(path: str) -> ChunkEncoder:
+    # The worker may have hashed words for another operator.
+    WORD_HASHES.clear()
     if path not in _ENCODERS:
         _ENCODERS[path] = ChunkEncoder(path)
     return _ENCODERS[path]
@@ -314,6 +318,7 @@ def write_store(
     again. No rows give a store without records.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     folder = folder or shared_folder(spark, "token-store")
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import crc_bucket, written
+from broadsheet.llm.common import crc_bucket, small_batches, written
 
 FOLDS = 5
 # Bounds on the labelled rows of each class that the model is fitted on, chosen by hash;
@@ -172,6 +172,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, folds: int = FOLDS) ->
     A null or empty text counts as one empty sentence. A row without doc_id is scored
     and counts as held out. Rows are scored each alone; no rows give no rows.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         lambda batches: _scored(batches, model),
         "doc_id long, score double, n_sentences long, offending array<struct<start: int, end: int, score: double>>",

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import open_file, published, shared_folder, written
+from broadsheet.llm.common import open_file, published, shared_folder, small_batches, written
 from broadsheet.operators.joins import skew_join
 
 # Fixed values of the formats.
@@ -157,6 +157,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_payload: int
     No rows give an empty list of files.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     folder = folder or shared_folder(spark, "warc")
     rows = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"))
     digest = F.sha1(F.encode("html", "UTF-8"))
