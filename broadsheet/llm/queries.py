@@ -112,6 +112,52 @@ def op9_warc_dictionary(spark, sf_dir):
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+SQL["op8_hyperminhash"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM pairs p JOIN sizes x ON p.a = x.doc_id JOIN sizes y ON p.b = y.doc_id
+  WHERE 100 * p.n >= 85 * (x.n + y.n - p.n)
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id AS id, doc_id AS node FROM documents
+  UNION SELECT r.id, w.b FROM reached r JOIN ways w ON r.node = w.a
+), least AS (
+  SELECT id, min(node) AS component_id FROM reached GROUP BY id
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d JOIN least l ON d.doc_id = l.id LEFT JOIN sizes s ON d.doc_id = s.doc_id
+"""
+
+SQL["op9_warc_dictionary"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+), digests AS (
+  SELECT *, array_to_string(list_transform(string_split(sha1(html), ''),
+    lambda h: lpad(bin(strpos('0123456789abcdef', h) - 1), 4, '0')), '') AS bits FROM payloads
+)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + list_sum(list_transform(range(5), lambda k: CAST(substr(bits, CAST(5 * i + k + 1 AS BIGINT), 1) AS INTEGER) * (1 << CAST(4 - k AS INTEGER))))::BIGINT,
+    1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digests
+"""
+
+
 @query
 def op10_token_store(spark, sf_dir):
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
