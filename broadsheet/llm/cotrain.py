@@ -17,7 +17,7 @@ from broadsheet.llm.common import small_batches, written
 
 # Bounds on the rows that the models are fitted on, chosen by hash of doc_id: labelled
 # ones of each class (weighted back to the classes' shares) and unlabelled ones.
-MAX_GOOD, MAX_BAD, MAX_POOL = 6_000, 4_000, 6_000
+MAX_GOOD, MAX_BAD, MAX_POOL = 3_000, 2_000, 2_500
 ROUNDS = 4
 # Pseudo-labels that a view gives in a round, as a share of its pool, and how sure of
 # them it must be.
@@ -181,6 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrained
         np.frombuffer(b"".join(got.metadata), "<f4").reshape(-1, META_DIM),
     ]
     y = got.quality.to_numpy()
+    del got
     is_good, is_bad = y == 1, y == 0
     total = is_good.sum() + is_bad.sum()
     if not is_good.any() or not is_bad.any():
