@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from broadsheet.llm import cotrain, decontam, hyperminhash, mixing, token_store
 
 TOKENIZER = "byte_bpe_50k.json"
+# Near-duplicates share so much of their shingles, in percent; op8's own 85 is its query's.
+SIMILAR = 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest doc_id."""
-    return hyperminhash.deduplicate(docs)
+    return hyperminhash.deduplicate(docs, percent=SIMILAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
