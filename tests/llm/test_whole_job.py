@@ -1,6 +1,11 @@
 """What the training-text operators must not leave out."""
 
+import collections
+
+import numpy as np
+
 import corpus_pipeline
+from broadsheet.llm import decontam, queries
 
 
 def test_near_dedup_stage_links_at_80_percent(spark, sf_dir):
@@ -11,3 +16,32 @@ def test_near_dedup_stage_links_at_80_percent(spark, sf_dir):
     rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()} == {1, 3}
+
+
+def hot_leaks(spark, sf_dir, copies=120):
+    """Documents that hold an item of the benchmark many times over, at any place in them,
+    and for each item a paraphrase without its rarest words."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").collect()[:10]
+    filler = " ".join(r.text or "" for r in queries.documents(spark, sf_dir).orderBy("doc_id").limit(60).collect()).split()
+    rng, made = np.random.default_rng(8), []
+    counts = collections.Counter(decontam.terms_of(" ".join(filler)))
+    for r in items:
+        rare = set(sorted(set(decontam.terms_of(r.text)), key=lambda w: (counts[w], w))[:4])
+        # The answer, which is the last sentence, stays.
+        answer = len(decontam.Item(0, r.text).answer)
+        words = r.text.split()
+        changed = [f"other{k}" if k < len(words) - answer and rare & set(decontam.terms_of(w)) else w for k, w in enumerate(words)]
+        for n in range(copies + 1):
+            at = rng.integers(0, len(filler) - 200)
+            around = filler[at : at + rng.integers(60, 100)]
+            k = rng.integers(0, 40)
+            made.append((len(made), " ".join(around[:k] + (changed if n == copies else words) + around[k:]), r.item_id))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in made], "doc_id long, text string")
+    return docs, {(i, item) for i, _, item in made}
+
+
+def test_op1_finds_items_that_leaked_often(spark, sf_dir):
+    docs, want = hot_leaks(spark, sf_dir)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id) for r in decontam.leaking_documents(docs, benchmark).collect()}
+    assert len(want - got) <= 0.01 * len(want)
