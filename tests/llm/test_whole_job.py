@@ -45,3 +45,8 @@ def test_op1_finds_items_that_leaked_often(spark, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     got = {(r.doc_id, r.item_id) for r in decontam.leaking_documents(docs, benchmark).collect()}
     assert len(want - got) <= 0.01 * len(want)
+
+
+def test_decontamination_stage_removes_items_that_leaked_often(spark, sf_dir):
+    docs, want = hot_leaks(spark, sf_dir)
+    assert corpus_pipeline.decontamination(spark, docs, sf_dir).count() <= 0.01 * len(want)
