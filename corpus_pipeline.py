@@ -2,6 +2,7 @@
 
 Each stage takes what the one before kept, with the columns of documents, and decides on
 all of it; the last writes the token store and returns what can be read back from it.
+Each result is written as Parquet and read again as the next stage's documents.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from broadsheet.llm import cotrain, decontam, hyperminhash, mixing, token_store
+from broadsheet.llm.common import written
 
 TOKENIZER = "byte_bpe_50k.json"
 # Near-duplicates share so much of their shingles, in percent; op8's own 85 is its query's.
@@ -58,6 +60,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

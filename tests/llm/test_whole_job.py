@@ -3,6 +3,7 @@
 import collections
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from broadsheet.llm import decontam, queries
@@ -50,3 +51,16 @@ def test_op1_finds_items_that_leaked_often(spark, sf_dir):
 def test_decontamination_stage_removes_items_that_leaked_often(spark, sf_dir):
     docs, want = hot_leaks(spark, sf_dir)
     assert corpus_pipeline.decontamination(spark, docs, sf_dir).count() <= 0.01 * len(want)
+
+
+def test_run_writes_each_stage_once(spark, sf_dir, monkeypatch):
+    seen, drawn = [], lambda spark, docs, _: docs.withColumn("lang", F.expr("uuid()"))
+
+    def stage(spark, docs, _):
+        seen.append({r.doc_id: r.lang for r in docs.collect()})
+        return docs
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a stage", drawn), ("next", stage), ("last", stage)])
+    out = {r.doc_id: r.lang for r in corpus_pipeline.run(spark, sf_dir).select("doc_id", "lang").collect()}
+    assert len(seen) == 2 and all("documents.parquet" not in f for f in corpus_pipeline.run(spark, sf_dir).inputFiles())
+    assert seen[0] == seen[1] == out
