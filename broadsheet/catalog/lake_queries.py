@@ -14,6 +14,7 @@ from broadsheet import schemas as S
 from broadsheet.catalog import adapters as A
 from broadsheet.catalog import oracle as O
 from broadsheet.catalog.queries import _comparable, _landed, _prediction_stream, _scratch_lake, _sides
+from broadsheet.functions import text as X
 from broadsheet.operators import bronze as B
 from broadsheet.operators import evaluation as E
 from broadsheet.operators import gold as G
@@ -306,13 +307,21 @@ def stream_scoring(spark, sf):
 SELECT a.doc_id, r.content_hash IS NOT NULL AS was_reused, true AS has_prediction
 FROM articles a LEFT JOIN recent r ON a.content_hash = r.content_hash""")
 def scored_requests(spark, sf):
-    """Every request has an answer: a fresh prediction of its content, or a new one."""
+    """Every request has an answer with a label of the set: a fresh prediction of its
+    content, or one by the fitted model."""
+    _, model = _fitted(spark, sf)
     articles, prior = A.articles(spark, sf), A.prior_predictions(spark, sf)
     now = F.lit(A.REUSE_AS_OF).cast("timestamp_ntz")
-    todo = P.unscored_contents(articles.withColumn("id", F.col("doc_id")), prior, now)
-    scored = todo.select("content_hash", F.lit(S.REAL).alias("prediction"), F.lit(0.5).alias("confidence"), now.alias("analyzed_at"))
+    texts = A.table(spark, sf, "documents").select("doc_id", "source", F.col("text").alias("content"))
+    texts = texts.withColumns({
+        "id": F.col("doc_id"), "content_hash": F.md5("content"), "content_cleaned": X.strip_tags(F.col("content")),
+        **{c: F.lit(None).cast("string") for c in ("title", "title_cleaned", "url", "author")},
+    })
+    scored = score(P.unscored_contents(texts, prior, now), model, "content", A.REUSE_AS_OF)
+    scored = scored.select("content_hash", "prediction", "confidence", now.alias("analyzed_at"))
     answers = P.answers(articles, scored, prior, now, key="doc_id")
-    return answers.select("doc_id", "was_reused", F.col("prediction").isNotNull().alias("has_prediction"))
+    known = F.coalesce(F.col("prediction").isin(*S.LABELS), F.lit(False))
+    return answers.select("doc_id", "was_reused", known.alias("has_prediction"))
 
 
 # -- streams --------------------------------------------------------------------
