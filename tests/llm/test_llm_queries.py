@@ -215,7 +215,7 @@ def test_op7(spark, sf_dir, texts):
         assert np.allclose(shares, r.ngram_shares)
 
 
-def near_groups(texts):
+def near_groups(texts, percent=85):
     sets = {}
     for i, t in texts.items():
         w = WORD.findall(t.translate(LOWER))
@@ -234,7 +234,7 @@ def near_groups(texts):
         return x
 
     for (a, b), n in common.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             a, b = find(a), find(b)
             group[max(a, b)] = min(a, b)
     return sets, {i: find(i) for i in sets}
@@ -335,7 +335,7 @@ def test_pipeline(spark, sf_dir, texts, tmp_path):
     good = {r.doc_id: r.text for r in stages["quality classifier"]}
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     assert sum((i in good) == (q == 1) for i, q in labels.items()) >= 0.95 * len(labels)
-    _, group = near_groups(good)
+    _, group = near_groups({i: t or "" for i, t in good.items()}, corpus_pipeline.SIMILAR)
     once = {r.doc_id: r.text for r in stages["near-dedup"]}
     assert set(once) == {i for i in good if group[i] == i}
     leaks = {i for i, _ in leaks_of(once, benchmark)}
