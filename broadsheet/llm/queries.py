@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import cotrain, decontam, fuzzy_lines, hyperminhash, lattice, mixing, repetition, token_store, toxicity, warc
+from broadsheet.llm import (
+    cotrain, decontam, filter_audit, fuzzy_lines, hyperminhash, lattice, mixing, repetition, token_store, toxicity, warc,
+)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -164,3 +166,52 @@ def op10_token_store(spark, sf_dir):
     folder = token_store.write_store(documents(spark, sf_dir), tokenizer)
     keys = token_store.stored_keys(spark, folder)
     return token_store.fetch(spark, folder, keys, digest=True).drop("occurrence")
+
+
+@query
+def op11_contingency_audit(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit_filters(documents(spark, sf_dir), labels)
+
+
+SQL["op11_contingency_audit"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM texts
+), marks AS (
+  SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, CASE WHEN quality = 1 THEN 1 ELSE 0 END AS good, CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS toxic,
+    [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+     100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text), regexp_matches(text, '[#$%&*|]'),
+     coalesce(s.doc_id > min(s.doc_id) OVER (PARTITION BY text), false)] AS fails
+  FROM split s LEFT JOIN marks m ON s.doc_id = m.doc_id
+), cells AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+  SELECT filter_order, step, strpos('ABCDE', substr(filter_order, step, 1)) AS own,
+    list_transform(string_split(substr(filter_order, 1, step - 1), ''), lambda f: strpos('ABCDE', f)) AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), met AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, own, n, good, toxic, fails[own] AS fails_own,
+    step > 1 AND list_bool_or(list_transform(before, lambda f: fails[f])) AS gone,
+    len(list_filter(fails, lambda f: f)) = 1 AS one
+  FROM cells, steps
+), counted AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (NOT gone AND NOT fails_own), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND fails_own), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (gone AND fails_own), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails_own AND one), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (NOT gone AND fails_own), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (NOT gone AND fails_own), 0)::BIGINT AS toxic_lost
+  FROM met GROUP BY ALL
+)
+SELECT * EXCLUDE (own), sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM counted
+"""
