@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.llm import (
-    cotrain, decontam, filter_audit, fuzzy_lines, hyperminhash, lattice, mixing, repetition, token_store, toxicity, warc,
+    cotrain, decontam, filter_audit, fuzzy_lines, hard_negatives, hyperminhash, lattice, mixing, repetition, token_store,
+    toxicity, vector_join, warc,
 )
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +216,53 @@ WITH texts AS (
 )
 SELECT * EXCLUDE (own), sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM counted
 """
+
+
+@query
+def op12_block_join(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return vector_join.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+_VECTORS = """
+WITH vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+)"""
+
+SQL["op12_block_join"] = f"""{_VECTORS}, whole AS (
+  SELECT * FROM vectors WHERE len(list_filter(v, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranks AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranks WHERE rank <= 20
+"""
+
+
+@query
+def op13_four_russians(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return hard_negatives.hard_negatives(hard_negatives.turned_labels(vectors))
+
+
+SQL["op13_four_russians"] = f"""{_VECTORS}, whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(v, lambda x: floor(256 * x)) AS v
+  FROM vectors WHERE label IS NOT NULL
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), mined AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS rank
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+   AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM mined WHERE rank <= 5
+"""
