@@ -22,8 +22,13 @@ def predictions_daily(predictions: DataFrame) -> DataFrame:
         _said(S.REAL).alias("real"),
         F.avg("latency_ms").alias("avg_response_ms"),
     )
+    return daily_figures(counted.select(F.col("window.start").alias("day"), "total", "fake", "real", "avg_response_ms"))
+
+
+def daily_figures(counted: DataFrame) -> DataFrame:
+    """The shares and hourly rates that follow from the counts of a day."""
     return counted.select(
-        F.col("window.start").alias("day"),
+        "day",
         "total",
         "fake",
         "real",

@@ -21,16 +21,16 @@ from broadsheet.operators import silver as V
 from broadsheet.operators import splits as L
 from broadsheet.operators.joins import broadcast_if_few
 from broadsheet.operators.scoring import request_articles, score
-from broadsheet.plans import training
-from broadsheet.plans.compaction import compact
+from broadsheet.plans import bronze_days, training
+from broadsheet.plans import id_index as I
 from broadsheet.plans.lake import Lake
+from broadsheet.plans.snapshots import DATA, Snapshot
 from broadsheet.session import input_bytes, materialise, size_for
 from broadsheet.sources.envelope import CORRUPT, broken
 from broadsheet.sources.tables import balanced, write_table
 
 # Tables of more files than this are compacted.
 FEW_FILES = 1_000
-BRONZE_PARTITIONS = ("source_type", "bronze_date")
 
 
 def write_bronze_batch(
@@ -40,7 +40,9 @@ def write_bronze_batch(
     writer's name keeps apart streams and jobs that each count batches from 0.
     The source is no partition column, as there is no bound on how many there are."""
     folder = f"{lake.path('bronze')}/writer={writer}/batch_id={batch_id}"
-    write_table(B.stamp(records, as_of), folder, "overwrite", BRONZE_PARTITIONS, lake.fmt)
+    write_table(B.stamp(records, as_of), folder, "overwrite", bronze_days.PARTITIONS, lake.fmt)
+    if lake.fmt == "parquet":
+        bronze_days.played_again(lake.bronze_days(records.sparkSession), writer, batch_id)
 
 
 def write_quarantine_batch(texts: DataFrame, lake: Lake, writer: str, batch_id: int) -> None:
@@ -68,13 +70,46 @@ def land(
         read.unpersist()
 
 
+def run_bronze_upkeep(spark: SparkSession, lake: Lake) -> int:
+    """Move closed batches into files by day, and delete folders that nobody can still be
+    reading. Returns the number of batches moved. Streams over bronze's folders go on as
+    they are; one that starts anew finds open batches only, and takes the rest from
+    `run_silver`."""
+    days, bronze = lake.bronze_days(spark), lake.path("bronze")
+    size_for(spark, lake.size(spark, "bronze"))
+    moved = bronze_days.merge(days, bronze)
+    bronze_days.vacuum(days, bronze)
+    return moved
+
+
 def run_silver(spark: SparkSession, lake: Lake, as_of: str | None = None) -> None:
     """Rebuild silver from all of bronze: one shuffle, by id, whose partitions adaptive
     execution merges into files of a good size. After it each id is one row, so there
-    is no skew left to even out."""
+    is no skew left to even out. Readers see the table as it was until the new one is
+    whole, and what a stream adds meanwhile is kept."""
     size_for(spark, lake.size(spark, "bronze"))
     silver = V.build_silver(lake.read(spark, "bronze"), as_of=as_of)
-    write_table(silver, lake.path("silver"), "overwrite", (), lake.fmt)
+    table = lake.snapshots(spark, "silver")
+    if table is None:
+        write_table(silver, lake.path("silver"), "overwrite", (), lake.fmt)
+        return
+    base = table.current() or Snapshot()
+    unit = table.write(silver, "overwrite", base.version + 1)
+    ids = table.read(base.with_units(DATA, [unit], silver.schema)).select("id")
+    run = I.write_run(table, ids, unit.writer, unit.batch)
+    before = {u.folder for u in base.units()}
+
+    def step(now: Snapshot) -> Snapshot:
+        units, runs = [unit], [run] if run else []
+        for u in now.units():
+            if u.folder not in before:
+                rest = V.new_ids(table.read(now, units=[u]), ids)
+                units.append(table.write(rest, u.writer, u.batch))
+                own = table.read(now, units=[units[-1]]).select("id")
+                runs += filter(None, [I.write_run(table, own, u.writer, u.batch)])
+        return I.with_runs(now.with_units(DATA, units, silver.schema), runs)
+
+    table.change(step)
 
 
 def known_among(records: DataFrame, known: DataFrame) -> DataFrame:
@@ -85,17 +120,37 @@ def known_among(records: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def append_new_silver(
-    spark: SparkSession, lake: Lake, records: DataFrame, as_of: str | None = None
+    spark: SparkSession, lake: Lake, records: DataFrame, as_of: str | None = None,
+    writer: str | None = None, batch_id: int = 0,
 ) -> None:
-    """Add the records whose ids silver does not hold yet. Running it again with the
-    same records adds nothing."""
+    """Add the records whose ids silver does not hold yet. Running it again with the same
+    records adds nothing; a batch that is played again under its writer's name replaces
+    itself. The index of ids is asked, so no file of silver is read."""
     # The batch is used for its ids, for their number and for its rows.
     records = records.persist()
     try:
         fresh = V.build_silver(records, as_of=as_of)
-        if lake.exists(spark, "silver"):
-            fresh = V.new_ids(fresh, known_among(records, lake.read(spark, "silver")))
-        write_table(fresh, lake.path("silver"), "append", (), lake.fmt)
+        table = lake.snapshots(spark, "silver")
+        if table is None:
+            if lake.exists(spark, "silver"):
+                fresh = V.new_ids(fresh, known_among(records, lake.read(spark, "silver")))
+            write_table(fresh, lake.path("silver"), "append", (), lake.fmt)
+            return
+        if table.current() is None and lake.exists(spark, "silver"):
+            raise RuntimeError(f"silver in {table.root} has no manifest; rebuild it with run_silver")
+        ids = records.select("id").distinct()
+
+        def step(base: Snapshot) -> Snapshot:
+            own = (writer, batch_id) if writer else ("append", base.version + 1)
+            base.check_open(*own)
+            unit = table.write(V.new_ids(fresh, I.known(table, base, ids, own)), *own)
+            made = base.with_units(DATA, [*(u for u in base.units() if (u.writer, u.batch) != own), unit], fresh.schema)
+            run = I.write_run(table, table.read(made, units=[unit]).select("id"), *own)
+            others = [r for r in I.runs_of(base) if (r.writer, r.batch) != own]
+            return I.with_runs(made, [*others, *([run] if run else [])])
+
+        table.change(step)
+        I.merge_runs(table)
     finally:
         records.unpersist()
 
@@ -116,7 +171,11 @@ def run_gold(
     text = training.text_pipeline(dimensions).fit(silver)
     gold = text.transform(G.numeric_gold(silver, "content_cleaned"))
     gold = G.gold_stamp(gold, as_of).select(*S.GOLD_COLUMNS)
-    write_table(balanced(gold, "label"), lake.path("gold"), "overwrite", ("label",), lake.fmt)
+    table = lake.snapshots(spark, "gold")
+    if table is None:
+        write_table(balanced(gold, "label"), lake.path("gold"), "overwrite", ("label",), lake.fmt)
+    else:
+        table.overwrite(balanced(gold, "label"), ["label"])
     text.write().overwrite().save(lake.model_path("text"))
     run_statistics(spark, lake)
     return text
@@ -219,9 +278,13 @@ def ensemble_votes(spark: SparkSession, lake: Lake, articles: DataFrame) -> Data
 
 def refresh(spark: SparkSession, lake: Lake, tables: Sequence[str] = ("silver", "gold", "splits")) -> None:
     """The periodic batch pass from bronze to train and test. Silver is compacted after
-    it is written, which merges what streams have appended to it meanwhile."""
+    it is written, which merges what streams have appended to it meanwhile, and files
+    that nobody can still be reading go."""
     steps = {"silver": run_silver, "gold": run_gold, "splits": run_splits}
     for table in tables:
         steps[table](spark, lake)
-        if table == "silver" and lake.fmt == "parquet" and lake.files(spark, table) > FEW_FILES:
-            compact(spark, lake.path(table), fmt=lake.fmt)
+        held = lake.snapshots(spark, table)
+        if held:
+            if table == "silver" and lake.files(spark, table) > FEW_FILES:
+                held.compact()
+            held.vacuum()

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from broadsheet.operators import bronze as B
 from broadsheet.operators import monitoring as M
+from broadsheet.operators import predictions as P
 from broadsheet.operators.scoring import request_articles, score
 from broadsheet.plans.jobs import append_new_silver, write_bronze_batch, write_quarantine_batch
 from broadsheet.plans.lake import Lake
@@ -19,7 +20,7 @@ from broadsheet.sources.tables import read_table, write_table
 TRIGGER = "5 minutes"
 
 
-def _start(
+def start(
     stream: DataFrame,
     each: Callable[[DataFrame, int], None],
     checkpoint: str,
@@ -54,7 +55,7 @@ def to_bronze(
         finally:
             decoded.unpersist()
 
-    return _start(messages, each, lake.checkpoint(name), name, trigger)
+    return start(messages, each, lake.checkpoint(name), name, trigger)
 
 
 def deduplicated(records: DataFrame, delay: str = "1 hour", time: str = "ingestion_timestamp") -> DataFrame:
@@ -66,12 +67,14 @@ def deduplicated(records: DataFrame, delay: str = "1 hour", time: str = "ingesti
 def to_silver(
     records: DataFrame, lake: Lake, name: str = "silver", trigger: str | None = TRIGGER, as_of: str | None = None
 ) -> StreamingQuery:
-    """Keep silver up to date with a stream of bronze records."""
+    """Keep silver up to date with a stream of bronze records. A batch that is played
+    again after a failure replaces itself."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        append_new_silver(batch.sparkSession, lake, batch, as_of)
+        writer = f"{name}-{lake.stream_id(batch.sparkSession, name)}"
+        append_new_silver(batch.sparkSession, lake, batch, as_of, writer, batch_id)
 
-    return _start(records, each, lake.checkpoint(name), name, trigger)
+    return start(records, each, lake.checkpoint(name), name, trigger)
 
 
 def scored(requests: DataFrame, model: PipelineModel, as_of: str | None = None) -> DataFrame:
@@ -79,6 +82,30 @@ def scored(requests: DataFrame, model: PipelineModel, as_of: str | None = None)
     return score(request_articles(requests), model, "content", as_of)
 
 
+def with_reuse(requests: DataFrame, predictions: DataFrame, delay: str = "10 minutes", seconds: int = P.REUSE_SECONDS) -> DataFrame:
+    """Each request (id, content_hash, requested_at) with the latest prediction of its
+    content (content_hash, analyzed_at, prediction, confidence) made in the `seconds` before
+    it, or without one: two streams joined on their times. A request is answered once the
+    watermark has passed it, so that no earlier prediction can still come; rows later than
+    `delay` are left out on either side.
+
+    State is what either stream brought within `delay` and `seconds`. As predictions are
+    reused, a content has few of them in that time, however often it is asked for.
+    """
+    asked = requests.select("id", "content_hash", "requested_at").withWatermark("requested_at", delay)
+    made = predictions.select(F.col("content_hash").alias("made_of"), "analyzed_at", "prediction", "confidence")
+    made = made.withWatermark("analyzed_at", delay)
+    age = F.make_dt_interval(secs=F.lit(seconds))
+    within = (F.col("analyzed_at") <= F.col("requested_at")) & (F.col("analyzed_at") > F.col("requested_at") - age)
+    joined = asked.join(made, (F.col("content_hash") == F.col("made_of")) & within, "leftOuter")
+    latest = F.max(F.when(F.col("analyzed_at").isNotNull(), F.struct("analyzed_at", "prediction", "confidence")))
+    answers = joined.groupBy("id", "content_hash", "requested_at").agg(latest.alias("latest"))
+    return answers.select(
+        "id", "content_hash", "requested_at", "latest.analyzed_at", "latest.prediction", "latest.confidence",
+        F.col("latest").isNotNull().alias("was_reused"),
+    )
+
+
 def live_daily(predictions: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Running totals per day; later rows than the watermark allows are left out."""
     return M.predictions_daily(predictions.withWatermark("analyzed_at", delay))
@@ -111,7 +138,7 @@ def to_counters(
         folder = f"{lake.path('counters')}/figure={name}/started={started}/batch_id={batch_id}"
         write_table(batch, folder, "overwrite", (), lake.fmt)
 
-    return _start(counters, each, lake.checkpoint(f"counters-{name}"), name, trigger, "update")
+    return start(counters, each, lake.checkpoint(f"counters-{name}"), name, trigger, "update")
 
 
 def read_counters(spark: SparkSession, lake: Lake, name: str, key: str) -> DataFrame:

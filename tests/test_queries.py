@@ -4,10 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
-from broadsheet.catalog import lake_queries, oracle, queries
+from broadsheet.catalog import lake_queries, oracle, queries, upkeep_queries
 
-QUERIES = queries.REGISTRY | lake_queries.REGISTRY
-ORACLE = oracle.SQL | lake_queries.SQL
+QUERIES = queries.REGISTRY | lake_queries.REGISTRY | upkeep_queries.REGISTRY
+ORACLE = oracle.SQL | lake_queries.SQL | upkeep_queries.SQL
 
 
 @pytest.fixture(scope="module")
