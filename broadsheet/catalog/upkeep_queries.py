@@ -95,6 +95,27 @@ def bronze_merged(spark, sf):
     return rows.groupBy("id", "source", F.col("source_type").cast("string")).agg(F.count("*").alias("n"))
 
 
+def _measured(spark, sf):
+    """A lake whose layers were measured in five batches each, one of them twice."""
+    lake = _scratch_lake(spark)
+    layers = {"bronze": A.news(spark, sf), "silver": A.silver(spark, sf), "gold": A.gold(spark, sf)}
+    for layer, rows in layers.items():
+        for k, batch in enumerate(_dealt(rows, "id", 5)):
+            jobs.add_quality_part(batch, lake, layer, "load", k)
+        jobs.add_quality_part(batch, lake, layer, "load", k)
+    return lake
+
+
+@query(O.SQL["quality_report"])
+def quality_from_parts(spark, sf):
+    return _comparable(jobs.quality_from_parts(spark, _measured(spark, sf)))
+
+
+@query(O.SQL["feature_statistics"])
+def statistics_from_parts(spark, sf):
+    return _comparable(jobs.statistics_from_parts(spark, _measured(spark, sf)).drop("quantiles"))
+
+
 def _prediction_files(spark: SparkSession, sf: str, n: int) -> DataFrame:
     """The prediction log as a stream of `n` files, each from all of its time: whatever
     comes after the first is late."""

@@ -58,23 +58,39 @@ def quality_report(
 ) -> DataFrame:
     """(layer, metric, value, text) over the layers that exist. The label counts of
     gold come in only if it has labels."""
+    counts = lambda df: df.agg(F.count("*").alias("total_records"))
+    labelled = gold is not None and "label" in gold.columns
+    return report_of(
+        quality_bronze(bronze) if bronze is not None else None,
+        quality_silver(silver) if silver is not None else None,
+        label_distribution(gold) if labelled else None,
+        counts(gold) if gold is not None else None,
+    )
+
+
+def report_of(
+    bronze: DataFrame | None, silver: DataFrame | None, labels: DataFrame | None, gold: DataFrame | None = None
+) -> DataFrame:
+    """The report from the figures of each layer; the records of gold are the sum over its
+    labels where they are not given."""
     parts = []
     if bronze is not None:
-        parts.append(_long(quality_bronze(bronze), "bronze"))
+        parts.append(_long(bronze, "bronze"))
     if silver is not None:
-        parts.append(_long(quality_silver(silver), "silver"))
-    if gold is not None and "label" in gold.columns:
-        parts.append(_long(gold.agg(F.count("*").alias("total_records")), "gold"))
+        parts.append(_long(silver, "silver"))
+    if gold is None and labels is not None:
+        gold = labels.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"))
+    if gold is not None:
+        parts.append(_long(gold, "gold"))
+    if labels is not None:
         parts.append(
-            label_distribution(gold).select(
+            labels.select(
                 F.lit("gold").alias("layer"),
                 F.concat(F.lit("label_"), F.coalesce("label", F.lit("none"))).alias("metric"),
                 F.col("n").cast("double").alias("value"),
                 F.lit(None).cast("string").alias("text"),
             )
         )
-    elif gold is not None:
-        parts.append(_long(gold.agg(F.count("*").alias("total_records")), "gold"))
     if not parts:
         raise ValueError("a quality report needs at least one layer")
     return reduce(DataFrame.unionByName, parts)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from broadsheet import schemas as S
 from broadsheet.operators import bronze as B
 from broadsheet.operators import gold as G
+from broadsheet.operators import parts as R
 from broadsheet.operators import predictions as P
 from broadsheet.operators import quality as Q
 from broadsheet.operators import silver as V
@@ -197,6 +198,23 @@ def run_quality(spark: SparkSession, lake: Lake) -> DataFrame:
     return Q.quality_report(layer("bronze"), layer("silver"), layer("gold"))
 
 
+def add_quality_part(rows: DataFrame, lake: Lake, layer: str, writer: str, batch_id: int) -> None:
+    """Measure one batch of bronze, silver or gold rows. A batch that is played again
+    replaces its figures."""
+    part = R.MEASURES[layer](rows).coalesce(1)
+    lake.quality_parts(rows.sparkSession, layer).append(part, writer, batch_id)
+
+
+def quality_from_parts(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The report from what the batches left behind; no layer is read."""
+    tables = {layer: lake.quality_parts(spark, layer) for layer in R.MEASURES}
+    return R.report(**{layer: t.read() for layer, t in tables.items() if t.current()})
+
+
+def statistics_from_parts(spark: SparkSession, lake: Lake) -> DataFrame:
+    return R.feature_figures(lake.quality_parts(spark, "gold").read())
+
+
 def run_splits(
     spark: SparkSession, lake: Lake, train_ratio: float = 0.8, method: str = "stratified"
 ) -> DataFrame:

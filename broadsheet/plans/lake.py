@@ -56,6 +56,10 @@ class Lake:
         """Partial aggregates of a live figure; see `streaming.figures`."""
         return Snapshots(spark, f"{self.root}/figures/{name}")
 
+    def quality_parts(self, spark: SparkSession, layer: str) -> Snapshots:
+        """What each batch of a layer left behind; see `operators.parts`."""
+        return Snapshots(spark, f"{self.root}/quality_parts/{layer}")
+
     def checkpoint(self, stream: str) -> str:
         return f"{self.root}/checkpoints/{stream}"
 
