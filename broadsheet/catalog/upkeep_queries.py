@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from broadsheet.catalog import adapters as A
 from broadsheet.catalog import oracle as O
 from broadsheet.catalog.lake_queries import SQL as LAKE_SQL
-from broadsheet.catalog.queries import _comparable, _scratch_lake
+from broadsheet.catalog.queries import _comparable, _scratch_lake, _vector_summary
+from broadsheet.operators import associations, frequencies
 from broadsheet.operators import silver as V
-from broadsheet.plans import bronze_days, id_index, jobs
+from broadsheet.operators.scoring import model_input, score
+from broadsheet.plans import bronze_days, id_index, jobs, training
 from broadsheet.session import materialise
 from broadsheet.sources.envelope import publish, to_envelope
 from broadsheet.sources.feeds import landing_stream
@@ -100,6 +102,7 @@ def _measured(spark, sf):
     lake = _scratch_lake(spark)
     layers = {"bronze": A.news(spark, sf), "silver": A.silver(spark, sf), "gold": A.gold(spark, sf)}
     for layer, rows in layers.items():
+        rows = materialise(rows)
         for k, batch in enumerate(_dealt(rows, "id", 5)):
             jobs.add_quality_part(batch, lake, layer, "load", k)
         jobs.add_quality_part(batch, lake, layer, "load", k)
@@ -116,6 +119,84 @@ def statistics_from_parts(spark, sf):
     return _comparable(jobs.statistics_from_parts(spark, _measured(spark, sf)).drop("quantiles"))
 
 
+@query(O.SQL["tfidf_vectors"])
+def idf_from_parts(spark, sf):
+    """TF-IDF vectors under weights from the document frequencies of five batches, one of
+    which was counted twice and withdrawn once."""
+    lake, silver = _scratch_lake(spark), materialise(A.silver(spark, sf))
+    for k, batch in enumerate(_dealt(silver, "id", 5)):
+        jobs.add_frequencies(batch, lake, "load", k)
+    jobs.add_frequencies(batch, lake, "again", 0)
+    jobs.add_frequencies(batch, lake, "again", 1, withdrawn=True)
+    return _vector_summary(jobs.text_from_parts(spark, lake).transform(silver.select("id", "content_cleaned")), "tfidf_features")
+
+
+@query(f"""{O._SILVER}, {O._TOKENS}, {O._TFIDF}, {O._BUCKETS}, ranks AS (
+  SELECT b.bucket, d.term, d.df, row_number() OVER (PARTITION BY b.bucket ORDER BY d.df DESC, d.term) AS rank
+  FROM df d JOIN buckets b ON d.term = b.term
+)
+SELECT bucket::BIGINT AS bucket, rank, term, df FROM ranks WHERE rank <= 5""")
+def bucket_terms(spark, sf):
+    """The commonest terms of each hashed dimension."""
+    return _comparable(frequencies.bucket_terms(A.silver(spark, sf), training.TFIDF_DIMENSIONS))
+
+
+@query(f"""{O._SILVER}, {O._TOKENS}, pairs AS (
+  SELECT words[i] AS a, words[i + 1] AS b FROM tokens, unnest(range(1, len(words))) AS t(i)
+  WHERE words[i] <> '' AND words[i + 1] <> ''
+), counts AS (
+  SELECT a, b, count(*)::DOUBLE AS ab FROM pairs GROUP BY a, b HAVING count(*) >= 5
+), firsts AS (
+  SELECT a, count(*)::DOUBLE AS n FROM pairs GROUP BY a
+), seconds AS (
+  SELECT b, count(*)::DOUBLE AS n FROM pairs GROUP BY b
+), cells AS (
+  SELECT c.a AS first, c.b AS second, ab, f.n - ab AS a_only, s.n - ab AS b_only,
+    (SELECT count(*) FROM pairs)::DOUBLE - f.n - s.n + ab AS neither, f.n AS fn, s.n AS sn,
+    (SELECT count(*) FROM pairs)::DOUBLE AS total
+  FROM counts c JOIN firsts f ON c.a = f.a JOIN seconds s ON c.b = s.b
+), scored AS (
+  SELECT first, second, ab, ab * total > fn * sn AS more, 2 * (
+    ab * ln(ab * total / (fn * sn))
+    + CASE WHEN a_only > 0 THEN a_only * ln(a_only * total / (fn * (total - sn))) ELSE 0 END
+    + CASE WHEN b_only > 0 THEN b_only * ln(b_only * total / ((total - fn) * sn)) ELSE 0 END
+    + CASE WHEN neither > 0 THEN neither * ln(neither * total / ((total - fn) * (total - sn))) ELSE 0 END) AS score
+  FROM cells
+)
+SELECT first, second, ab::BIGINT AS n, round(score, 3) AS score FROM scored WHERE more AND score >= 10.83""")
+def associated_phrases(spark, sf):
+    """Neighbouring words that stand together more often than chance has it."""
+    found = associations.associated_phrases(A.silver(spark, sf))
+    return found.withColumn("score", F.round("score", 3))
+
+
+_PLANTED = "CASE WHEN substr(md5('planted' || id), 1, 1) < '8' THEN 'fake' ELSE 'real' END"
+
+
+_HELD_OUT = "substr(md5('side' || id), 1, 1) < '5'"
+
+
+@query(f"""{O._SILVER} SELECT unnest(['random_forest', 'logistic_regression', 'gradient_boosting']) AS model,
+  count(*) AS tested, true AS learned FROM silver WHERE {_HELD_OUT}""")
+def planted_labels(spark, sf):
+    """Whether the three classifiers learn a label that is drawn for each article and told
+    by words of its text, to nineteen in twenty of those that they have not seen."""
+    label = F.expr(_PLANTED)
+    told = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda k: F.concat(label, F.lit("mark"), k)), " ")
+    silver = materialise(A.silver(spark, sf).withColumns({
+        "label": label, "content_cleaned": F.concat_ws(" ", "content_cleaned", told),
+    }))
+    train, test = silver.filter(~F.expr(_HELD_OUT)), silver.filter(_HELD_OUT)
+    fitted = training.preprocessing(spark).fit(model_input(train))
+    vectors = materialise(fitted.transform(model_input(train)).select("id", training.LABEL, training.FEATURES))
+    parts = []
+    for name, classifier in training.default_classifiers().items():
+        model = training.PipelineModel(stages=[*fitted.stages, classifier.fit(vectors)])
+        said = score(test.drop("label"), model, as_of=A.AS_OF).withColumn("hit", F.col("prediction") == label)
+        parts.append(said.agg(F.count("*").alias("tested"), (F.avg(F.col("hit").cast("int")) >= 0.95).alias("learned")).withColumn("model", F.lit(name)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def _prediction_files(spark: SparkSession, sf: str, n: int) -> DataFrame:
     """The prediction log as a stream of `n` files, each from all of its time: whatever
     comes after the first is late."""

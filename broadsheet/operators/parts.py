@@ -90,7 +90,7 @@ def feature_figures(parts: DataFrame) -> DataFrame:
         F.when(n > 1, F.sqrt(apart / (n - 1))).alias("stddev"), F.min("min").alias("min"), F.max("max").alias("max"),
         F.kll_merge_agg_double("quantiles").alias("sketch"),
     )
-    shown = F.transform(F.array(*map(F.lit, QUANTILES)), lambda q: F.kll_sketch_get_quantile_double("sketch", q))
+    shown = F.array(*(F.kll_sketch_get_quantile_double("sketch", F.lit(q)) for q in QUANTILES))
     return merged.select("feature", "count", "mean", "stddev", "min", "max", F.when(F.col("count") > 0, shown).alias("quantiles"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from broadsheet import schemas as S
 from broadsheet.operators import bronze as B
+from broadsheet.operators import frequencies as N
 from broadsheet.operators import gold as G
 from broadsheet.operators import parts as R
 from broadsheet.operators import predictions as P
@@ -215,6 +216,25 @@ def statistics_from_parts(spark: SparkSession, lake: Lake) -> DataFrame:
     return R.feature_figures(lake.quality_parts(spark, "gold").read())
 
 
+def add_frequencies(
+    silver: DataFrame, lake: Lake, writer: str, batch_id: int, withdrawn: bool = False,
+    dimensions: int = training.TFIDF_DIMENSIONS,
+) -> None:
+    """Count the documents of one batch of silver, or withdraw them. A batch that is played
+    again replaces its counts."""
+    counted = training.counting_model(dimensions).transform(silver.select("content_cleaned"))
+    part = N.frequency_part(counted, -1 if withdrawn else 1)
+    lake.frequencies(silver.sparkSession).append(part.coalesce(1), writer, batch_id)
+
+
+def text_from_parts(
+    spark: SparkSession, lake: Lake, dimensions: int = training.TFIDF_DIMENSIONS
+) -> PipelineModel:
+    """The text pipeline that a fit over all counted documents gives, without a look at them."""
+    parts = lake.frequencies(spark).read()
+    return N.text_model(training.counting_model(dimensions), N.merged_frequencies(parts))
+
+
 def run_splits(
     spark: SparkSession, lake: Lake, train_ratio: float = 0.8, method: str = "stratified"
 ) -> DataFrame:

@@ -60,6 +60,10 @@ class Lake:
         """What each batch of a layer left behind; see `operators.parts`."""
         return Snapshots(spark, f"{self.root}/quality_parts/{layer}")
 
+    def frequencies(self, spark: SparkSession) -> Snapshots:
+        """Document frequencies of the batches of silver; see `operators.frequencies`."""
+        return Snapshots(spark, f"{self.root}/frequencies")
+
     def checkpoint(self, stream: str) -> str:
         return f"{self.root}/checkpoints/{stream}"
 

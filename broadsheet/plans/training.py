@@ -55,6 +55,11 @@ def text_stages(dimensions: int = TFIDF_DIMENSIONS) -> list:
     ]
 
 
+def counting_model(dimensions: int = TFIDF_DIMENSIONS) -> PipelineModel:
+    """The text stages that have nothing to fit."""
+    return PipelineModel(stages=text_stages(dimensions)[:-1])
+
+
 def text_pipeline(dimensions: int = TFIDF_DIMENSIONS) -> Pipeline:
     return Pipeline(stages=text_stages(dimensions))
 
@@ -250,12 +255,29 @@ def ensemble_vote(model: PipelineModel, names: Sequence[str], df: DataFrame) ->
     )
 
 
+def _importances(model: PipelineModel) -> tuple[bool, list[float]]:
+    last = model.stages[-1]
+    linear = hasattr(last, "coefficients")
+    return linear, [float(v) for v in (last.coefficients if linear else last.featureImportances).toArray()]
+
+
+def text_importance(model: PipelineModel, terms: DataFrame) -> DataFrame:
+    """(bucket, importance, weight, terms) for each hashed text dimension that the model
+    leans on, largest first, with the commonest terms that fall into it from
+    `frequencies.bucket_terms`. Their importances add up to the one row that
+    `feature_importance` has for text."""
+    linear, values = _importances(model)
+    rows = [(k, abs(v), v if linear else None) for k, v in enumerate(values[len(S.NUMERIC_FEATURES) :]) if v]
+    found = terms.sparkSession.createDataFrame(rows, "bucket INT, importance DOUBLE, weight DOUBLE")
+    named = terms.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("ranked"))
+    named = named.select("bucket", F.col("ranked.term").alias("terms"))
+    return found.join(named, "bucket", "left").orderBy(F.col("importance").desc(), "bucket")
+
+
 def feature_importance(model: PipelineModel) -> DataFrame:
     """(feature, importance, weight), largest first. The hashed text dimensions are
     added up into one row. `weight` is the signed coefficient of a linear model."""
-    last = model.stages[-1]
-    linear = hasattr(last, "coefficients")
-    values = [float(v) for v in (last.coefficients if linear else last.featureImportances).toArray()]
+    linear, values = _importances(model)
     n = len(S.NUMERIC_FEATURES)
     rows = [
         (name, abs(v), v if linear else None) for name, v in zip(S.NUMERIC_FEATURES, values[:n])
