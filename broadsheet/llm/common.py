@@ -99,14 +99,27 @@ def crc_bucket(column: str | Column, n: int) -> Column:
     return F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(n))
 
 
-def identified(docs: DataFrame) -> DataFrame:
-    """A document is its doc_id and its text: both, since either may repeat. Adds _id
-    and _version, never null, that tell documents apart."""
+def document_keys() -> tuple[Column, Column]:
+    """A document is its doc_id and its text: both, since either may repeat. Two numbers,
+    never null, that tell documents apart."""
     text = F.coalesce("text", F.lit(""))
-    return docs.withColumns({
-        "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
-        "_version": F.xxhash64(F.col("doc_id").isNull(), text),
-    })
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.xxhash64(F.col("doc_id").isNull(), text)
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """`docs` with the keys of its documents as _id and _version."""
+    return docs.withColumns(dict(zip(("_id", "_version"), document_keys())))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of `df` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 class WordHashes(dict):
