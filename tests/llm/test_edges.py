@@ -117,7 +117,7 @@ def test_lattice(docs, none):
 
 def test_fuzzy_lines(docs, none):
     out = fuzzy_lines.dedup_lines(docs)
-    assert set(out.columns) == set(docs.columns) - {"_id"} | {"n_removed"}
+    assert set(out.columns) == set(docs.columns) | {"n_removed"}
     rows = out.collect()
     assert len(rows) == len(ROWS)
     by = lambda i: sorted((r.text is None, r.n_removed) for r in rows if r.doc_id == i)

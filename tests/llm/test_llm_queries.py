@@ -10,9 +10,10 @@ import compare
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from broadsheet.llm import decontam, fuzzy_lines, hyperminhash, lattice, queries, repetition, token_store, warc
+from broadsheet.llm import decontam, fuzzy_lines, hyperminhash, lattice, mixing, queries, repetition, token_store, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -127,17 +128,20 @@ def test_lattice_sums_all_segmentations():
     assert np.isfinite(lattice.lattice(["\U0001f9ea" * 3, "x" * 500], pieces, log_p, log_stop)).all()
 
 
-def test_op5(spark, sf_dir, texts):
-    where, simhash = collections.OrderedDict(), {}
+def fuzzy_groups(texts, percent=80):
+    """Lines by (document, place) in groups by edit similarity alone: all pairs are compared
+    whose lengths and characters allow it."""
+    where = collections.defaultdict(list)
     for i in sorted(texts):
-        number, _, hashes = fuzzy_lines.line_hashes(texts[i].encode())
-        split = texts[i].split("\n")
-        for k, h in zip(number, hashes):
-            norm = fuzzy_lines.normalise(split[k])
-            where.setdefault(norm, []).append((i, int(k)))
-            assert simhash.setdefault(norm, int(h)) == int(h)
-    lines = list(where)
-    values = np.array([simhash[x] for x in lines], np.int64).view(np.uint64)
+        for k, line in enumerate(texts[i].split("\n")):
+            if norm := fuzzy_lines.normalise(line):
+                where[norm].append((i, k))
+    lines = sorted(where, key=len)
+    size, column = np.array([len(x) for x in lines]), {c: n for n, c in enumerate(sorted({c for x in lines for c in x}))}
+    held = np.zeros((len(lines), len(column)), np.int32)
+    for row, x in zip(held, lines):
+        for c, n in collections.Counter(x).items():
+            row[column[c]] = n
     parent = list(range(len(lines)))
 
     def find(x):
@@ -146,21 +150,103 @@ def test_op5(spark, sf_dir, texts):
             x = parent[x]
         return x
 
+    links = 0
     for a in range(len(lines)):
-        for b in np.flatnonzero(np.bitwise_count(values[a + 1 :] ^ values[a]) <= fuzzy_lines.DISTANCE) + a + 1:
-            most = max(len(lines[a]), len(lines[b])) * 20 // 100
-            if fuzzy_lines.edit_distance(lines[a], lines[b]) <= most:
-                parent[find(b)] = find(a)
-    groups, gone = collections.defaultdict(list), collections.Counter()
+        js = np.arange(a + 1, np.searchsorted(size, size[a] * 100 // percent, side="right"))
+        most = size[js] * (100 - percent) // 100
+        more = np.maximum(np.maximum(held[js] - held[a], 0).sum(1), np.maximum(held[a] - held[js], 0).sum(1))
+        for b, m in zip(js[more <= most], most[more <= most]):
+            if fuzzy_lines.edit_distance(lines[a], lines[b]) <= m:
+                links += 1
+                parent[find(int(b))] = find(a)
+    groups = collections.defaultdict(list)
     for a, line in enumerate(lines):
         groups[find(a)] += where[line]
-    for g in groups.values():
-        gone.update(i for i, _ in sorted(g)[1:])
+    return list(groups.values()), links, sum(len(x) - 1 for x in where.values())
+
+
+def test_op5(spark, sf_dir, texts):
+    """Against edit similarity with no bound on SimHashes: hardly a link is lost, and nothing
+    is removed that is not linked."""
+    groups, links, exact = fuzzy_groups(texts)
+    want = collections.Counter(i for g in groups for i, _ in sorted(g)[1:])
     got = {r.doc_id: r for r in rows(spark, sf_dir, "op5_fuzzy_lines")}
-    assert {i: r.n_removed for i, r in got.items() if r.n_removed} == dict(gone)
+    removed = {i: r.n_removed for i, r in got.items() if r.n_removed}
+    assert links > 30 and sum(removed.values()) - exact >= 0.9 * (sum(want.values()) - exact)
+    assert sum(abs(removed.get(i, 0) - want[i]) for i in removed.keys() | want.keys()) <= 0.1 * (sum(want.values()) - exact)
     assert all(len(r.text.split("\n")) == r.n_lines - r.n_removed for r in got.values() if r.n_lines > r.n_removed)
 
 
+def test_op5_recall_by_length_and_edits(spark):
+    """Lines of any length with as many words changed, dropped, put in or moved as four
+    fifths of likeness allow."""
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), rng.integers(3, 9)))
+    texts, pairs = {}, 0
+    for n in range(400):
+        words = [word() for _ in range(rng.integers(4, 70))]
+        edited = list(words)
+        for _ in range(rng.integers(1, max(2, len(words) // 8))):
+            at, kind = rng.integers(0, len(edited)), rng.integers(0, 4)
+            if kind == 0:
+                edited[at] = word()
+            elif kind == 1 and len(edited) > 4:
+                del edited[at]
+            elif kind == 2:
+                edited.insert(at, word())
+            else:
+                edited[at : at + 2] = edited[at : at + 2][::-1]
+        texts[n], a, b = " ".join(words), " ".join(words), " ".join(edited)
+        texts[1000 + n] = b
+        pairs += a != b and fuzzy_lines.edit_distance(a, b) <= max(len(a), len(b)) // 5
+    groups, links, _ = fuzzy_groups(texts)
+    assert links >= pairs > 200
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    gone = {r.doc_id for r in fuzzy_lines.dedup_lines(df).filter("n_removed > 0").collect()}
+    want = {i for g in groups for i, _ in sorted(g)[1:]}
+    assert gone <= want and len(gone) >= 0.95 * len(want)
+
+
+def test_op5_orders_of_the_same_words(spark):
+    """Two thousand lines that order the same twelve words differently are not all compared."""
+    rng = np.random.default_rng(13)
+    words = [f"word{k}" for k in "abcdefghijkl"]
+    made = sorted({" ".join(rng.permutation(words)) for _ in range(2000)})
+    hashes = fuzzy_lines.line_hashes("\n".join(made).encode())
+    apart = np.bitwise_count(hashes.simhash.view(np.uint64)[:, None] ^ hashes.simhash.view(np.uint64))
+    assert (apart <= fuzzy_lines.WIDE).mean() < 0.2
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    assert fuzzy_lines.dedup_lines(df).count() == len(made)
+
+
+def test_op2_large_means(spark):
+    """A mean of 100,000 copies, drawn as by adding up the distribution term by term."""
+    for rate in (1e-3, 0.7, 30.0, 4_000.0, 100_000.0):
+        rated = spark.createDataFrame([("k", rate)], "_key string, rate double")
+        table = mixing.poisson_tables(rated).first()
+        assert len(table.cdf) < 30 * rate**0.5 + 60
+        rng = np.random.default_rng(3)
+        us = [0.0, *rng.random(40).tolist(), 1 - 2.0**-52]
+        df = spark.createDataFrame([(u, table.first, table.cdf) for u in us], "u double, first long, cdf array<double>")
+        got = [r.n for r in df.select(mixing.copies_at(F.col("u"), F.col("first"), F.col("cdf")).alias("n")).collect()]
+        cdf = np.array(table.cdf)
+        assert got == [table.first + int((cdf <= u).sum()) for u in us]
+        # Against the sum of logarithms, and the middle of the distribution against its mean.
+        ks = np.arange(0, int(rate + 14 * rate**0.5 + 30))
+        logs = ks * math.log(rate) - rate - np.append(0.0, np.cumsum(np.log(ks[1:])))
+        exact = np.cumsum(np.exp(logs))[table.first : table.first + len(cdf)]
+        assert np.abs(cdf[: len(exact)] - exact).max() < 1e-6
+        assert abs(np.median(got) - rate) < max(1.0, rate**0.5)
+
+
+def test_op2_many_copies_of_a_small_source(spark):
+    docs = spark.createDataFrame([(1, "a", "small"), (2, "b" * 400_000, "large")], "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(docs.withColumn("cdf", F.lit(5)).withColumn("_key", F.lit("own")), weights={"small": 1.0, "large": 1.0})
+    n = mixed.filter("source = 'small'").count()
+    assert abs(n - 100_001) < 2_000
+    assert {(r.cdf, r._key) for r in mixed.limit(50).select("cdf", "_key").collect()} == {(5, "own")}
+
+
 def test_edit_distance():
     rng = np.random.default_rng(2)
     for _ in range(500):
