@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import small_batches, written
+from broadsheet.llm.common import free_names, small_batches, written
 
 # Bounds on the rows that the models are fitted on, chosen by hash of doc_id: labelled
 # ones of each class (weighted back to the classes' shares) and unlabelled ones.
@@ -220,11 +220,11 @@ def _inputs(docs: DataFrame) -> DataFrame:
 SCORED = "doc_id long, content_score double, metadata_score double, score double"
 
 
-def _scored(batches, model: CoTrained, carried: list[str]):
+def _scored(batches, model: CoTrained, carried: list[str], read: list[str]):
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
-            columns = [part.column(c).to_pylist() for c in ("_text", "_lang", "_source")]
+            columns = [part.column(c).to_pylist() for c in read]
             x = np.stack([content_vector(t) for t in columns[0]])
             m = np.stack([metadata_vector(*r) for r in zip(*columns)])
             scores = [pa.array(s.astype(float)) for s in model.scores([x, m])]
@@ -234,19 +234,20 @@ def _scored(batches, model: CoTrained, carried: list[str]):
 
 def score_quality(docs: DataFrame, model: CoTrained) -> DataFrame:
     """The columns of `docs` with content_score, metadata_score, score and accepted
-    (score of at least a half) beside them; columns with these names are replaced.
+    (score of at least a half) beside them; columns with these names are replaced, all
+    others kept.
 
     lang and source may be null or missing. A null or empty text is scored as an empty
     page. Rows are scored each alone, with or without doc_id; no rows give no rows.
     """
     small_batches(docs.sparkSession)
-    added = ["content_score", "metadata_score", "score", "accepted", "_text", "_lang", "_source"]
-    docs = docs.drop(*added)
+    docs = docs.drop("content_score", "metadata_score", "score", "accepted")
     has = lambda c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")
-    wide = docs.withColumns({"_text": F.coalesce("text", F.lit("")), "_lang": has("lang"), "_source": has("source")})
+    read = free_names(docs, "_text", "_lang", "_source")
+    wide = docs.withColumns(dict(zip(read, (F.coalesce("text", F.lit("")), has("lang"), has("source")))))
     kept = docs.columns
     schema = docs.schema
     for c in ("content_score", "metadata_score", "score"):
         schema = schema.add(c, "double")
-    scored = wide.mapInArrow(lambda batches: _scored(batches, model, kept), schema)
+    scored = wide.mapInArrow(lambda batches: _scored(batches, model, kept, read), schema)
     return scored.withColumn("accepted", F.col("score") >= THRESHOLD)

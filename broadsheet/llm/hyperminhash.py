@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import hashed, lower_words, rolling, small_batches, written
+from broadsheet.llm.common import free_names, hashed, lower_words, rolling, small_batches, written
 from broadsheet.llm.graph import components
 from broadsheet.operators.joins import broadcast_if_few
 
@@ -148,8 +148,7 @@ def _links_across(mixed: DataFrame, hashes: DataFrame, percent: int) -> DataFram
     leaders = mixed.groupBy("bucket").agg(F.min("node").alias("a"))
     families = components(mixed.join(leaders, "bucket").select("a", F.col("node").alias("b")))
     rows = mixed.select("node", "component").distinct().join(families.toDF("node", "family"), "node")
-    rows = rows.join(hashes, "node").withColumn("n", F.size("hashes").cast("long"))
-    rows = written(rows, "families")
+    rows = written(rows.join(hashes.select("node", F.size("hashes").cast("long").alias("n")), "node"), "families")
     sizes = rows.groupBy("family", "component").agg(F.sum("n").alias("n"))
     sizes = sizes.groupBy("family").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all")
@@ -159,14 +158,16 @@ def _links_across(mixed: DataFrame, hashes: DataFrame, percent: int) -> DataFram
         "family", "main", F.greatest(parts(F.col("all") - F.col("most")), F.lit(1)).alias("lefts"),
         parts(F.col("all")).alias("rights"),
     )
-    rows = rows.join(sizes, "family")
+    rows = rows.join(broadcast_if_few(sizes), "family")
     deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ("family", "i", "j", "side", "node", "component", "hashes")
+    columns = ("family", "i", "j", "side", "node", "component")
     left = rows.filter("component <> main").withColumns({"side": F.lit(0), "i": deal("lefts"), "j": upto("rights")})
     right = rows.withColumns({"side": F.lit(1), "j": deal("rights"), "i": upto("lefts")})
-    dealt = left.select(*columns).union(right.select(*columns))
-    return dealt.groupBy("family", "i", "j").applyInArrow(
+    # The sets come to their parts, by document, only when these are known; and what is
+    # dealt by family alone before would satisfy the grouping and stay in one task.
+    dealt = left.select(*columns).union(right.select(*columns)).join(hashes, "node")
+    return dealt.repartition("family", "i", "j").groupBy("family", "i", "j").applyInArrow(
         lambda table: _links_between(table, percent), "a long, b long"
     )
 
@@ -242,21 +243,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` whose documents are kept (see `near_duplicates`), with all
-    columns. Of rows that share a doc_id one stays, the first by a hash of its text;
+    columns, whatever their names. Of rows that share a doc_id one stays, the first by a hash of its text;
     rows without doc_id all stay."""
     found = near_duplicates(docs, percent).select("doc_id", "kept")
     gone = written(found.filter("not kept").select("doc_id").distinct(), "gone")
+    gone_id, again_id, key_id = free_names(docs, "_gone", "_again", "_key")
     key = F.col("doc_id").cast("long")
-    rest = docs.join(broadcast_if_few(gone.toDF("_gone")), key == F.col("_gone"), "left_anti")
-    again = docs.groupBy(key.alias("_again")).agg(F.count("*").alias("n")).filter("n > 1 and _again is not null")
-    again = written(again.select("_again"), "again")
+    rest = docs.join(broadcast_if_few(gone.toDF(gone_id)), key == F.col(gone_id), "left_anti")
+    again = docs.groupBy(key.alias(again_id)).agg(F.count("*").alias("n")).filter((F.col("n") > 1) & F.col(again_id).isNotNull())
+    again = written(again.select(again_id), "again")
     if again.isEmpty():
         return rest
     again = broadcast_if_few(again)
-    single = rest.join(again, key == F.col("_again"), "left_anti")
+    single = rest.join(again, key == F.col(again_id), "left_anti")
     # The first row is found in the map tasks, so one id may have any number of rows.
     order = F.struct(F.xxhash64("text"), F.col("text"))
-    several = rest.join(again, key == F.col("_again"), "left_semi").groupBy(key.alias("_key")).agg(
+    several = rest.join(again, key == F.col(again_id), "left_semi").groupBy(key.alias(key_id)).agg(
         F.min_by(F.struct(*(F.col(c) for c in docs.columns)), order).alias("row")
     )
     return single.unionByName(several.select("row.*"))

@@ -1,13 +1,12 @@
 """Language-model scores: the probability of a text summed over all its segmentations
 into the pieces of an existing vocabulary.
 
-A word is a walk through a lattice over its characters. Its arcs are the vocabulary's
-pieces; their weights begin as the vocabulary's own scores and are fitted to the words
-of the corpus by expectation and maximisation. One more arc spans the whole word where
-the training texts have it, weighted by its discounted count; what the discount sets
-free is the weight of the walks through pieces. So the weights of all words and the end
-of a text sum to one, a known word is never worth less than its share, and an unknown
-one is worth what its pieces make it.
+A word is a walk through a lattice over its characters, whose arcs are the vocabulary's
+pieces and nothing else. Their weights are the vocabulary's own scores, as shares of all;
+a round of expectation and maximisation over the words of the training texts moves them
+from there. The weights of all words and of the end of a text sum to one, so a text's
+probability is the product of its words' and the end's, each word's the sum over all its
+segmentations.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ from broadsheet.llm.common import MASK, crc_bucket, lower_words, small_batches,
 
 FOLDS = 10
 ADD = 0.1
-EM_ROUNDS = 2
+EM_ROUNDS = 1
 # Weight of the vocabulary's own scores against the corpus, in words.
 PRIOR = 2000.0
 # The words with the highest counts, so many at most (about 100 bytes each), go to every
@@ -211,11 +210,9 @@ def _scored_words(batches, path: str, log_p, log_stop, stats: dict):
     pieces = Pieces.load(path)
     for batch in batches:
         if batch.num_rows:
-            by_pieces = lattice(batch.column(0).to_pylist(), pieces, log_p, log_stop)
             c = batch.column(1).to_numpy().astype(float)
-            arc = np.maximum(c - stats["discount"], 0) / stats["N"]
-            with np.errstate(divide="ignore"):
-                score = np.logaddexp(np.log(arc), math.log(stats["freed"]) + by_pieces) / math.log(10)
+            by_pieces = lattice(batch.column(0).to_pylist(), pieces, log_p, log_stop)
+            score = (by_pieces + math.log1p(-stats["end"])) / math.log(10)
             base = np.log10((c + ADD) / stats["below"])
             columns = [batch.column(0), batch.column(1), batch.column(2), pa.array(score), pa.array(base)]
             yield pa.RecordBatch.from_arrays(columns, ["word", "c", "n", "score", "base"])
@@ -251,24 +248,39 @@ def _scored_texts(batches, frequent, end_base: float, end_score: float, end_know
 
 def word_statistics(rows: DataFrame) -> tuple[DataFrame, dict]:
     """The words of all texts with their counts in training texts (c) and in all (n), and
-    the totals that weights and base scores need: eight numbers."""
+    the totals that weights and base scores need."""
     counts = rows.select("text", "train").mapInArrow(_counted, "word string, c long, n long")
     counts = written(counts.groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n")), "words")
     t = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("N"), F.count_if(F.expr("c > 0")).alias("V"),
-        F.count_if(F.expr("c = 1")).alias("once"), F.count_if(F.expr("c = 2")).alias("twice"),
     ).first()
     ends = rows.filter("train").count()
     n = t.N + ends
     v = t.V + (1 if ends else 0)
-    discount = t.once / (t.once + 2 * t.twice) if t.once and t.twice else 0.5
-    # Without training texts, words and end share the weight evenly.
-    freed = discount * t.V / n if t.V else (0.5 if not n else 1e-9)
-    stats = {"N": max(n, 1), "train_tokens": n, "V": v, "ends": ends, "discount": discount, "freed": freed,
-             "below": n + ADD * (v + 1)}
+    # The share of ends; without training texts it is a half, and without words all but all.
+    end = min(ends / n, 1 - 1e-9) if n else 0.5
+    stats = {"train_tokens": n, "V": v, "ends": ends, "end": end, "below": n + ADD * (v + 1)}
     return counts, stats
 
 
+def fitted_weights(words: DataFrame, vocabulary: str, em_rounds: int = EM_ROUNDS) -> tuple[np.ndarray, float]:
+    """Log weights of the pieces and of the end of a word: the vocabulary's own, moved by
+    the expected uses of the pieces in the distinct `words`."""
+    pieces = Pieces.load(vocabulary)
+    log_p, log_stop = pieces.normalised()
+    for _ in range(em_rounds):
+        # As many rows as the vocabulary has pieces come to the driver.
+        got = (
+            words.mapInArrow(lambda b, p=log_p, s=log_stop: _expected(b, vocabulary, p, s), "piece int, uses double")
+            .groupBy("piece").agg(F.sum("uses").alias("uses")).collect()
+        )
+        uses = np.zeros(len(log_p) + 1)
+        for r in got:
+            uses[r.piece] = r.uses
+        log_p, log_stop = pieces.normalised(uses[:-1], uses[-1])
+    return log_p, log_stop
+
+
 def _least_count(table: DataFrame) -> float:
     """The least count of the words that go to every task, so that these are FREQUENT at
     most. Counts are gathered by eighths of their powers of two: a few hundred rows."""
@@ -287,7 +299,9 @@ def lattice_scores(docs: DataFrame, vocabulary: str, folds: int = FOLDS, em_roun
     held_out, n_tokens, n_known, train_tokens, base_score and score, the last two log10.
 
     `vocabulary` is a sentencepiece model file; its pieces and their scores are used as
-    they are. Weights are fitted on rows whose crc32(doc_id) mod `folds` is not 0. Null
+    they are, and with `em_rounds` 0 nothing else is. The file's scores are ranks, so a
+    piece's share falls with its rank. Rows whose crc32(doc_id) mod `folds` is not 0 are
+    learned from. Null
     and empty texts have the end token alone. A row without doc_id is scored but never
     learned from; it counts as held out. Rows that repeat count each for itself. No rows
     give no rows; without training rows all words have the weights of the vocabulary.
@@ -300,21 +314,7 @@ def lattice_scores(docs: DataFrame, vocabulary: str, folds: int = FOLDS, em_roun
         F.coalesce(bucket != 0, F.lit(False)).alias("train"),
     )
     counts, stats = word_statistics(rows)
-    pieces = Pieces.load(vocabulary)
-    log_p, log_stop = pieces.normalised()
-    types = counts.filter("c > 0").select("word")
-    for _ in range(em_rounds):
-        p, s = log_p, log_stop
-        # As many rows as the vocabulary has pieces come to the driver.
-        got = (
-            types.mapInArrow(lambda b, p=p, s=s: _expected(b, vocabulary, p, s), "piece int, uses double")
-            .groupBy("piece").agg(F.sum("uses").alias("uses")).collect()
-        )
-        uses = np.zeros(len(log_p) + 1)
-        for r in got:
-            uses[r.piece] = r.uses
-        log_p, log_stop = pieces.normalised(uses[:-1], uses[-1])
-
+    log_p, log_stop = fitted_weights(counts.filter("c > 0").select("word"), vocabulary, em_rounds)
     table = counts.mapInArrow(
         lambda b: _scored_words(b, vocabulary, log_p, log_stop, stats),
         "word string, c long, n long, score double, base double",
@@ -326,7 +326,7 @@ def lattice_scores(docs: DataFrame, vocabulary: str, folds: int = FOLDS, em_roun
         common.base.to_numpy(), common.score.to_numpy(),
     ))
     end_base = math.log10((stats["ends"] + ADD) / stats["below"])
-    end_score = math.log10(max(stats["ends"], 0.5) / stats["N"])
+    end_score = math.log10(max(stats["end"], 1e-9))
     schema = ("row long, doc_id long, n_tokens long, n_known long, base double, score double, "
               "rare array<string>, times array<int>")
     parts = rows.select("doc_id", "text").mapInArrow(

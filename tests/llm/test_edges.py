@@ -36,6 +36,29 @@ def none(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+# Names that operators use inside, as columns of the caller with a value in each row.
+INSIDE = ["_id", "_version", "_drop", "_gone", "_again", "_key", "_who", "_row", "_u", "cdf", "pmf", "first", "_text", "_lang",
+          "_source", "n", "node", "component", "bucket", "group", "copy_of", "simhash", "terms", "_null", "_hash", "_salt"]
+
+
+@pytest.mark.parametrize("name", ["deduplicate", "decontaminate", "dedup_lines", "mix_sources", "score_quality"])
+def test_the_callers_columns_are_kept(spark, docs, name):
+    own = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in INSIDE})
+    benchmark = spark.createDataFrame([(1, "seven silver bells ring above an empty harbour at dawn")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (6, 0), (7, 1), (2, 0)], "doc_id long, quality int")
+    out = {
+        "deduplicate": lambda: hyperminhash.deduplicate(own),
+        "decontaminate": lambda: decontam.decontaminate(own, benchmark),
+        "dedup_lines": lambda: fuzzy_lines.dedup_lines(own),
+        "mix_sources": lambda: mixing.mix_sources(own, budget=3.0),
+        "score_quality": lambda: cotrain.score_quality(own, cotrain.train(own, labels)),
+    }[name]()
+    rows = out.collect()
+    assert rows and set(INSIDE) <= set(out.columns)
+    for r in rows:
+        assert all(r[c] == f"{c} of {'none' if r.doc_id is None else r.doc_id}" for c in INSIDE)
+
+
 def test_near_duplicates(docs, none):
     rows = hyperminhash.near_duplicates(docs).collect()
     assert len(rows) == len(ROWS)

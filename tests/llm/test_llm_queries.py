@@ -110,6 +110,38 @@ def test_op4(spark, sf_dir, texts):
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.score < 0
 
 
+@pytest.mark.parametrize("em_rounds", [0, 1])
+def test_op4_is_the_sum_over_all_segmentations_of_a_text(spark, em_rounds):
+    """Whole texts, known and unknown words alike, by plain recursion over the vocabulary."""
+    texts = ["the river walks and the walks end", "größe erinshnt", "", "Zyzzyva zyzzyva 12.5 the", "the the the"] * 4
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    learned = [t.translate(LOWER).split() for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10]
+    words = sorted({w for t in learned for w in t})
+    log_p, log_stop = lattice.fitted_weights(spark.createDataFrame([(w,) for w in words], "word string"), path, em_rounds)
+    pieces = lattice.Pieces.load(path)
+    weight = dict(zip(pieces.pieces, np.exp(log_p)))
+
+    def total(rest):
+        if not rest:
+            return 1.0
+        return sum(weight[rest[:k]] * total(rest[k:]) for k in range(1, len(rest) + 1) if rest[:k] in weight)
+
+    end = len(learned) / (len(learned) + sum(map(len, learned)))
+    for r in lattice.lattice_scores(df, path, em_rounds=em_rounds).collect():
+        want = math.log(end) + sum(
+            math.log((1 - end) * total(lattice.SPACE + w)) + log_stop for w in texts[r.doc_id].translate(LOWER).split()
+        )
+        assert math.isclose(r.score, want / math.log(10), rel_tol=1e-9)
+
+
+def test_op4_learns_from_the_training_texts(spark, sf_dir):
+    """Held-out texts are likelier under weights that have seen the others."""
+    path, docs = public_tokenizers.path("piece_bpe_32k.model"), queries.documents(spark, sf_dir)
+    held = [lattice.lattice_scores(docs, path, em_rounds=n).filter("held_out").agg(F.sum("score")).first()[0] for n in (0, 1)]
+    assert held[1] > 0.95 * held[0]
+
+
 def test_lattice_sums_all_segmentations():
     pieces = lattice.Pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
     log_p, log_stop = pieces.normalised()
