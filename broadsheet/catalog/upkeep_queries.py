@@ -15,6 +15,7 @@ from broadsheet.operators import silver as V
 from broadsheet.operators.scoring import model_input, score
 from broadsheet.plans import bronze_days, id_index, jobs, training
 from broadsheet.session import materialise
+from broadsheet.sources import feeds
 from broadsheet.sources.envelope import publish, to_envelope
 from broadsheet.sources.feeds import landing_stream
 from broadsheet.streaming import feed, figures
@@ -33,6 +34,36 @@ def query(sql: str | None = None):
     return register
 
 
+@query("""SELECT md5(url || trim(html, chr(9) || chr(10) || chr(13) || ' ')) AS id,
+  trim(html, chr(9) || chr(10) || chr(13) || ' ') AS content, url FROM pages""")
+def rss_markup(spark, sf):
+    """Whole pages, markup, entities and all, as the descriptions of RSS items in XML files;
+    white space around them is not part of a description."""
+    items = A.table(spark, sf, "pages").select(F.col("url").alias("title"), F.col("url").alias("link"), F.col("html").alias("description"))
+    path = f"{_scratch_lake(spark).root}/rss"
+    items.write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
+    # Cut from the files, which give no row to a query of the broken ones' column alone.
+    items = materialise(feeds.read_rss(spark, path).withColumn("source", F.lit("wire")))
+    rows = feeds.rss_items(items, A.AS_OF)
+    blanks = F.lit("\t\n\r ")
+    return rows.select(F.md5(F.concat("url", F.trim("content", blanks))).alias("id"), F.trim("content", blanks).alias("content"), "url")
+
+
+@query(O.SQL["labelled_normalise"])
+def labelled_csv(spark, sf):
+    """Labelled documents written as CSV, quotes and line breaks in them, and read by the
+    reader of labelled files."""
+    rows = A.table(spark, sf, "documents").join(A.table(spark, sf, "labels"), "doc_id").select(
+        F.substring_index("text", "\n", 1).alias("title"), "text", F.when(F.col("quality") == 1, "real").otherwise("fake").alias("label")
+    )
+    path = f"{_scratch_lake(spark).root}/csv"
+    rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
+    articles = feeds.labelled_articles(feeds.read_labelled_csv(spark, path, multi_line=True), as_of=A.AS_OF)
+    return articles.select("id", "source", "source_type", "title", "content", "label")
+
+
 def _dealt(df: DataFrame, key: str, n: int) -> list[DataFrame]:
     """The rows in `n` batches, by a hash of `key`."""
     return [df.filter(F.pmod(F.xxhash64(key), F.lit(n)) == k) for k in range(n)]

@@ -9,7 +9,9 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -178,16 +180,18 @@ def train_models(
     grids: dict[str, list] | None = None,
     dimensions: int = TFIDF_DIMENSIONS,
     folds: int = FOLDS,
-    parallelism: int = 1,
+    parallelism: int = FOLDS,
     preprocess_per_fold: bool = False,
     fit_on: DataFrame | None = None,
 ) -> list[Trained]:
-    """Cross-validate and test each classifier. With `preprocess_per_fold` the whole
-    pipeline is refitted in every fold, at many times the cost."""
+    """Cross-validate and test each classifier, all at once and `parallelism` folds of each
+    side by side: while one waits for its slowest task another has work. With
+    `preprocess_per_fold` the whole pipeline is refitted in every fold, at many times the
+    cost."""
     prepared = prepare(train, test, dimensions, folds, fit_on)
     raw = _fold_column(model_input(train), folds) if preprocess_per_fold else None
-    results = []
-    for order, (name, classifier) in enumerate((classifiers or default_classifiers()).items()):
+
+    def trained(order: int, name: str, classifier: Estimator) -> Trained:
         grid = (grids or {}).get(name)
         if raw is not None:
             stages = preprocessing(train.sparkSession, dimensions).getStages()
@@ -204,10 +208,12 @@ def train_models(
             labelCol=LABEL, predictionCol="prediction", metricName="accuracy"
         ).evaluate(scored)
         params = {p.name: v for p, v in model.stages[-1].extractParamMap().items()}
-        results.append(
-            Trained(name, order, model, auc, accuracy, cv_auc, json.dumps(params, default=str))
-        )
-    return results
+        return Trained(name, order, model, auc, accuracy, cv_auc, json.dumps(params, default=str))
+
+    wanted = [(order, *item) for order, item in enumerate((classifiers or default_classifiers()).items())]
+    # Threads only wait for Spark's jobs; each has the session's properties.
+    with ThreadPool(len(wanted)) as pool:
+        return pool.map(inheritable_thread_target(train.sparkSession)(lambda x: trained(*x)), wanted)
 
 
 def best_of(results: Sequence[Trained]) -> Trained | None:
