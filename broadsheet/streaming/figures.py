@@ -26,6 +26,8 @@ CORRECTIONS = "corrections"
 # So many units of a generation become one of the next.
 FAN = 8
 DELAY = "1 hour"
+# Batches between two looks for files that nobody needs.
+VACUUM_EVERY = 50
 KEY, LATEST = "window_start", "latest"
 
 
@@ -158,7 +160,8 @@ def to_figure(
         table = lake.figure(spark, name)
         add_batch(table, figure, batch, lake.stream_id(spark, stream), batch_id, delay)
         fold(table, figure, fan)
-        table.vacuum()
+        if batch_id % VACUUM_EVERY == 0:
+            table.vacuum()
 
     return start(predictions, each, lake.checkpoint(stream), stream, trigger)
 
