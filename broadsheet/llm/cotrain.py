@@ -1,5 +1,10 @@
 """Quality classifier by co-training: one model sees what a page says, the other what is
-known about it, and each labels pages for the other."""
+known about it, and each labels pages for the other.
+
+Every unlabelled document takes part in every round: both views score it where it is, and
+the surest share of all is passed on. What comes to the driver are counts of scores, and a
+bounded sample of the rows that a view is fitted on, each weighted by what it stands for.
+"""
 
 from __future__ import annotations
 
@@ -14,14 +19,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import free_names, small_batches, written
+from broadsheet.operators.joins import broadcast_if_few
 
-# Bounds on the rows that the models are fitted on, chosen by hash of doc_id: labelled
-# ones of each class (weighted back to the classes' shares) and unlabelled ones.
-MAX_GOOD, MAX_BAD, MAX_POOL = 3_000, 2_000, 2_500
+# Bounds on the rows that a view is fitted on, chosen by hash of doc_id and weighted back
+# to what they stand for: labelled ones of each class, and those of each class that the
+# other view has labelled.
+MAX_GOOD, MAX_BAD, MAX_GIVEN = 3_000, 2_000, 1_000
 ROUNDS = 4
-# Pseudo-labels that a view gives in a round, as a share of its pool, and how sure of
-# them it must be.
-SHARE, SURE = 0.1, 0.95
+# Pseudo-labels that a view gives in a round, as a share of all unlabelled documents, and
+# how sure of them it must be.
+SHARE, SURE = 0.03, 0.95
+# Scores are counted by their log-odds in steps of 1 / STEP, up to BINS / 2 of them either way.
+STEP, BINS = 64, 4096
 # Every fifth labelled row is for calibration, not for fitting.
 CALIBRATION = 5
 THRESHOLD = 0.5
@@ -130,48 +139,144 @@ class CoTrained:
         return [1 / (1 + np.exp(-np.clip(z, -500, 500))) for z in (one, two, both)]
 
 
-def _exchange(views, labelled, y, weight, pool, prior: float) -> list[tuple[np.ndarray, float]]:
-    """The rounds: each view is fitted on the labels and on what the other view was sure
-    of among its pool."""
-    n = len(pool[0])
-    given = [np.full(n, -1), np.full(n, -1)]  # labels of pool rows, for each view
-    fit = lambda v: fit_logistic(
-        np.concatenate([labelled[v], pool[v][given[v] >= 0]]),
-        np.concatenate([y, given[v][given[v] >= 0]]),
-        np.concatenate([weight, np.ones((given[v] >= 0).sum())]),
-    )
-    for _ in range(views):
-        models = [fit(v) for v in (0, 1)]
-        for v, (w, b) in enumerate(models):
-            other = given[1 - v]
-            p = 1 / (1 + np.exp(-np.clip(pool[v] @ w + b, -30, 30)))
-            order = np.argsort(-p, kind="stable")
-            order = order[other[order] < 0]
-            # The surest of both classes, in the classes' shares.
-            good = [i for i in order[: int(n * SHARE * prior)] if p[i] >= SURE]
-            bad = [i for i in order[::-1][: int(n * SHARE * (1 - prior))] if p[i] <= 1 - SURE]
-            other[good], other[bad] = 1, 0
+def _packed(batches):
+    """Features of unlabelled documents, in a byte and in two for each number."""
+    for batch in batches:
+        scales, x, m = [], [], []
+        for text, lang, source in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "source"))):
+            v = content_vector(text)
+            scales.append(float(v.max()))
+            x.append(np.rint(v / max(scales[-1], 1e-9) * 255).astype(np.uint8).tobytes())
+            m.append(metadata_vector(text, lang, source).astype("<f2").tobytes())
+        columns = [batch.column("draw"), pa.array(scales, pa.float32()), pa.array(x, pa.binary()), pa.array(m, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["draw", "scale", "content", "metadata"])
+
+
+def _unpacked(scales, contents, metadata) -> list[np.ndarray]:
+    x = np.frombuffer(b"".join(contents), np.uint8).reshape(-1, CONTENT_DIM).astype(np.float32)
+    x *= (np.asarray(scales, np.float32) / 255)[:, None]
+    return [x, np.frombuffer(b"".join(metadata), "<f2").reshape(-1, META_DIM).astype(np.float32)]
+
+
+def _bins(features: list[np.ndarray], models) -> list[np.ndarray]:
+    """The step of each row's log-odds under each view's model."""
+    return [np.clip(np.floor((x @ w.astype(np.float32) + b) * STEP) + BINS // 2, 0, BINS - 1).astype(np.int64) for x, (w, b) in zip(features, models)]
+
+
+def _given(features: list[np.ndarray], history) -> list[np.ndarray]:
+    """The label that each view has been given for each row, -1 for none: that of the first
+    round in which the other view was sure. `history` has each round's models and cuts."""
+    out = [np.full(len(features[0]), -1) for _ in features]
+    for models, cuts in history:
+        for v, (own, (bad, good)) in enumerate(zip(_bins(features, models), cuts)):
+            other = out[1 - v]
+            free = other < 0
+            other[free & (own >= good)] = 1
+            other[free & (own <= bad)] = 0
+    return out
+
+
+def _batch_features(batch) -> list[np.ndarray]:
+    return _unpacked(*(batch.column(c).to_pylist() for c in ("scale", "content", "metadata")))
+
+
+def _counted(batches, history, models):
+    """Rows that the other view has no label for, by view and step of the log-odds."""
+    counts = np.zeros((2, BINS), np.int64)
+    for batch in batches:
+        if batch.num_rows:
+            features = _batch_features(batch)
+            given = _given(features, history)
+            for v, own in enumerate(_bins(features, models)):
+                counts[v] += np.bincount(own[given[1 - v] < 0], minlength=BINS)
+    v, step = np.nonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (v, step, counts[v, step])], ["view", "step", "n"])
+
+
+def _drawn(batches, history, shares):
+    """Rows that have labels, those of each view and label in their share, by hash."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        draw = batch.column("draw").to_numpy()
+        for v, given in enumerate(_given(_batch_features(batch), history)):
+            for label in (0, 1):
+                rows = np.flatnonzero((given == label) & (draw < shares[v][label]))
+                if len(rows):
+                    part = batch.take(pa.array(rows))
+                    columns = [pa.array(np.full(len(rows), k)) for k in (v, label)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, *(part.column(c) for c in ("scale", "content", "metadata"))],
+                        ["view", "label", "scale", "content", "metadata"],
+                    )
+
+
+def _cuts(counts: np.ndarray, quota: float, prior: float) -> tuple[int, int]:
+    """The steps up to which a view calls documents bad, and from which good: the surest of
+    either class, in the classes' shares of the quota, but none that it is not sure of."""
+    sure = math.log(SURE / (1 - SURE)) * STEP
+    above, below = np.cumsum(counts[::-1])[::-1], np.cumsum(counts)
+    # Documents of one step go together, so the step that fills the quota may exceed it.
+    good = max([0, *np.flatnonzero(above >= max(1, quota * prior))])
+    bad = min([BINS - 1, *np.flatnonzero(below >= max(1, quota * (1 - prior)))])
+    return int(min(bad, math.floor(-sure) + BINS // 2 - 1)), int(max(good, math.ceil(sure) + BINS // 2))
+
+
+def _exchange(rounds: int, labelled, y, weight, held, pool: DataFrame, prior: float) -> list[tuple[np.ndarray, float]]:
+    """The rounds: each view is fitted on the labels and on what the other view was sure of
+    among all of `pool`. How sure it is, is calibrated on the rows that are `held` back:
+    a view that fits its own labels perfectly may still be no judge of others."""
+    n, history = pool.count(), []
+    totals, drawn = np.zeros((2, 2), np.int64), [[], []]
+
+    def fit(v: int) -> tuple[np.ndarray, float]:
+        x, labels, weights = [labelled[v]], [y], [weight]
+        # Together they weigh no more than the labels.
+        less = min(1.0, weight.sum() / max(1, totals[v].sum()))
+        for label, features in drawn[v]:
+            x.append(features)
+            labels.append(np.full(len(features), label))
+            weights.append(np.full(len(features), less * totals[v][label] / len(features)))
+        return fit_logistic(np.concatenate(x), np.concatenate(labels), np.concatenate(weights))
+
+    def judge(v: int) -> tuple[np.ndarray, float]:
+        w, b = fit(v)
+        a, c = calibrate(held[0][v] @ w + b, *held[1:])
+        return a * w, a * b + c
+
+    for _ in range(rounds if n else 0):
+        models = [judge(v) for v in (0, 1)]
+        counts = np.zeros((2, BINS), np.int64)
+        got = pool.mapInArrow(lambda b, h=list(history), m=models: _counted(b, h, m), "view long, step long, n long")
+        for r in got.groupBy("view", "step").agg(F.sum("n").alias("n")).collect():
+            counts[r.view, r.step] = r.n
+        cuts = [_cuts(c, n * SHARE, prior) for c in counts]
+        history.append((models, cuts))
+        for v, (bad, good) in enumerate(cuts):
+            totals[1 - v] += [counts[v, : bad + 1].sum(), counts[v, good:].sum()]
+        shares = (MAX_GIVEN / np.maximum(totals, 1)).tolist()
+        schema = "view long, label long, scale float, content binary, metadata binary"
+        rows = pool.mapInArrow(lambda b, h=list(history), s=shares: _drawn(b, h, s), schema).toPandas()
+        drawn = [[], []]
+        for (v, label), part in rows.groupby(["view", "label"]):
+            drawn[v].append((label, _unpacked(part.scale.to_numpy(), part.content, part.metadata)[v]))
     return [fit(v) for v in (0, 1)]
 
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrained:
-    """Fit on `labels` (doc_id, quality) of `docs` (doc_id, text, lang, source) and on
+    """Fit on `labels` (doc_id, quality) of `docs` (doc_id, text, lang, source) and on all
     documents without label. Without labels of both classes all documents score alike."""
     small_batches(docs.sparkSession)
     order = F.xxhash64("doc_id")
     known = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality"))
     known = known.filter(F.col("quality").isin(0, 1))
     n = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
-    ids = docs.select(F.col("doc_id").cast("long")).filter("doc_id is not null").distinct()
-    pool = ids.join(known, "doc_id", "left_anti").withColumn("quality", F.lit(-1))
     parts = [
         part.orderBy(order, "doc_id").limit(m)
-        for part, m in (
-            (known.filter("quality = 1"), MAX_GOOD), (known.filter("quality = 0"), MAX_BAD), (pool, MAX_POOL)
-        )
-    ]
-    # At most MAX_GOOD + MAX_BAD + MAX_POOL pairs of numbers go to every task.
-    chosen = parts[0].union(parts[1]).union(parts[2])
+        for part, m in ((known.filter("quality = 1"), MAX_GOOD), (known.filter("quality = 0"), MAX_BAD))
+    ]
+    # At most MAX_GOOD + MAX_BAD pairs of numbers go to every task.
+    chosen = parts[0].union(parts[1])
     rows = _inputs(docs).join(F.broadcast(written(chosen, "chosen")), "doc_id").withColumn("order", order)
     got = rows.mapInArrow(
         _features, "quality int, order long, content binary, metadata binary"
@@ -196,9 +301,13 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> CoTrained
     if len(set(y[fitted])) < 2 or len(set(y[aside])) < 2:
         aside = fitted = known_rows
     prior = float((weight * is_good)[known_rows].sum() / weight[known_rows].sum())
-    views = _exchange(
-        rounds, [v[fitted] for v in x], y[fitted], weight[fitted], [v[y < 0] for v in x], prior
-    )
+    unlabelled = _inputs(docs).filter("doc_id is not null").join(broadcast_if_few(known.select("doc_id")), "doc_id", "left_anti")
+    draw = (F.pmod(order, F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("draw")
+    pool = unlabelled.select(draw, "text", "lang", "source")
+    schema = "draw double, scale float, content binary, metadata binary"
+    pool = written(pool.mapInArrow(_packed, schema), "unlabelled") if rounds else pool.limit(0)
+    held = ([v[aside] for v in x], y[aside], weight[aside])
+    views = _exchange(rounds, [v[fitted] for v in x], y[fitted], weight[fitted], held, pool, prior)
     held, w = y[aside], weight[aside]
     scales = [calibrate(v[aside] @ m + b, held, w) for v, (m, b) in zip(x, views)]
     model = CoTrained(views, scales, (1.0, 0.0))

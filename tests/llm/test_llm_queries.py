@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from broadsheet.llm import decontam, fuzzy_lines, hyperminhash, lattice, mixing, queries, repetition, token_store, warc
+from broadsheet.llm import cotrain, decontam, fuzzy_lines, hyperminhash, lattice, mixing, queries, repetition, token_store, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -309,6 +309,62 @@ def test_op6(spark, sf_dir):
     assert right >= 0.97 * len(labels)
 
 
+def test_op6_every_unlabelled_document_takes_part(spark, monkeypatch):
+    """Labels that the views give each other, over a pool and by plain loops over all of it."""
+    rng = np.random.default_rng(14)
+    x, m = rng.random((300, cotrain.CONTENT_DIM)).astype(np.float32), rng.random((300, cotrain.META_DIM)).astype(np.float32)
+    history = []
+    for _ in range(3):
+        models = [(rng.normal(size=f.shape[1]), rng.normal()) for f in (x, m)]
+        counts = [np.bincount(b, minlength=cotrain.BINS) for b in cotrain._bins([x, m], models)]
+        history.append((models, [cotrain._cuts(c, 60, 0.6) for c in counts]))
+    got = cotrain._given([x, m], history)
+    for row in range(300):
+        want = [-1, -1]
+        for models, cuts in history:
+            for v, (features, (w, b)) in enumerate(zip((x, m), models)):
+                step = int(np.clip(math.floor((features[row] @ w.astype(np.float32) + b) * cotrain.STEP) + cotrain.BINS // 2, 0, cotrain.BINS - 1))
+                if want[1 - v] < 0 and step >= cuts[v][1]:
+                    want[1 - v] = 1
+                elif want[1 - v] < 0 and step <= cuts[v][0]:
+                    want[1 - v] = 0
+        assert [g[row] for g in got] == want
+    assert all((g >= 0).any() for g in got)
+
+
+def test_op6_cuts_keep_to_the_quota():
+    rng = np.random.default_rng(15)
+    for _ in range(50):
+        counts = np.bincount(rng.integers(0, cotrain.BINS, 500), minlength=cotrain.BINS)
+        bad, good = cotrain._cuts(counts, 100, 0.7)
+        assert counts[good + 1 :].sum() <= 70 and counts[:bad].sum() <= 30 and bad < cotrain.BINS // 2 < good
+        assert counts[good:].sum() >= 70 or good <= cotrain.BINS // 2 + 200
+    assert cotrain._cuts(np.zeros(cotrain.BINS, int), 10, 0.5)[0] < cotrain._cuts(np.zeros(cotrain.BINS, int), 10, 0.5)[1]
+
+
+def test_op6_pages_label_each_other(spark):
+    """Of four labelled pages the text says nothing about the rest, but their sources do: by
+    those, pages without labels teach the content view what to look for."""
+    rng = np.random.default_rng(16)
+    word = lambda letters: "".join(rng.choice(list(letters), 6))
+    rows, labels = [], []
+    for i in range(1200):
+        good = i % 2
+        known = i < 80
+        letters = "abcdefgh" if known else ("mnopqrst" if good else "uvwxyzab")
+        rows.append((i, " ".join(word(letters) for _ in range(60)), "en", f"s{good}"))
+        if known:
+            labels.append((i, good))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    right = {}
+    for rounds in (0, 4):
+        model = cotrain.train(docs, known, rounds=rounds)
+        scored = cotrain.score_quality(docs, model).filter("doc_id >= 80").collect()
+        right[rounds] = np.mean([(r.content_score >= 0.5) == (r.doc_id % 2 == 1) for r in scored])
+    assert right[4] > 0.95 and right[4] > right[0] + 0.2
+
+
 def test_op7(spark, sf_dir, texts):
     for r in rows(spark, sf_dir, "op7_repetition_coverage"):
         text = texts[r.doc_id]
