@@ -84,6 +84,24 @@ def run_bronze_upkeep(spark: SparkSession, lake: Lake) -> int:
     return moved
 
 
+def run_upkeep(spark: SparkSession, lake: Lake, few_files: int = FEW_FILES) -> None:
+    """What keeps a lake readable for years, beside everything else that runs: bronze by
+    day, few runs of ids, small files merged, and files that nobody can still be reading
+    deleted."""
+    run_bronze_upkeep(spark, lake)
+    silver = lake.snapshots(spark, "silver")
+    tables = [silver, lake.snapshots(spark, "gold"), lake.frequencies(spark)]
+    tables += [lake.quality_parts(spark, layer) for layer in R.MEASURES]
+    if silver.current():
+        I.merge_runs(silver)
+    for table in tables:
+        now = table.current()
+        if now:
+            if len(table.files(now)) > few_files:
+                table.compact()
+            table.vacuum()
+
+
 def run_silver(spark: SparkSession, lake: Lake, as_of: str | None = None) -> None:
     """Rebuild silver from all of bronze: one shuffle, by id, whose partitions adaptive
     execution merges into files of a good size. After it each id is one row, so there

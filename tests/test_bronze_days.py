@@ -116,3 +116,20 @@ def test_a_merge_that_stops_before_its_manifest_changes_nothing(spark, lake, mon
             merge(spark, lake)
     assert [x[2] for x in held(spark, lake)] == [0, 1, 2]
     assert merge(spark, lake) == 2 and [x[2] for x in held(spark, lake)] == [0, 1, 2]
+
+
+def test_upkeep_of_a_whole_lake_changes_no_row(spark, lake):
+    for batch in range(4):
+        write(spark, lake, "s", batch, range(5 * batch, 5 * batch + 5))
+        records = lake.read(spark, "bronze").filter(f"batch_id = {batch}").withColumn("content", F.lit("w " * 80))
+        jobs.append_new_silver(spark, lake, records.select(*S.ENVELOPE.names), None, "s", batch)
+        jobs.add_quality_part(records, lake, "bronze", "s", batch)
+        jobs.add_frequencies(lake.read(spark, "silver").filter(f"id >= {5 * batch}"), lake, "s", batch, dimensions=8)
+    read = lambda: (held(spark, lake), sorted(r.id for r in lake.read(spark, "silver").collect()),
+                    sorted(map(tuple, jobs.quality_from_parts(spark, lake).collect()), key=repr))
+    before, files = read(), lake.files(spark, "silver")
+    jobs.run_upkeep(spark, lake, few_files=2)
+    assert read() == before and lake.files(spark, "silver") < files
+    jobs.run_upkeep(spark, lake, few_files=2)
+    assert read() == before
+    jobs.run_upkeep(spark, Lake(f"{lake.root}-none"))

@@ -172,3 +172,13 @@ def test_silver_without_a_manifest_is_rebuilt(spark, lake):
     jobs.write_bronze_batch(records(spark, range(7)), lake, "w", 0)
     jobs.run_silver(spark, lake)
     assert held(spark, lake) == list(range(7))
+
+
+def test_a_lake_without_records(spark, lake):
+    jobs.write_bronze_batch(records(spark, []), lake, "w", 0)
+    jobs.run_silver(spark, lake)
+    table = lake.snapshots(spark, "silver")
+    assert held(spark, lake) == [] and id_index.runs_of(table.current()) == []
+    assert table.vacuum(keep_seconds=-10) == 0 and table.compact() is not None
+    jobs.append_new_silver(spark, lake, records(spark, range(4)))
+    assert held(spark, lake) == list(range(4))
