@@ -83,21 +83,31 @@ def indexed_new_ids(spark, sf):
     return V.new_ids(ids, id_index.known(table, table.current(), ids))
 
 
+# Of so many equal shares of all rows these are batches of their own; the rest is one.
+SMALL_SHARES, SMALL_BATCHES = 64, range(7)
+
+
 @query(LAKE_SQL["compaction_rows"])
 def compaction_partial(spark, sf):
-    """Silver of one large file and many small ones, of which only the small ones are
+    """Silver of one large batch and many small ones, of which only the small files are
     written anew; read as it was before and as it is after."""
     lake = _scratch_lake(spark)
-    large, *small = _dealt(to_envelope(A.news(spark, sf), A.AS_OF), "id", 8)
-    jobs.append_new_silver(spark, lake, large, A.AS_OF, "load", 0)
+    records, n = to_envelope(A.news(spark, sf), A.AS_OF), len(SMALL_BATCHES)
+    share = F.pmod(F.xxhash64("id"), F.lit(SMALL_SHARES))
+    jobs.append_new_silver(spark, lake, records.filter(share >= n), A.AS_OF, "stream", 0)
     table = lake.snapshots(spark, "silver")
-    names = lambda: {f"{u.folder}/{name}": size for u, name, size in table.files(table.current())}
-    first = names()
-    for k, batch in enumerate(small):
-        jobs.append_new_silver(spark, lake, batch, A.AS_OF, "stream", k)
+    files = lambda: {f"{u.folder}/{name}": size for u, name, size in table.files(table.current())}
+    first = files()
+    for k in SMALL_BATCHES:
+        jobs.append_new_silver(spark, lake, records.filter(share == k), A.AS_OF, "stream", k + 1)
     began = lake.read(spark, "silver")
-    before, after = table.compact(target_bytes=2 * min(first.values()))
-    if after >= before or not first.keys() <= names().keys():
+    # However many files a batch was written in, all but those of the large one are small.
+    closed = [u for u in table.current().units() if u.batch < n]
+    small = [size for u, _, size in table.files(table.current()) if u in closed and u.batch]
+    target = 2 * (max(small, default=0) + 1)
+    large = {name for name, size in first.items() if 2 * size >= target}
+    before, after = table.compact(target_bytes=target)
+    if (len(small) > 1 and after >= before) or not large <= files().keys():
         raise RuntimeError(f"compaction left {after} of {before} files or wrote large ones")
     own = ["id", "source", "label", "word_count"]
     now = lake.read(spark, "silver").select(*own)
