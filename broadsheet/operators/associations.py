@@ -16,12 +16,13 @@ WIDTH, DEPTH = 1 << 20, 2
 
 def adjacent_words(silver: DataFrame) -> DataFrame:
     """(a, b) for all neighbouring tokens of all documents; empty tokens make no pair."""
-    words = X.tokens(F.col("content_cleaned"))
-    rows = silver.select(words.alias("words")).filter(F.size("words") > 1)
-    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    rows = silver.select(X.tokens(F.col("content_cleaned")).alias("words"))
     n = F.size("words")
-    pairs = F.zip_with(F.slice("words", 1, n - 1), F.slice("words", 2, n - 1), pair)
-    return rows.select(F.inline(F.filter(pairs, lambda p: (p["a"] != "") & (p["b"] != ""))))
+    # By place: all of it is generated code, and no filter has the tokens made twice.
+    places = F.when(n > 1, F.sequence(F.lit(0), n - 2))
+    pairs = rows.select("words", F.explode(places).alias("i"))
+    pairs = pairs.select(F.col("words")[F.col("i")].alias("a"), F.col("words")[F.col("i") + 1].alias("b"))
+    return pairs.filter((F.col("a") != "") & (F.col("b") != ""))
 
 
 def frequent_pairs(pairs: DataFrame, min_count: int = MIN_COUNT, width: int = WIDTH, depth: int = DEPTH) -> DataFrame:
@@ -62,16 +63,22 @@ def associated_phrases(silver: DataFrame, min_count: int = MIN_COUNT, min_score:
     """(first, second, n, score) of pairs of neighbouring words that occur at least
     `min_count` times, more often than their words alone would make them, by a
     log-likelihood ratio of at least `min_score`."""
-    pairs = adjacent_words(silver)
+    # All pairs are counted once, and the words from the counts: in a large table most
+    # pairs are frequent by any sketch of bounded width, and the texts are read once.
+    counts = adjacent_words(silver).groupBy("a", "b").agg(F.count("*").alias("n"))
     # How often a word begins a pair and how often it ends one: one aggregation for both.
-    sides = pairs.select(F.inline(F.array(
-        F.struct(F.col("a").alias("word"), F.lit(1).alias("begins")), F.struct(F.col("b").alias("word"), F.lit(0).alias("begins"))
+    sides = counts.select(F.inline(F.array(
+        F.struct(F.col("a").alias("word"), F.col("n").alias("begins"), F.lit(0).cast("long").alias("ends")),
+        F.struct(F.col("b").alias("word"), F.lit(0).cast("long").alias("begins"), F.col("n").alias("ends")),
     )))
-    margins = sides.groupBy("word").agg(F.sum("begins").alias("begins"), F.sum(1 - F.col("begins")).alias("ends"))
-    total = margins.agg(F.sum("begins")).scalar()
-    found = frequent_pairs(pairs, min_count)
-    found = found.join(margins.select(F.col("word").alias("a"), F.col("begins").alias("f")), "a")
-    found = found.join(margins.select(F.col("word").alias("b"), F.col("ends").alias("s")), "b")
+    margins = sides.groupBy("word").agg(F.sum("begins").alias("begins"), F.sum("ends").alias("ends"))
+    # Equal sums, and both sides in one column: so all that use the margins use one exchange.
+    total = margins.agg(F.greatest(F.sum("begins"), F.sum("ends"))).scalar()
+    margins = margins.select("word", F.array("begins", "ends").alias("sides"))
+    found = counts.filter(F.col("n") >= min_count)
+    found = found.join(margins.select(F.col("word").alias("a"), F.col("sides").alias("first_sides")), "a")
+    found = found.join(margins.select(F.col("word").alias("b"), F.col("sides").alias("second_sides")), "b")
+    found = found.withColumns({"f": F.col("first_sides")[0], "s": F.col("second_sides")[1]})
     number = lambda c: F.col(c).cast("double")
     found = found.withColumn("t", total.cast("double"))
     score = likelihood_ratio(number("n"), number("f"), number("s"), F.col("t"))
