@@ -51,9 +51,11 @@ def _begins(words: Column, i: Column) -> Column:
 def term_frequencies(tokens: DataFrame) -> DataFrame:
     """(id, term, tf), counted inside each row: an id is one row of silver, so nothing
     needs to meet in another task."""
-    rows = _sorted_terms(tokens, "id").filter("_n > 0")
+    rows = _sorted_terms(tokens, "id")
     words = F.col("_sorted")
-    starts = F.filter(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: _begins(words, i))
+    # No filter on what is made of the text, which would make it twice.
+    places = F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1))
+    starts = F.filter(places, lambda i: _begins(words, i))
     rows = rows.withColumn("_starts", F.concat(starts, F.array("_n")))
     runs = F.transform(
         F.slice("_starts", 1, F.size("_starts") - 1),
@@ -70,7 +72,8 @@ def term_tfidf(tokens: DataFrame) -> DataFrame:
     A frequent term occurs in most documents. Its document count is just the number
     of pairs that will meet on it, so the join knows which terms to deal out.
     """
-    pairs = term_frequencies(tokens)
+    # Terms are never null. Said here, all that use the counts have one plan and share them.
+    pairs = term_frequencies(tokens).filter("term IS NOT NULL")
     df = pairs.groupBy("term").agg(F.count("*").alias("df"))
     documents = tokens.agg(F.count("*")).scalar()
     joined = skew_join(pairs, df, "term", spread="id", counts=df.withColumnRenamed("df", "n"))
