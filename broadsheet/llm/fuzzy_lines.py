@@ -28,6 +28,10 @@ DISTANCE = 2
 # Of the least hashes under so many seeds, any two make a block: the least chance to miss a
 # pair is 1 in 30 where lines share half of their triples, and falls fast from there.
 SEEDS = 5
+# Blocks of SimHashes are made for so many lines, however many there are: lines further apart
+# than DISTANCE are candidates by the blocks they happen to share, which must be the same
+# for a pair whatever else the table holds.
+MASK_LINES = 1 << 28
 # Candidates that differ in more bits are not compared: unrelated lines differ in 31 on the
 # average, those that are linked in 8, and in more than this hardly ever.
 WIDE = 24
@@ -129,9 +133,10 @@ def line_hashes(text: bytes) -> LineHashes:
     return LineHashes(line[first], np.stack([mix(one), mix(two)], 1), simhash, length, least)
 
 
-def edit_distance(a: str, b: str) -> int:
+def edit_distance(a: str, b: str, most: int | None = None) -> int:
     """Levenshtein distance, without what both begin and end with, a column of the table
-    in two integers."""
+    in two integers. Where it is more than `most`, some number above that: along the last
+    cell's diagonal the table never falls, so the first value above it settles that."""
     for end in (False, True):
         low, high = 0, min(len(a), len(b))
         while low < high:
@@ -146,10 +151,16 @@ def edit_distance(a: str, b: str) -> int:
         places[c] = places.get(c, 0) | 1 << i
     full, top, score = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
     up, down = full, 0
+    row, diagonal = len(a) - len(b), abs(len(a) - len(b))
     for c in b:
         equal = places.get(c, 0)
         vertical = equal | down
         level = (((equal & up) + up) ^ up) | equal
+        if most is not None and row >= 0:
+            diagonal += not (level | down) >> row & 1
+            if diagonal > most:
+                return diagonal
+        row += 1
         more, less = down | (full & ~(level | up)), up & level
         score += bool(more & top) - bool(less & top)
         more, less = (more << 1 | 1) & full, less << 1 & full
@@ -162,7 +173,7 @@ def _close(batches, percent: int):
         keep = []
         for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             most = max(len(a), len(b)) * (100 - percent) // 100
-            keep.append(abs(len(a) - len(b)) <= most and edit_distance(a, b) <= most)
+            keep.append(abs(len(a) - len(b)) <= most and edit_distance(a, b, most) <= most)
         yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -231,7 +242,7 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     lines = found.groupBy("line").agg(F.min(made).alias("made")).select("line", "made.*")
     # Numbered once for all, in storage.
     lines = written(lines.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
-    masks = tables_for(lines.count())
+    masks = tables_for(MASK_LINES)
     bucket = lambda i, *key: F.xxhash64(F.lit(i), *key)
     blocks = [bucket(i, F.col("simhash").bitwiseAND(F.lit(x))) for i, x in enumerate(masks)]
     blocks += [bucket(-1 - SEEDS * i - k, F.col("least")[i], F.col("least")[k]) for i, k in combinations(range(SEEDS), 2)]
