@@ -262,6 +262,10 @@ def late_hourly_trend(spark, sf):
     return _comparable(figures.read_figure(spark, lake, "hourly"))
 
 
+# Files, and so batches, of each stream.
+REUSE_FILES = 4
+
+
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
     """Every document asked for once, at a minute of the day."""
     minute = (F.col("doc_id") * 7 % 1440).cast("int")
@@ -287,7 +291,8 @@ def stream_reuse(spark, sf):
     streams = []
     for name, rows, time in (("requests", _requests(spark, sf), "requested_at"), ("prior", prior, "analyzed_at")):
         path = f"{lake.root}/{name}"
-        rows.write.parquet(path)
+        # The batches do not grow in number with the table: each costs all the stores of state.
+        rows.repartition(REUSE_FILES).write.parquet(path)
         last = {f.name: F.lit(None).cast(f.dataType) for f in rows.schema.fields}
         last |= {time: F.lit("2024-01-09 00:00:00").cast("timestamp"), "content_hash": F.lit("")}
         spark.range(1).select(*(c.alias(n) for n, c in last.items())).write.mode("append").parquet(path)
