@@ -269,8 +269,9 @@ def importance_total(spark, sf):
 
 def _fitted(spark, sf):
     rows, train, _ = _sides(spark, sf)
-    stages = [*training.preprocessing(spark).getStages(), training.default_classifiers()["logistic_regression"]]
-    return rows, Pipeline(stages=stages).fit(model_input(train))
+    fitted, vectors = training.fitted_preprocessing(train)
+    model = training.default_classifiers()["logistic_regression"].fit(vectors)
+    return rows, training.PipelineModel(stages=[*fitted.stages, model])
 
 
 @query(f"{O._GOLD} SELECT id, true AS label_known, true AS sure, true AS hashed, true AS same_when_loaded FROM gold")

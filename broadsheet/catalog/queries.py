@@ -473,7 +473,8 @@ def score_documents(spark, sf):
 
 def _sides(spark, sf):
     """All articles, and the labelled ones of either side; only these are kept apart."""
-    rows = G.numeric_gold(A.silver(spark, sf), "content_cleaned")
+    # Made once: whoever scores all articles reads them again.
+    rows = materialise(G.numeric_gold(A.silver(spark, sf), "content_cleaned"))
     split = materialise(L.hash_split(L.labelled_only(rows)))
     side = lambda name: split.filter(F.col("split") == name).drop("split")
     return rows, side(L.TRAIN), side(L.TEST)

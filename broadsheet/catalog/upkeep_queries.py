@@ -12,7 +12,7 @@ from broadsheet.catalog.lake_queries import SQL as LAKE_SQL
 from broadsheet.catalog.queries import _comparable, _scratch_lake, _vector_summary
 from broadsheet.operators import associations, frequencies
 from broadsheet.operators import silver as V
-from broadsheet.operators.scoring import model_input, score
+from broadsheet.operators.scoring import score
 from broadsheet.plans import bronze_days, id_index, jobs, training
 from broadsheet.session import materialise
 from broadsheet.sources import feeds
@@ -228,8 +228,7 @@ def planted_labels(spark, sf):
         "label": label, "content_cleaned": F.concat_ws(" ", "content_cleaned", told),
     }))
     train, test = silver.filter(~F.expr(_HELD_OUT)), silver.filter(_HELD_OUT)
-    fitted = training.preprocessing(spark).fit(model_input(train))
-    vectors = materialise(fitted.transform(model_input(train)).select("id", training.LABEL, training.FEATURES))
+    fitted, vectors = training.fitted_preprocessing(train)
     parts = []
     for name, classifier in training.default_classifiers().items():
         model = training.PipelineModel(stages=[*fitted.stages, classifier.fit(vectors)])

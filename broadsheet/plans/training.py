@@ -92,6 +92,18 @@ def preprocessing(spark: SparkSession, dimensions: int = TFIDF_DIMENSIONS) -> Pi
     return Pipeline(stages=[label_indexer(spark), *text_stages(dimensions), *vector_stages()])
 
 
+def fitted_preprocessing(train: DataFrame, dimensions: int = TFIDF_DIMENSIONS) -> tuple[PipelineModel, DataFrame]:
+    """What `preprocessing` makes of a fit to the rows, and their (id, label index, vector).
+    The texts are taken apart once: what is fitted, and the vectors, are made of the counts."""
+    counting, rest = counting_model(dimensions), [text_stages(dimensions)[-1], *vector_stages()]
+    indexer = label_indexer(train.sparkSession)
+    rows = PipelineModel(stages=[indexer, *counting.stages]).transform(model_input(train))
+    counted = materialise(rows.select("id", LABEL, "term_counts", *S.NUMERIC_FEATURES))
+    fitted = Pipeline(stages=rest).fit(counted)
+    vectors = materialise(fitted.transform(counted).select("id", LABEL, FEATURES))
+    return PipelineModel(stages=[indexer, *counting.stages, *fitted.stages]), vectors
+
+
 def default_classifiers(
     forest: dict = FOREST, logistic: dict = LOGISTIC, boosting: dict = BOOSTING, **shared
 ) -> dict[str, Estimator]:
@@ -236,8 +248,7 @@ def train_ensemble(
 ) -> tuple[PipelineModel, list[str]]:
     """Three classifiers over one preprocessing, chained into one model in which each
     writes columns of its own."""
-    fitted = preprocessing(train.sparkSession, dimensions).fit(model_input(train))
-    vectors = materialise(fitted.transform(model_input(train)).select("id", LABEL, FEATURES))
+    fitted, vectors = fitted_preprocessing(train, dimensions)
     names, stages = [], []
     for name, classifier in (classifiers or ensemble_classifiers()).items():
         named = classifier.copy(
