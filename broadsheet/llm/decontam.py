@@ -2,8 +2,7 @@
 
 Passages of the corpus are TF-IDF vectors over all of the benchmark's terms. A randomised
 singular value decomposition of the matrix of passages, computed where the passages are,
-gives the latent space: it is fitted on a bounded sample of them and on the benchmark's
-own, while weights come from all. Documents that lack the words for any item hold none,
+gives the latent space: it is fitted on all of them and on the benchmark's own. Documents that lack the words for any item hold none,
 whatever their order; of all others, every passage close to a benchmark passage by cosine
 is a candidate, and a longest common subsequence of words, and for paraphrases the answer,
 decide.
@@ -27,8 +26,6 @@ from broadsheet.operators.joins import broadcast_if_few
 BLOCK = 16
 WIDTH = 2 * BLOCK
 RANK, OVERSAMPLE, POWER_ROUNDS = 96, 16, 2
-# The latent space is fitted on about so many blocks, of documents drawn by hash.
-SAMPLE_BLOCKS = 300_000
 COSINE = 0.5
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.8
 MIN_ANSWER = 3
@@ -387,10 +384,8 @@ def _search(own: DataFrame, items: list[Item], threshold: float) -> DataFrame:
         else:
             total = max(1, r.n)
     idf = np.log((1.0 + total) / (1.0 + df)).astype(np.float32) + np.float32(1e-3)
-    share = min(1.0, SAMPLE_BLOCKS / total)
-    drawn = F.pmod(F.xxhash64("_id", "_version"), F.lit(1 << 20)) < share * (1 << 20)
     own_rows = own.sparkSession.createDataFrame([([vocabulary[w] for w in item.words],) for item in items], "terms array<int>")
-    fitted_on = written(hits.filter(drawn).select("terms").union(own_rows), "sampled-passages")
+    fitted_on = hits.select("terms").union(own_rows)
     query = context.broadcast(Query(items, vocabulary, idf, latent_space(fitted_on, idf)))
     leaks = hits.mapInArrow(
         lambda b: _judged(b, query, threshold),
