@@ -2,8 +2,9 @@
 
 Passages of the corpus are TF-IDF vectors over all of the benchmark's terms. A randomised
 singular value decomposition of the matrix of passages, computed where the passages are,
-gives the latent space: it is fitted on all of them and on the benchmark's own. Documents that lack the words for any item hold none,
-whatever their order; of all others, every passage close to a benchmark passage by cosine
+gives the latent space: it is fitted on all of them and on the benchmark's own. Its rounds
+need of the passages only how often two terms share one, which is counted once. Documents
+that lack the words for any item hold none, whatever their order; of all others, every passage close to a benchmark passage by cosine
 is a candidate, and a longest common subsequence of words, and for paraphrases the answer,
 decide.
 """
@@ -11,6 +12,7 @@ decide.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -74,9 +76,22 @@ def common_subsequence(a: list[str], b: list[str]) -> int:
     return len(a) - row.bit_count()
 
 
-def _numbers(text: str, vocabulary: dict[str, int]) -> np.ndarray:
-    words = terms_of(text)
-    return np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int32, len(words))
+# Bytes of Latin-1 text: letters, digits and _ in lower case, all else as a space.
+LATIN = bytes(ord(chr(i).lower()) if TOKENS.match(chr(i)) else 32 for i in range(256))
+
+
+def in_latin(vocabulary: dict[str, int]) -> dict[bytes, int]:
+    """Of a vocabulary the words that Latin-1 text can have."""
+    return {w.encode("latin-1"): i for w, i in vocabulary.items() if max(w) <= "\xff"}
+
+
+def _numbers(text: str, vocabulary: dict[str, int], latin: dict[bytes, int]) -> np.ndarray:
+    """The numbers of `terms_of` a text; Latin-1 text is parted as bytes."""
+    try:
+        words, numbers = text.encode("latin-1").translate(LATIN).split(), latin
+    except UnicodeEncodeError:
+        words, numbers = terms_of(text), vocabulary
+    return np.fromiter(map(numbers.get, words, repeat(-1)), np.int32, len(words))
 
 
 def _block_counts(batches, n_terms: int):
@@ -98,8 +113,9 @@ def _block_counts(batches, n_terms: int):
 def _numbered(batches, shared):
     """The documents as numbers of the benchmark's terms, -1 for any other word."""
     vocabulary = shared.value
+    latin = in_latin(vocabulary)
     for batch in batches:
-        ids = [_numbers(text.as_py(), vocabulary) for text in batch.column(2)]
+        ids = [_numbers(text.as_py(), vocabulary, latin) for text in batch.column(2)]
         ends = np.append(0, np.cumsum([len(x) for x in ids]))
         words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids or [np.zeros(0, np.int32)])))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), words], ["_id", "_version", "terms"])
@@ -127,7 +143,14 @@ class Passages:
         y = np.zeros((len(self) + 1, weighted.shape[1]), np.float32)
         if len(self.term):
             starts = np.flatnonzero(np.append(True, self.block[1:] != self.block[:-1]))
-            y[self.block[starts]] = np.add.reduceat(weighted[self.term], starts, axis=0)
+            counts = np.diff(np.append(starts, len(self.block)))
+            # The first terms of all blocks, the second ones of those that have two, and so on.
+            order = np.argsort(-counts, kind="stable")
+            starts, left = starts[order], np.cumsum(np.bincount(counts)[::-1])[::-1]
+            sums = weighted[self.term[starts]]
+            for i in range(1, counts.max()):
+                sums[: left[i + 1]] += weighted[self.term[starts[: left[i + 1]] + i]]
+            y[self.block[starts]] = sums
         y[:-1][self.followed] += y[1:][self.followed]
         return y[:-1]
 
@@ -159,6 +182,70 @@ def _chunks(batch, column: int) -> Iterator[tuple[int, list[np.ndarray]]]:
 
 
 SLICE = 256
+# Up to so many terms the products of the matrix of passages with itself are counted, in one
+# pass over the passages: 150 MB in a task. For more terms each round is such a pass.
+TOGETHER = 6_144
+
+
+def _together(batches, n_terms: int):
+    """A'A without idf, over the task's passages: how often two terms stand in a passage
+    together. In slices of terms, compressed."""
+    pairs, own = np.zeros(n_terms * n_terms, np.int32), np.zeros(n_terms, np.int32)
+    for batch in batches:
+        for _, docs in _chunks(batch, 0):
+            p = Passages(docs)
+            # A block is in the passage that begins with it, and in the one before.
+            twice = np.append(False, p.followed[:-1])[p.block]
+            np.add.at(own, p.term, 1 + twice.astype(np.int32))
+            # Blocks numbered so that only those of a document lie next to each other.
+            place, term = p.block + p.doc[p.block], p.term.astype(np.int64)
+            first, apart = np.arange(len(term)), 1
+            while len(first := first[first < len(term) - apart]):
+                gap = place[first + apart] - place[first]
+                first, gap = first[gap <= 1], gap[gap <= 1]
+                a, b = term[first], term[first + apart]
+                key = np.minimum(a, b) * n_terms + np.maximum(a, b)
+                np.add.at(pairs, key, np.int32(1))
+                np.add.at(pairs, key[(gap == 0) & twice[first]], np.int32(1))
+                apart += 1
+    pairs = pairs.reshape(n_terms, n_terms)
+    for i in range(0, n_terms, SLICE):
+        rows = pairs[i : i + SLICE] + pairs[:, i : i + SLICE].T
+        at = np.arange(len(rows))
+        rows[at, i + at] += own[i : i + SLICE]
+        yield _slice(i // SLICE, rows)
+
+
+def _slice(i: int, rows: np.ndarray) -> pa.RecordBatch:
+    data = zlib.compress(np.ascontiguousarray(rows).tobytes(), 1)
+    return pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([data])], ["slice", "data"])
+
+
+def _summed(batches):
+    """Sums of compressed slices that lie next to each other, one at a time in memory."""
+    held, total = None, None
+    for batch in batches:
+        for i, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            more = np.frombuffer(zlib.decompress(data.as_buffer()), np.int32).astype(np.int64)
+            if i == held:
+                total = total + more
+            else:
+                if held is not None:
+                    yield _slice(held, total)
+                held, total = i, more
+    if held is not None:
+        yield _slice(held, total)
+
+
+def _multiplied(batches, shared):
+    """Slices of A'A, as counted, times the basis."""
+    idf, basis = shared.value
+    weighted = basis.astype(float) * idf[:, None]
+    for batch in batches:
+        for i, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            rows = np.frombuffer(zlib.decompress(data.as_buffer()), np.int64).reshape(-1, len(idf))
+            out = rows.astype(float) @ weighted * idf[i * SLICE : i * SLICE + len(rows), None]
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([out.tobytes()])], ["slice", "data"])
 
 
 def _products(batches, shared):
@@ -194,18 +281,30 @@ def _added(batches):
 
 def latent_space(hits: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
     """The first right singular vectors (terms by rank) of the matrix of passages, by
-    subspace iteration from a random start. Each round is one pass over the passages;
-    what comes to the driver is terms by rank, however many they are."""
+    subspace iteration from a random start. Each round is one pass over the passages, or
+    over the counts of terms that stand together in them, which is the same product; what
+    comes to the driver is terms by rank, however many passages there are."""
     n, size = len(idf), min(len(idf), rank + OVERSAMPLE)
     basis = np.random.default_rng(7).standard_normal((n, size)).astype(np.float32)
     product = basis
+    parts = max(1, min(-(-n // SLICE), 64))
+    schema = "slice int, data binary"
+
+    def by_slice(sums: DataFrame) -> DataFrame:
+        return sums.repartition(parts, "slice").sortWithinPartitions("slice")
+
+    if n <= TOGETHER:
+        # Each task gives all of the counts: tasks in proportion to the cores, not to the input.
+        tasks = max(8, 2 * hits.sparkSession.sparkContext.defaultParallelism)
+        counts = hits.select("terms").coalesce(tasks).mapInArrow(lambda rows: _together(rows, n), schema)
+        counts = written(by_slice(counts).mapInArrow(_summed, schema), "together")
     for _ in range(POWER_ROUNDS + 1):
         shared = hits.sparkSession.sparkContext.broadcast((idf, basis))
-        sums = hits.select("terms").mapInArrow(lambda rows, b=shared: _products(rows, b), "slice int, data binary")
-        parts = max(1, min(-(-n // SLICE), 64))
-        total = sums.repartition(parts, "slice").sortWithinPartitions("slice").mapInArrow(
-            _added, "slice int, data binary"
-        )
+        if n <= TOGETHER:
+            total = counts.mapInArrow(lambda rows, b=shared: _multiplied(rows, b), schema)
+        else:
+            sums = hits.select("terms").mapInArrow(lambda rows, b=shared: _products(rows, b), schema)
+            total = by_slice(sums).mapInArrow(_added, schema)
         got = {r.slice: np.frombuffer(r.data) for r in total.collect()}
         product = np.concatenate([got[i].reshape(-1, size) for i in sorted(got)]) if got else np.zeros((n, size))
         previous, basis = basis, np.linalg.qr(product)[0].astype(np.float32)
