@@ -10,7 +10,9 @@ what is left by its edits.
 
 from __future__ import annotations
 
-from itertools import combinations
+from bisect import bisect_left
+from collections import Counter
+from itertools import accumulate, combinations
 from typing import NamedTuple
 
 import numpy as np
@@ -37,6 +39,8 @@ MASK_LINES = 1 << 28
 WIDE = 24
 # Lines are linked if so much of the longer one is left unedited, in percent.
 PERCENT = 80
+# A line is compared with its buckets' leaders up to so many times the edits of close ones.
+BEYOND = 3
 # Lines to be removed that are sent to every task, at most: 12 bytes each.
 BROADCAST_LINES = 2_000_000
 
@@ -44,8 +48,8 @@ BROADCAST_LINES = 2_000_000
 _FROM = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789\t\x0b\x0c\r"
 NORMAL = bytes.maketrans(_FROM, b"abcdefghijklmnopqrstuvwxyz" + b"0" * 9 + b" " * 4)
 BASE = 0x9E3779B97F4A7C15
-# Bytes of text that are worked on at once.
-CHUNK = 1 << 21
+# Bytes of text that are worked on at once: their arrays stay in the processor's cache.
+CHUNK = 1 << 17
 
 
 def normalise(line: str) -> str:
@@ -137,13 +141,7 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
     """Levenshtein distance, without what both begin and end with, a column of the table
     in two integers. Where it is more than `most`, some number above that: along the last
     cell's diagonal the table never falls, so the first value above it settles that."""
-    for end in (False, True):
-        low, high = 0, min(len(a), len(b))
-        while low < high:
-            mid = (low + high + 1) // 2
-            same = a[len(a) - mid :] == b[len(b) - mid :] if end else a[:mid] == b[:mid]
-            low, high = (mid, high) if same else (low, mid - 1)
-        a, b = (a[: len(a) - low], b[: len(b) - low]) if end else (a[low:], b[low:])
+    a, b = _trimmed(a, b)
     if not a or not b:
         return len(a) + len(b)
     places: dict[str, int] = {}
@@ -154,27 +152,92 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
     row, diagonal = len(a) - len(b), abs(len(a) - len(b))
     for c in b:
         equal = places.get(c, 0)
-        vertical = equal | down
-        level = (((equal & up) + up) ^ up) | equal
+        level = (((equal & up) + up) ^ up) | equal | down
         if most is not None and row >= 0:
-            diagonal += not (level | down) >> row & 1
+            diagonal += not level >> row & 1
             if diagonal > most:
                 return diagonal
         row += 1
-        more, less = down | (full & ~(level | up)), up & level
+        more, less = down | ((level | up) & full ^ full), up & level
         score += bool(more & top) - bool(less & top)
-        more, less = (more << 1 | 1) & full, less << 1 & full
-        up, down = less | (full & ~(vertical | more)), more & vertical
+        more = more << 1 | 1
+        up, down = ((less << 1) | ((level | more) & full ^ full)) & full, more & level & full
     return score
 
 
-def _close(batches, percent: int):
+def _trimmed(a: str, b: str) -> tuple[str, str]:
+    """Two strings without what both begin and end with."""
+    for end in (False, True):
+        low, high = 0, min(len(a), len(b))
+        while low < high:
+            mid = (low + high + 1) // 2
+            same = a[len(a) - mid :] == b[len(b) - mid :] if end else a[:mid] == b[:mid]
+            low, high = (mid, high) if same else (low, mid - 1)
+        a, b = (a[: len(a) - low], b[: len(b) - low]) if end else (a[low:], b[low:])
+    return a, b
+
+
+def edits_at_most(a: str, b: str) -> int:
+    """As many edits as turn one string into the other for certain: words that each has once
+    stay where they stand in the same order, and between them all is replaced that differs."""
+    words_a, words_b = a.split(" "), b.split(" ")
+    once = {w: i for i, w in enumerate(words_b)}
+    for w, n in Counter(words_b).items():
+        if n > 1:
+            del once[w]
+    for w, n in Counter(words_a).items():
+        if n > 1:
+            once.pop(w, None)
+    both = [(i, once[w]) for i, w in enumerate(words_a) if w in once]
+    # The longest run of them that rises on both sides.
+    tops: list[int] = []
+    tails: list[int] = []
+    before = [-1] * len(both)
+    for k, (_, j) in enumerate(both):
+        at = bisect_left(tops, j)
+        if at:
+            before[k] = tails[at - 1]
+        tops[at : at + 1], tails[at : at + 1] = [j], [k]
+    kept, k = [], tails[-1] if tails else -1
+    while k >= 0:
+        kept.append(both[k])
+        k = before[k]
+    starts_a, starts_b = (list(accumulate((len(w) + 1 for w in x), initial=0)) for x in (words_a, words_b))
+    a, b, total = a + " ", b + " ", 0
+    end_a, end_b = len(a), len(b)
+    for i, j in [*kept, (-1, -1)]:
+        from_a, from_b = (starts_a[i + 1], starts_b[j + 1]) if i >= 0 else (0, 0)
+        if a[from_a:end_a] != b[from_b:end_b]:
+            total += max(end_a - from_a, end_b - from_b)
+        if i >= 0:
+            end_a, end_b = starts_a[i], starts_b[j]
+    return total
+
+
+COMPARED = "a long, b long, low int, high int, close boolean"
+
+
+def _compared(batches, percent: int, beyond: int):
+    """Pairs with bounds of their edits, and whether they are close. Where they are more than
+    `beyond` times as many as close ones may have, the lower bound is about that."""
     for batch in batches:
-        keep = []
+        rows = []
         for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             most = max(len(a), len(b)) * (100 - percent) // 100
-            keep.append(abs(len(a) - len(b)) <= most and edit_distance(a, b, most) <= most)
-        yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            low, high = abs(len(a) - len(b)), max(len(a), len(b))
+            if low <= most:
+                a, b = _trimmed(a, b)
+                high = max(len(a), len(b))
+                # Those that may be far apart are not worth the words' bound.
+                if high > most and beyond > 1:
+                    high = min(high, edits_at_most(a, b))
+                if high > most:
+                    low = edit_distance(a, b, beyond * most)
+                    high = low if low <= beyond * most else high
+            rows.append((low, high, high <= most))
+        low, high, close = zip(*rows) if rows else ((), (), ())
+        columns = [*batch.columns[:2], pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(close, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "low", "high", "close"])
 
 
 LINES = pa.schema(
@@ -224,6 +287,92 @@ def tables_for(n_lines: int) -> list[int]:
     return [x - (1 << 64) if x >= 1 << 63 else x for x in masks]
 
 
+# Buckets are dealt out by their first 12 bits, and told apart by the 32 that follow: lines
+# that share a bucket by chance alone are compared like others.
+PART_BITS = 12
+# Lines whose buckets are sorted at once.
+SORTED = 1 << 16
+ENTRY = np.dtype([("rest", "<u4"), ("id", "<u4")])
+
+
+def _buckets(simhash: np.ndarray, least: np.ndarray, masks: list[int]) -> np.ndarray:
+    """The buckets of lines: one for each mask, and one for each two of the least hashes."""
+    values = [simhash & np.uint64(x & (1 << 64) - 1) for x in masks]
+    with np.errstate(over="ignore"):
+        values += [mix(least[:, i]) * np.uint64(BASE) + least[:, k] for i, k in combinations(range(SEEDS), 2)]
+        return np.stack([mix(mix(v) + np.uint64(i + 1) * np.uint64(0xD6E8FEB86659FD93)) for i, v in enumerate(values)], 1)
+
+
+def _entries(batches, masks: list[int]):
+    """The buckets of lines, packed: an entry for each bucket and line, those of a part
+    next to each other. Ids share their upper half with the others of the row."""
+
+    def packed(held):
+        ids, simhash, least = (np.concatenate(c) for c in zip(*held))
+        for upper in np.unique(ids >> 32):
+            some = ids >> 32 == upper
+            buckets = _buckets(simhash[some], least[some], masks)
+            part = (buckets >> np.uint64(64 - PART_BITS)).astype(np.uint16).ravel()
+            entries = np.empty(len(part), ENTRY)
+            entries["rest"] = (buckets >> np.uint64(32 - PART_BITS)).ravel() & np.uint64(0xFFFFFFFF)
+            entries["id"] = np.repeat(ids[some] & 0xFFFFFFFF, buckets.shape[1])
+            entries = entries[np.argsort(part, kind="stable")]
+            counts = np.bincount(part, minlength=1 << PART_BITS)
+            parts = np.flatnonzero(counts)
+            ends = np.append(0, np.cumsum(counts[parts])) * ENTRY.itemsize
+            data = pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(entries.tobytes())])
+            columns = [pa.array(parts, pa.int32()), pa.array(np.full(len(parts), upper), pa.int64()), data]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "upper", "data"])
+
+    held, size = [], 0
+    for batch in batches:
+        least = batch.column(2).flatten().to_numpy().view(np.uint64).reshape(-1, SEEDS)
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64), least))
+        size += batch.num_rows
+        if size >= SORTED:
+            yield from packed(held)
+            held, size = [], 0
+    if size:
+        yield from packed(held)
+
+
+def _members(batches):
+    """Of the buckets with two or more lines: bucket, line, lines in it, and the least line
+    as their leader. Rows of a part come next to each other."""
+
+    def shared(part, held):
+        entries = np.concatenate([np.frombuffer(data.as_buffer(), ENTRY) for _, data in held])
+        upper = np.repeat([u for u, _ in held], [len(data.as_buffer()) // ENTRY.itemsize for _, data in held])
+        # Most are alone in their bucket.
+        order = np.argsort(entries["rest"])
+        same = np.diff(entries["rest"][order]) == 0
+        order = order[np.append(same, False) | np.append(False, same)]
+        rest, ids = entries["rest"][order].astype(np.int64), upper[order] << 32 | entries["id"][order]
+        order = np.lexsort((ids, rest))
+        rest, ids = rest[order], ids[order]
+        fresh = np.append(True, (rest[1:] != rest[:-1]) | (ids[1:] != ids[:-1]))[: len(ids)]
+        rest, ids = rest[fresh], ids[fresh]
+        if not len(ids):
+            return
+        starts = np.flatnonzero(np.append(True, rest[1:] != rest[:-1]))
+        n = np.diff(np.append(starts, len(ids)))
+        bucket = np.int64(part) << 32 | rest
+        columns = [bucket, ids, np.repeat(n, n), np.repeat(ids[starts], n)]
+        found = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["bucket", "id", "n", "leader"])
+        yield found.filter(pa.array(np.repeat(n, n) > 1))
+
+    now, held = None, []
+    for batch in batches:
+        for part, upper, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            if part != now and held:
+                yield from shared(now, held)
+                held = []
+            now = part
+            held.append((upper, data))
+    if held:
+        yield from shared(now, held)
+
+
 def _normalised(batches):
     for batch in batches:
         norm = [normalise(x) for x in batch.column(1).to_pylist()]
@@ -243,29 +392,24 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Numbered once for all, in storage.
     lines = written(lines.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
     masks = tables_for(MASK_LINES)
-    bucket = lambda i, *key: F.xxhash64(F.lit(i), *key)
-    blocks = [bucket(i, F.col("simhash").bitwiseAND(F.lit(x))) for i, x in enumerate(masks)]
-    blocks += [bucket(-1 - SEEDS * i - k, F.col("least")[i], F.col("least")[k]) for i, k in combinations(range(SEEDS), 2)]
-    keyed = lines.select("id", "simhash", "length", F.explode(F.array(*blocks)).alias("bucket"))
+    entries = lines.select("id", "simhash", "least").mapInArrow(
+        lambda batches: _entries(batches, masks), "part int, upper long, data binary"
+    )
+    members = entries.repartition("part").sortWithinPartitions("part").mapInArrow(
+        _members, "bucket long, id long, n long, leader long"
+    )
+    members = written(members, "members")
+    some = broadcast_if_few(members.select("id").distinct())
+    hashes = written(lines.join(some, "id").select("id", "simhash", "length"), "hashes")
 
     def near(a: str, b: str, x: str, y: str) -> Column:
         """Whether two lines may be linked, by SimHash and by length."""
         apart = F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= WIDE
         return apart & (100 * F.abs(F.col(x) - F.col(y)) <= (100 - percent) * F.greatest(x, y))
 
-    full = keyed.groupBy("bucket").agg(
-        F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n"), F.bit_xor("simhash").alias("both"),
-        F.min("length").alias("shorter"), F.max("length").alias("longer"), F.lit(0).cast("long").alias("none"),
-    )
-    # Two lines in a bucket are one pair, whose distance is known here.
-    full = full.filter((F.col("n") > 2) | ((F.col("n") == 2) & near("both", "none", "shorter", "longer")))
-    full = written(full.select("bucket", "a", "b", "n"), "buckets")
-    many = full.filter("n > 2").select("bucket", F.col("a").alias("leader"))
-    members = written(keyed.join(broadcast_if_few(many, 300_000), "bucket"), "members")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Of pairs of lines close by SimHash those that an edit distance confirms. Their
-        texts are taken from the documents that have them first."""
+    def compared(pairs: DataFrame, beyond: int) -> DataFrame:
+        """Pairs of lines close by SimHash, as an edit distance has them. Their texts are
+        taken from the documents that have them first."""
         pairs = written(pairs.distinct(), "pairs")
         some = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         where = lines.join(broadcast_if_few(some), "id").select(
@@ -279,27 +423,47 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         for side in ("a", "b"):
             pairs = pairs.join(norm.select(F.col("id").alias(side), F.col("norm").alias(f"norm_{side}")), side)
         return pairs.select("a", "b", "norm_a", "norm_b").mapInArrow(
-            lambda batches: _close(batches, percent), "a long, b long"
-        )
+            lambda batches: _compared(batches, percent, beyond), COMPARED
+        )
+
+    few_hashes = broadcast_if_few(hashes)
 
-    leaders = lines.select(F.col("id").alias("leader"), F.col("simhash").alias("x"), F.col("length").alias("y"))
-    stars = members.filter("id <> leader").select("leader", "id", "simhash", "length").distinct().join(leaders, "leader")
-    stars = stars.filter(near("x", "simhash", "y", "length")).select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    links = written(confirmed(stars.union(full.filter("n = 2").select("a", "b"))), "confirmed")
-    groups = components(links)
+    def with_hashes(rows: DataFrame, name: str, suffix: str) -> DataFrame:
+        return rows.join(few_hashes.toDF(name, f"simhash{suffix}", f"length{suffix}"), name)
+
+    stars = members.filter("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    stars = with_hashes(with_hashes(stars, "a", "a"), "b", "b")
+    stars = stars.filter(near("simhasha", "simhashb", "lengtha", "lengthb"))
+    stars = written(compared(stars.select("a", "b"), BEYOND), "compared")
+    groups = components(stars.filter("close").select("a", "b"))
     # Pairs of a bucket in different groups still: any may be the only link.
-    labelled = members.join(groups, "id", "left").select(
-        "bucket", "id", "simhash", "length", F.coalesce("component", "id").alias("component")
+    labelled = members.filter("n > 2").join(broadcast_if_few(groups), "id", "left").select(
+        "bucket", "id", "leader", F.coalesce("component", "id").alias("component")
     )
     spans = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    mixed = written(labelled.join(spans.filter("x < y").select("bucket"), "bucket"), "mixed")
-    left, right = (
-        mixed.select("bucket", *(F.col(c).alias(c + s) for c in ("id", "simhash", "length", "component"))) for s in "ab"
-    )
+    mixed = written(with_hashes(labelled.join(spans.filter("x < y").select("bucket"), "bucket"), "id", ""), "mixed")
+    # Those of the leader are compared, and of two lines one near to it and the other far from
+    # it are not close: they are as far apart as their distances from it at least.
+    bounds = stars.select(F.col("a").alias("leader"), F.col("b").alias("id"), F.col("low").cast("long"), F.col("high").cast("long"))
+    mixed = mixed.filter("id <> leader").join(broadcast_if_few(bounds), ["leader", "id"], "left")
+    mixed = written(mixed.fillna({"low": 0, "high": 1 << 30}).drop("leader"), "bounded")
+    kept = ("id", "simhash", "length", "component", "low", "high")
+    left, right = (mixed.select("bucket", *(F.col(c).alias(c + s) for c in kept)) for s in "ab")
     across = left.join(right, "bucket").filter("componenta < componentb").filter(near("simhasha", "simhashb", "lengtha", "lengthb"))
-    more = written(confirmed(across.select(F.col("ida").alias("a"), F.col("idb").alias("b"))), "confirmed")
+    apart = F.greatest(F.col("lowa") - F.col("highb"), F.col("lowb") - F.col("higha"))
+    across = across.filter(100 * apart <= (100 - percent) * F.greatest("lengtha", "lengthb"))
+    across = across.select(F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b"))
+    more = written(compared(across, 1).filter("close").select("a", "b"), "confirmed")
     if not more.isEmpty():
-        groups = components(links.union(more))
+        # Groups are joined by links between them; a line without one is a group.
+        for side in ("a", "b"):
+            more = more.join(broadcast_if_few(groups.withColumnsRenamed({"id": side})), side, "left").withColumn(
+                side, F.coalesce("component", side)
+            ).drop("component")
+        joined = components(more)
+        old = groups.union(joined.select("id", F.col("id").alias("component"))).distinct()
+        whole = joined.select(F.col("id").alias("component"), F.col("component").alias("whole"))
+        groups = old.join(whole, "component", "left").select("id", F.coalesce("whole", "component").alias("component"))
 
     named = written(lines.select("id", "line").join(broadcast_if_few(groups), "id").select("line", "component"), "groups")
     group = F.coalesce(F.col("component").cast("string").cast("binary"), F.col("line")).alias("group")
