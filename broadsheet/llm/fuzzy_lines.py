@@ -10,9 +10,7 @@ what is left by its edits.
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections import Counter
-from itertools import accumulate, combinations
+from itertools import combinations
 from typing import NamedTuple
 
 import numpy as np
@@ -21,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import document_keys, free_names, identified, mix, small_batches, written
+from broadsheet.llm.edits import edit_bounds, edit_distance, edits_at_most  # noqa: F401
 from broadsheet.llm.graph import components
 from broadsheet.operators.joins import broadcast_if_few
 
@@ -99,17 +98,18 @@ def line_hashes(text: bytes) -> LineHashes:
     """
     data = np.frombuffer(text.translate(NORMAL), np.uint8)
     up, down = POWERS.get(len(data) + 1)
-    gap = (data == 32) | (data == 10)
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]]).astype(np.int8)))
+    breaks, gap = data == 10, np.ones(len(data) + 2, bool)
+    np.bitwise_or(data == 32, breaks, out=gap[1:-1])
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         none = np.zeros(0, np.int64)
         return LineHashes(none, np.zeros((0, 2), np.uint64), none, none, np.zeros((0, SEEDS), np.uint64))
-    line = np.searchsorted(np.flatnonzero(data == 10), starts)
+    line = np.cumsum(breaks, dtype=np.int32)[starts].astype(np.int64)
     first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
     counts = np.diff(np.append(first, len(line)))
     # All bytes but those that go on with a character.
-    chars = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+    chars = np.append(0, np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)).astype(np.int64)
     length = np.add.reduceat(chars[ends] - chars[starts], first) + counts - 1
     with np.errstate(over="ignore"):
         sums = np.append(np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)]))
@@ -130,114 +130,42 @@ def line_hashes(text: bytes) -> LineHashes:
         triples = mix(pairs + earlier * np.uint64(0xC2B2AE3D27D4EB4F))
         least = np.stack([np.minimum.reduceat(triples * f, heads) for f in SEED_FACTORS], 1)
     bits = np.unpackbits(pairs.view(np.uint8).reshape(-1, 8), axis=1)
-    # Votes of up to 255 pairs fit into a byte.
-    kind = np.uint8 if counts.max() < 255 else np.int32
-    votes = np.add.reduceat(bits, heads, axis=0, dtype=kind)
+    # Votes of up to 255 pairs fit into a byte, and eight of them are added as one number.
+    since = np.arange(len(pairs)) - np.repeat(heads, counts + 1)
+    pieces = np.flatnonzero(since % 255 == 0)
+    votes = np.add.reduceat(bits.view(np.uint64), pieces, axis=0).view(np.uint8)
+    if len(pieces) > len(heads):
+        votes = np.add.reduceat(votes, np.flatnonzero(since[pieces] == 0), axis=0, dtype=np.int32)
     simhash = np.packbits(votes > (counts[:, None] + 1) // 2, axis=1).view("<i8").ravel()
     return LineHashes(line[first], np.stack([mix(one), mix(two)], 1), simhash, length, least)
 
 
-def edit_distance(a: str, b: str, most: int | None = None) -> int:
-    """Levenshtein distance, without what both begin and end with, a column of the table
-    in two integers. Where it is more than `most`, some number above that: along the last
-    cell's diagonal the table never falls, so the first value above it settles that."""
-    a, b = _trimmed(a, b)
-    if not a or not b:
-        return len(a) + len(b)
-    places: dict[str, int] = {}
-    for i, c in enumerate(a):
-        places[c] = places.get(c, 0) | 1 << i
-    full, top, score = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
-    up, down = full, 0
-    row, diagonal = len(a) - len(b), abs(len(a) - len(b))
-    for c in b:
-        equal = places.get(c, 0)
-        level = (((equal & up) + up) ^ up) | equal | down
-        if most is not None and row >= 0:
-            diagonal += not level >> row & 1
-            if diagonal > most:
-                return diagonal
-        row += 1
-        more, less = down | ((level | up) & full ^ full), up & level
-        score += bool(more & top) - bool(less & top)
-        more = more << 1 | 1
-        up, down = ((less << 1) | ((level | more) & full ^ full)) & full, more & level & full
-    return score
-
-
-def _trimmed(a: str, b: str) -> tuple[str, str]:
-    """Two strings without what both begin and end with."""
-    for end in (False, True):
-        low, high = 0, min(len(a), len(b))
-        while low < high:
-            mid = (low + high + 1) // 2
-            same = a[len(a) - mid :] == b[len(b) - mid :] if end else a[:mid] == b[:mid]
-            low, high = (mid, high) if same else (low, mid - 1)
-        a, b = (a[: len(a) - low], b[: len(b) - low]) if end else (a[low:], b[low:])
-    return a, b
-
-
-def edits_at_most(a: str, b: str) -> int:
-    """As many edits as turn one string into the other for certain: words that each has once
-    stay where they stand in the same order, and between them all is replaced that differs."""
-    words_a, words_b = a.split(" "), b.split(" ")
-    once = {w: i for i, w in enumerate(words_b)}
-    for w, n in Counter(words_b).items():
-        if n > 1:
-            del once[w]
-    for w, n in Counter(words_a).items():
-        if n > 1:
-            once.pop(w, None)
-    both = [(i, once[w]) for i, w in enumerate(words_a) if w in once]
-    # The longest run of them that rises on both sides.
-    tops: list[int] = []
-    tails: list[int] = []
-    before = [-1] * len(both)
-    for k, (_, j) in enumerate(both):
-        at = bisect_left(tops, j)
-        if at:
-            before[k] = tails[at - 1]
-        tops[at : at + 1], tails[at : at + 1] = [j], [k]
-    kept, k = [], tails[-1] if tails else -1
-    while k >= 0:
-        kept.append(both[k])
-        k = before[k]
-    starts_a, starts_b = (list(accumulate((len(w) + 1 for w in x), initial=0)) for x in (words_a, words_b))
-    a, b, total = a + " ", b + " ", 0
-    end_a, end_b = len(a), len(b)
-    for i, j in [*kept, (-1, -1)]:
-        from_a, from_b = (starts_a[i + 1], starts_b[j + 1]) if i >= 0 else (0, 0)
-        if a[from_a:end_a] != b[from_b:end_b]:
-            total += max(end_a - from_a, end_b - from_b)
-        if i >= 0:
-            end_a, end_b = starts_a[i], starts_b[j]
-    return total
+COMPARED = "a long, b long, low int, high int, close boolean"
+# Rows and bytes of texts that are compared at once.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 1 << 14, 1 << 24
 
 
-COMPARED = "a long, b long, low int, high int, close boolean"
+def _gathered(batches):
+    """Batches put together to tables of many rows."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= ROWS_AT_ONCE or size >= BYTES_AT_ONCE:
+            yield pa.Table.from_batches(held)
+            held, rows, size = [], 0, 0
+    if rows:
+        yield pa.Table.from_batches(held)
 
 
 def _compared(batches, percent: int, beyond: int):
-    """Pairs with bounds of their edits, and whether they are close. Where they are more than
-    `beyond` times as many as close ones may have, the lower bound is about that."""
-    for batch in batches:
-        rows = []
-        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            most = max(len(a), len(b)) * (100 - percent) // 100
-            low, high = abs(len(a) - len(b)), max(len(a), len(b))
-            if low <= most:
-                a, b = _trimmed(a, b)
-                high = max(len(a), len(b))
-                # Those that may be far apart are not worth the words' bound.
-                if high > most and beyond > 1:
-                    high = min(high, edits_at_most(a, b))
-                if high > most:
-                    low = edit_distance(a, b, beyond * most)
-                    high = low if low <= beyond * most else high
-            rows.append((low, high, high <= most))
-        low, high, close = zip(*rows) if rows else ((), (), ())
-        columns = [*batch.columns[:2], pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(close, pa.bool_())]
-        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "low", "high", "close"])
+    """Pairs with bounds of their edits, and whether they are close."""
+    for table in _gathered(batches):
+        low, high, close = edit_bounds(table.column(2).to_pylist(), table.column(3).to_pylist(), percent, beyond)
+        ids = (table.column(k).combine_chunks() for k in (0, 1))
+        yield pa.RecordBatch.from_arrays(
+            [*ids, pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(close)], ["a", "b", "low", "high", "close"]
+        )
 
 
 LINES = pa.schema(
@@ -287,9 +215,11 @@ def tables_for(n_lines: int) -> list[int]:
     return [x - (1 << 64) if x >= 1 << 63 else x for x in masks]
 
 
-# Buckets are dealt out by their first 12 bits, and told apart by the 32 that follow: lines
-# that share a bucket by chance alone are compared like others.
+# Buckets are dealt out by their first 12 bits, fewer for few lines, and told apart by the 32 that
+# follow: lines that share a bucket by chance alone are compared like others.
 PART_BITS = 12
+# A part has the buckets of so many lines, up to 2 ** PART_BITS parts.
+PART_LINES = 1 << 8
 # Lines whose buckets are sorted at once.
 SORTED = 1 << 16
 ENTRY = np.dtype([("rest", "<u4"), ("id", "<u4")])
@@ -303,7 +233,7 @@ def _buckets(simhash: np.ndarray, least: np.ndarray, masks: list[int]) -> np.nda
         return np.stack([mix(mix(v) + np.uint64(i + 1) * np.uint64(0xD6E8FEB86659FD93)) for i, v in enumerate(values)], 1)
 
 
-def _entries(batches, masks: list[int]):
+def _entries(batches, masks: list[int], bits: int = PART_BITS):
     """The buckets of lines, packed: an entry for each bucket and line, those of a part
     next to each other. Ids share their upper half with the others of the row."""
 
@@ -312,12 +242,12 @@ def _entries(batches, masks: list[int]):
         for upper in np.unique(ids >> 32):
             some = ids >> 32 == upper
             buckets = _buckets(simhash[some], least[some], masks)
-            part = (buckets >> np.uint64(64 - PART_BITS)).astype(np.uint16).ravel()
+            part = (buckets >> np.uint64(64 - bits)).astype(np.uint16).ravel()
             entries = np.empty(len(part), ENTRY)
-            entries["rest"] = (buckets >> np.uint64(32 - PART_BITS)).ravel() & np.uint64(0xFFFFFFFF)
+            entries["rest"] = (buckets >> np.uint64(32 - bits)).ravel() & np.uint64(0xFFFFFFFF)
             entries["id"] = np.repeat(ids[some] & 0xFFFFFFFF, buckets.shape[1])
             entries = entries[np.argsort(part, kind="stable")]
-            counts = np.bincount(part, minlength=1 << PART_BITS)
+            counts = np.bincount(part, minlength=1 << bits)
             parts = np.flatnonzero(counts)
             ends = np.append(0, np.cumsum(counts[parts])) * ENTRY.itemsize
             data = pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(entries.tobytes())])
@@ -373,6 +303,77 @@ def _members(batches):
         yield from shared(now, held)
 
 
+# A bucket's lines are compared in tiles of two blocks. A block has about so many lines, and no more
+# characters than so many.
+BLOCK_LINES, BLOCK_CHARS = 1 << 10, 1 << 22
+# Pairs of lines that are looked at, and pairs of texts that are compared, at once.
+LOOKED_AT, MEASURED = 1 << 19, 1 << 14
+
+
+def _near_pairs(rows: dict[str, np.ndarray], buckets: np.ndarray, percent: int):
+    """Places of two rows of a tile, of different blocks if it has two, that may be close and are in
+    different groups. Two lines that share more than one bucket come in the first of them only."""
+    n = len(rows["id"])
+    own = np.stack([rows[c] for c in ("bucket", "first", "second")], 1)
+    edges = np.append(np.flatnonzero(np.append(True, (own[1:] != own[:-1]).any(1))), n)
+    counts = np.repeat(edges[1:], np.diff(edges)) - np.arange(n) - 1
+    ends = np.cumsum(counts)
+    done = 0
+    while done < n:
+        base = ends[done] - counts[done]
+        upto = max(int(np.searchsorted(ends, base + LOOKED_AT, side="right")), done + 1)
+        some = counts[done:upto]
+        i = np.repeat(np.arange(done, upto), some)
+        j = i + 1 + np.arange(len(i)) - np.repeat(ends[done:upto] - some - base, some)
+        done = upto
+
+        def kept(stay: np.ndarray) -> None:
+            nonlocal i, j
+            i, j = i[stay], j[stay]
+
+        kept(rows["component"][i] != rows["component"][j])
+        kept((rows["first"][i] == rows["second"][i]) | (rows["block"][i] != rows["block"][j]))
+        kept(np.bitwise_count(rows["simhash"][i].view(np.uint64) ^ rows["simhash"][j].view(np.uint64)) <= WIDE)
+        x, y = rows["length"][i].astype(np.int64), rows["length"][j].astype(np.int64)
+        # Of two lines one near to their leader and the other far from it are not close: they are as
+        # far apart as their distances from it at least.
+        apart = np.maximum(rows["low"][i] - rows["high"][j], rows["low"][j] - rows["high"][i])
+        kept(100 * np.maximum(np.abs(x - y), apart) <= (100 - percent) * np.maximum(x, y))
+        same = buckets[i] == buckets[j]
+        kept((buckets[i, same.argmax(1)] == rows["bucket"][i]) | ~same.any(1))
+        yield i, j
+
+
+def _across(batches, masks: list[int], percent: int, bits: int = PART_BITS):
+    """Groups that a link between two of their lines joins. Rows of a tile come next to each other."""
+
+    def tiles():
+        """Rows of whole tiles, those of many at once."""
+        rest = None
+        for table in _gathered(batches):
+            table = table if rest is None else pa.concat_tables([rest, table])
+            own = np.stack([table.column(c).to_numpy() for c in ("bucket", "first", "second")], 1)
+            last = len(own) - int(np.argmax(np.append((own[::-1] != own[-1]).any(1), True)))
+            if last:
+                yield table.slice(0, last)
+            rest = table.slice(last)
+        if rest is not None:
+            yield rest
+
+    for table in tiles():
+        rows = {c: table.column(c).to_numpy() for c in table.column_names if c not in ("least", "norm")}
+        least = table.column("least").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SEEDS)
+        buckets = (_buckets(rows["simhash"].view(np.uint64), least, masks) >> np.uint64(32 - bits)).astype(np.int64)
+        norms, groups = table.column("norm").to_pylist(), rows["component"]
+        for i, j in _near_pairs(rows, buckets, percent):
+            for at in range(0, len(i), MEASURED):
+                x, y = i[at : at + MEASURED], j[at : at + MEASURED]
+                *_, close = edit_bounds([norms[k] for k in x], [norms[k] for k in y], percent, 1)
+                found = np.unique(np.stack([groups[x[close]], groups[y[close]]], 1), axis=0)
+                if len(found):
+                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+
 def _normalised(batches):
     for batch in batches:
         norm = [normalise(x) for x in batch.column(1).to_pylist()]
@@ -392,74 +393,67 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Numbered once for all, in storage.
     lines = written(lines.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
     masks = tables_for(MASK_LINES)
+    bits = min(max((lines.count() // PART_LINES).bit_length(), 1), PART_BITS)
     entries = lines.select("id", "simhash", "least").mapInArrow(
-        lambda batches: _entries(batches, masks), "part int, upper long, data binary"
+        lambda batches: _entries(batches, masks, bits), "part int, upper long, data binary"
     )
     members = entries.repartition("part").sortWithinPartitions("part").mapInArrow(
         _members, "bucket long, id long, n long, leader long"
     )
     members = written(members, "members")
     some = broadcast_if_few(members.select("id").distinct())
-    hashes = written(lines.join(some, "id").select("id", "simhash", "length"), "hashes")
+    hashes = written(lines.join(some, "id").drop("line"), "hashes")
+    # Their texts are taken from the documents that have them first. Rows that repeat a document
+    # give the same line again.
+    where = hashes.select("id", F.col("place.doc_id").alias("_id"), F.col("place.version").alias("_version"), "place.pos")
+    texts = own.join(broadcast_if_few(where), ["_id", "_version"]).select(
+        "id", F.element_at(F.split("text", "\n", -1), F.col("pos") + 1).alias("raw")
+    )
+    norms = written(texts.mapInArrow(_normalised, "id long, norm string").dropDuplicates(["id"]), "norms")
 
     def near(a: str, b: str, x: str, y: str) -> Column:
         """Whether two lines may be linked, by SimHash and by length."""
         apart = F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= WIDE
         return apart & (100 * F.abs(F.col(x) - F.col(y)) <= (100 - percent) * F.greatest(x, y))
 
-    def compared(pairs: DataFrame, beyond: int) -> DataFrame:
-        """Pairs of lines close by SimHash, as an edit distance has them. Their texts are
-        taken from the documents that have them first."""
-        pairs = written(pairs.distinct(), "pairs")
-        some = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        where = lines.join(broadcast_if_few(some), "id").select(
-            "id", F.col("place.doc_id").alias("_id"), F.col("place.version").alias("_version"), "place.pos"
-        )
-        # Rows that repeat a document give the same line again.
-        texts = own.join(broadcast_if_few(written(where, "places")), ["_id", "_version"]).select(
-            "id", F.element_at(F.split("text", "\n", -1), F.col("pos") + 1).alias("raw")
-        )
-        norm = written(texts.mapInArrow(_normalised, "id long, norm string").dropDuplicates(["id"]), "norms")
-        for side in ("a", "b"):
-            pairs = pairs.join(norm.select(F.col("id").alias(side), F.col("norm").alias(f"norm_{side}")), side)
-        return pairs.select("a", "b", "norm_a", "norm_b").mapInArrow(
-            lambda batches: _compared(batches, percent, beyond), COMPARED
-        )
-
-    few_hashes = broadcast_if_few(hashes)
+    few_hashes = broadcast_if_few(hashes.select("id", "simhash", "length"))
 
     def with_hashes(rows: DataFrame, name: str, suffix: str) -> DataFrame:
         return rows.join(few_hashes.toDF(name, f"simhash{suffix}", f"length{suffix}"), name)
 
     stars = members.filter("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     stars = with_hashes(with_hashes(stars, "a", "a"), "b", "b")
-    stars = stars.filter(near("simhasha", "simhashb", "lengtha", "lengthb"))
-    stars = written(compared(stars.select("a", "b"), BEYOND), "compared")
+    stars = stars.filter(near("simhasha", "simhashb", "lengtha", "lengthb")).select("a", "b")
+    for side in ("a", "b"):
+        stars = stars.join(norms.toDF(side, f"norm_{side}"), side)
+    stars = stars.select("a", "b", "norm_a", "norm_b").mapInArrow(lambda batches: _compared(batches, percent, BEYOND), COMPARED)
+    stars = written(stars, "pairs")
     groups = components(stars.filter("close").select("a", "b"))
-    # Pairs of a bucket in different groups still: any may be the only link.
-    labelled = members.filter("n > 2").join(broadcast_if_few(groups), "id", "left").select(
+    # Pairs of a bucket in different groups still: any may be the only link. Those of the leader
+    # are compared.
+    labelled = members.filter("n > 2 AND id <> leader").join(broadcast_if_few(groups), "id", "left").select(
         "bucket", "id", "leader", F.coalesce("component", "id").alias("component")
     )
-    spans = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    mixed = written(with_hashes(labelled.join(spans.filter("x < y").select("bucket"), "bucket"), "id", ""), "mixed")
-    # Those of the leader are compared, and of two lines one near to it and the other far from
-    # it are not close: they are as far apart as their distances from it at least.
+    labelled = with_hashes(labelled, "id", "")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_LINES), F.ceil(F.sum("length") / BLOCK_CHARS)).cast("int")
+    spans = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), blocks.alias("blocks"))
+    mixed = labelled.join(spans.filter("x < y").select("bucket", "blocks"), "bucket")
     bounds = stars.select(F.col("a").alias("leader"), F.col("b").alias("id"), F.col("low").cast("long"), F.col("high").cast("long"))
-    mixed = mixed.filter("id <> leader").join(broadcast_if_few(bounds), ["leader", "id"], "left")
-    mixed = written(mixed.fillna({"low": 0, "high": 1 << 30}).drop("leader"), "bounded")
-    kept = ("id", "simhash", "length", "component", "low", "high")
-    left, right = (mixed.select("bucket", *(F.col(c).alias(c + s) for c in kept)) for s in "ab")
-    across = left.join(right, "bucket").filter("componenta < componentb").filter(near("simhasha", "simhashb", "lengtha", "lengthb"))
-    apart = F.greatest(F.col("lowa") - F.col("highb"), F.col("lowb") - F.col("higha"))
-    across = across.filter(100 * apart <= (100 - percent) * F.greatest("lengtha", "lengthb"))
-    across = across.select(F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b"))
-    more = written(compared(across, 1).filter("close").select("a", "b"), "confirmed")
+    mixed = mixed.join(broadcast_if_few(bounds), ["leader", "id"], "left").fillna({"low": 0, "high": 1 << 30})
+    mixed = written(mixed.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).drop("leader"), "mixed")
+    # Each block of a bucket meets each other, and itself.
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = mixed.withColumn("other", other).withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
+    dealt = dealt.join(hashes.select("id", "least").join(norms, "id"), "id").select(
+        "bucket", "first", "second", "block", "id", "component", "simhash", "length", "low", "high", "least", "norm"
+    )
+    tile = ("bucket", "first", "second")
+    more = dealt.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(
+        lambda batches: _across(batches, masks, percent, bits), "a long, b long"
+    )
+    more = written(more.distinct(), "confirmed")
     if not more.isEmpty():
         # Groups are joined by links between them; a line without one is a group.
-        for side in ("a", "b"):
-            more = more.join(broadcast_if_few(groups.withColumnsRenamed({"id": side})), side, "left").withColumn(
-                side, F.coalesce("component", side)
-            ).drop("component")
         joined = components(more)
         old = groups.union(joined.select("id", F.col("id").alias("component"))).distinct()
         whole = joined.select(F.col("id").alias("component"), F.col("component").alias("whole"))
