@@ -16,6 +16,8 @@ GROUP_PAIRS = 12
 LOOK = 32
 # Characters of a pair from which on words are tried first: they take their number, the table its square.
 LONG = 1_000
+# Characters of a pair from which on the table's middle is tried before the whole.
+VERY_LONG = 6_000
 
 
 def edit_distance(a: str, b: str, most: int | None = None) -> int:
@@ -25,9 +27,13 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
     a, b = _trimmed(a, b)
     if not a or not b:
         return len(a) + len(b)
-    places: dict[str, int] = {}
-    for i, c in enumerate(a):
-        places[c] = places.get(c, 0) | 1 << i
+    places = _places(a)
+    size = min(len(a), len(b))
+    if max(len(a), len(b)) > VERY_LONG:
+        for part in (64, 16, 6):
+            band = size // part
+            if abs(len(a) - len(b)) <= band and (d := _in_band(a, b, band, places)) <= band:
+                return d
     full, top, score = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
     up, down = full, 0
     row, diagonal = len(a) - len(b), abs(len(a) - len(b))
@@ -46,6 +52,47 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
     return score
 
 
+def _places(a: str) -> dict[str, int]:
+    """Where each character stands, as the bits of an integer."""
+    places: dict[str, int] = {}
+    if len(a) < LONG:
+        for i, c in enumerate(a):
+            places[c] = places.get(c, 0) | 1 << i
+        return places
+    found: dict[str, list[int]] = {}
+    for i, c in enumerate(a):
+        found.setdefault(c, []).append(i)
+    for c, at in found.items():
+        bits = np.zeros(len(a), np.uint8)
+        bits[at] = 1
+        places[c] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    return places
+
+
+def _in_band(a: str, b: str, band: int, places: dict[str, int]) -> int:
+    """The distance, if it is no more than `band`, else some number above that: only the
+    cells up to so far from the main diagonal are looked at. A column's lowest cell is
+    followed down to the last row, and along it then."""
+    width, score = 2 * band + 1, band
+    full, top = (1 << width) - 1, width - 1
+    up, down = full ^ ((1 << band) - 1), 0
+    for i, c in enumerate(b):
+        equal = places.get(c, 0)
+        equal = (equal >> (i - band) if i >= band else equal << (band - i)) & full
+        level = ((((equal & up) + up) ^ up) | equal | down) & full
+        more, less = down | ((level | up) ^ full), level & up
+        if i < len(a) - band:
+            score += not level >> top & 1
+        else:
+            top -= 1
+            score += (more >> top & 1) - (less >> top & 1)
+        if score > band + len(b) - len(a) + band:
+            return score
+        level >>= 1
+        up, down = less | ((level | more) ^ full), level & more
+    return score
+
+
 def _trimmed(a: str, b: str) -> tuple[str, str]:
     """Two strings without what both begin and end with."""
     for end in (False, True):

@@ -389,7 +389,7 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     place = F.struct("doc_id", "version", "pos")
     # The rows of a line have the same hashes.
     made = F.struct(place.alias("place"), "simhash", "length", "least")
-    lines = found.groupBy("line").agg(F.min(made).alias("made")).select("line", "made.*")
+    lines = found.groupBy("line").agg(F.min(made).alias("made"), F.count("*").alias("rows")).select("line", "rows", "made.*")
     # Numbered once for all, in storage.
     lines = written(lines.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
     masks = tables_for(MASK_LINES)
@@ -402,13 +402,15 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     members = written(members, "members")
     some = broadcast_if_few(members.select("id").distinct())
-    hashes = written(lines.join(some, "id").drop("line"), "hashes")
+    hashes = written(lines.join(some, "id").drop("line", "rows"), "hashes")
     # Their texts are taken from the documents that have them first. Rows that repeat a document
     # give the same line again.
-    where = hashes.select("id", F.col("place.doc_id").alias("_id"), F.col("place.version").alias("_version"), "place.pos")
-    texts = own.join(broadcast_if_few(where), ["_id", "_version"]).select(
-        "id", F.element_at(F.split("text", "\n", -1), F.col("pos") + 1).alias("raw")
+    where = hashes.groupBy(F.col("place.doc_id").alias("_id"), F.col("place.version").alias("_version")).agg(
+        F.collect_list(F.struct("id", "place.pos")).alias("places")
     )
+    # Each text is taken apart once, however many of its lines are asked for.
+    texts = own.join(broadcast_if_few(where), ["_id", "_version"]).select(F.split("text", "\n", -1).alias("lines"), "places")
+    texts = texts.select("lines", F.explode("places").alias("of")).select("of.id", F.element_at("lines", F.col("of.pos") + 1).alias("raw"))
     norms = written(texts.mapInArrow(_normalised, "id long, norm string").dropDuplicates(["id"]), "norms")
 
     def near(a: str, b: str, x: str, y: str) -> Column:
@@ -459,12 +461,13 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         whole = joined.select(F.col("id").alias("component"), F.col("component").alias("whole"))
         groups = old.join(whole, "component", "left").select("id", F.coalesce("whole", "component").alias("component"))
 
-    named = written(lines.select("id", "line").join(broadcast_if_few(groups), "id").select("line", "component"), "groups")
-    group = F.coalesce(F.col("component").cast("string").cast("binary"), F.col("line")).alias("group")
-    grouped = found.join(broadcast_if_few(named), "line", "left").select("doc_id", "version", "pos", group)
-    first = grouped.groupBy("group").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = written(first.select("group", "first"), "firsts")
-    extra = grouped.join(broadcast_if_few(first), "group").filter(place != F.col("first"))
+    named = written(lines.select("id", "line", "place").join(broadcast_if_few(groups), "id"), "groups")
+    heads = named.groupBy("component").agg(F.min("place").alias("first"))
+    linked = named.join(broadcast_if_few(heads), "component").select("line", "first")
+    # Lines without a link may have copies.
+    copied = lines.filter("rows > 1").join(broadcast_if_few(named.select("line")), "line", "left_anti")
+    first = written(linked.union(copied.select("line", F.col("place").alias("first"))), "firsts")
+    extra = found.join(broadcast_if_few(first), "line").filter(place != F.col("first"))
     return extra.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "pos").distinct()
 
 
