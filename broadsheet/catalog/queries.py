@@ -471,10 +471,12 @@ def score_documents(spark, sf):
     return score(rows.drop("label"), model, as_of=A.AS_OF).select("id", "prediction", "confidence")
 
 
-def _sides(spark, sf):
+def _sides(spark, sf, scored=True):
     """All articles, and the labelled ones of either side; only these are kept apart."""
-    # Made once: whoever scores all articles reads them again.
-    rows = materialise(G.numeric_gold(A.silver(spark, sf), "content_cleaned"))
+    rows = G.numeric_gold(A.silver(spark, sf), "content_cleaned")
+    if scored:
+        # Made once: whoever scores all articles reads them again.
+        rows = materialise(rows)
     split = materialise(L.hash_split(L.labelled_only(rows)))
     side = lambda name: split.filter(F.col("split") == name).drop("split")
     return rows, side(L.TRAIN), side(L.TEST)
@@ -483,7 +485,7 @@ def _sides(spark, sf):
 @query
 def model_runs(spark, sf):
     """Cross-validate and test the three classifiers."""
-    _, train, test = _sides(spark, sf)
+    _, train, test = _sides(spark, sf, scored=False)
     results = training.train_models(train, test)
     return _comparable(training.run_rows(spark, results).select("model", "auc", "accuracy", "cv_auc"))
 

@@ -32,6 +32,7 @@ from broadsheet import schemas as S
 from broadsheet.operators.evaluation import majority_vote
 from broadsheet.operators.scoring import class_confidence, model_input
 from broadsheet.operators.splits import hash_bucket
+from broadsheet.plans.boosting import boost, can_boost
 from broadsheet.session import materialise
 
 # Model sizes.
@@ -92,15 +93,19 @@ def preprocessing(spark: SparkSession, dimensions: int = TFIDF_DIMENSIONS) -> Pi
     return Pipeline(stages=[label_indexer(spark), *text_stages(dimensions), *vector_stages()])
 
 
-def fitted_preprocessing(train: DataFrame, dimensions: int = TFIDF_DIMENSIONS) -> tuple[PipelineModel, DataFrame]:
-    """What `preprocessing` makes of a fit to the rows, and their (id, label index, vector).
-    The texts are taken apart once: what is fitted, and the vectors, are made of the counts."""
+def fitted_preprocessing(
+    train: DataFrame, dimensions: int = TFIDF_DIMENSIONS, folds: int | None = None
+) -> tuple[PipelineModel, DataFrame]:
+    """What `preprocessing` makes of a fit to the rows, and their (id, label index, vector),
+    with the fold if asked. The texts are taken apart once: what is fitted, and the vectors,
+    are made of the counts."""
     counting, rest = counting_model(dimensions), [text_stages(dimensions)[-1], *vector_stages()]
     indexer = label_indexer(train.sparkSession)
     rows = PipelineModel(stages=[indexer, *counting.stages]).transform(model_input(train))
     counted = materialise(rows.select("id", LABEL, "term_counts", *S.NUMERIC_FEATURES))
     fitted = Pipeline(stages=rest).fit(counted)
-    vectors = materialise(fitted.transform(counted).select("id", LABEL, FEATURES))
+    vectors = fitted.transform(counted).select("id", LABEL, FEATURES)
+    vectors = materialise(vectors if folds is None else _fold_column(vectors, folds))
     return PipelineModel(stages=[indexer, *counting.stages, *fitted.stages]), vectors
 
 
@@ -156,19 +161,43 @@ def prepare(
 ) -> Prepared:
     """Fit the preprocessing on the training rows, or on `fit_on` to let unlabelled
     or test rows shape the weights, and apply it to both sets."""
-    fitted = preprocessing(train.sparkSession, dimensions).fit(
-        model_input(train if fit_on is None else fit_on)
-    )
     vectors = lambda df: materialise(
         _fold_column(fitted.transform(model_input(df)).select("id", LABEL, FEATURES), folds)
     )
-    return Prepared(fitted, vectors(train), vectors(test))
+    if fit_on is None:
+        fitted, of_train = fitted_preprocessing(train, dimensions, folds)
+    else:
+        fitted = preprocessing(train.sparkSession, dimensions).fit(model_input(fit_on))
+        of_train = vectors(train)
+    return Prepared(fitted, of_train, vectors(test))
 
 
 def auc_evaluator() -> BinaryClassificationEvaluator:
     return BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
 
 
+def cross_fit(classifier: Estimator, train: DataFrame, folds: int, parallelism: int) -> tuple[Model, float]:
+    """What `cross_validate` makes of one classifier without a grid. The vectors are
+    materialised, so no fold of them is kept once more; boosted trees of all folds grow
+    together."""
+    there = {r.fold for r in train.select("fold").distinct().collect()}
+    for k in range(folds):
+        if not there - {k}:
+            raise ValueError(f"The training data at fold {k} is empty.")
+        if k not in there:
+            raise ValueError(f"The validation data at fold {k} is empty.")
+    in_thread = inheritable_thread_target(train.sparkSession)
+    fit = lambda k: classifier.copy().fit(train if k is None else train.filter(F.col("fold") != k))
+    auc = lambda k: auc_evaluator().evaluate(models[k].transform(train.filter(F.col("fold") == k)))
+    with ThreadPool(parallelism) as pool:
+        models = (
+            boost(classifier, train, folds)
+            if can_boost(classifier)
+            else pool.map(in_thread(fit), [*range(folds), None], chunksize=1)
+        )
+        return models[-1], sum(pool.map(in_thread(auc), range(folds), chunksize=1)) / folds
+
+
 def cross_validate(
     estimator: Estimator, train: DataFrame, grid: list | None, folds: int, parallelism: int
 ) -> tuple[Model, float]:
@@ -212,7 +241,10 @@ def train_models(
             )
             model, scored = best, best.transform(model_input(test))
         else:
-            best, cv_auc = cross_validate(classifier, prepared.train, grid, folds, parallelism)
+            if grid:
+                best, cv_auc = cross_validate(classifier, prepared.train, grid, folds, parallelism)
+            else:
+                best, cv_auc = cross_fit(classifier, prepared.train, folds, parallelism)
             model = PipelineModel(stages=[*prepared.model.stages, best])
             scored = best.transform(prepared.test)
         auc = auc_evaluator().evaluate(scored)
